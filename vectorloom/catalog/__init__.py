@@ -1,0 +1,6 @@
+"""All registered queries."""
+
+from vectorloom.catalog import vectors  # noqa: F401
+from vectorloom.catalog.base import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]

@@ -49,6 +49,9 @@ def apply_profile(df: DataFrame, profile: Profile, unseen: str = "error", keep:
     if unseen not in UNSEEN_POLICIES:
         raise ValueError(f"unseen must be one of {UNSEEN_POLICIES}")
     emitted = profile.spec.emitted
+    both = sorted({c.name for c in emitted} & set(keep))
+    if both:
+        raise ValueError(f"columns both kept and transformed: {both}")
     out = df.select(
         *[F.col(f"`{k}`").alias(f"keep_{k}") for k in keep],
         *[typed_column(df, c).alias(f"raw_{c.name}") for c in emitted],
@@ -86,18 +89,20 @@ def sparse_indices(spec: FeatureSpec, compat: bool = False) -> list[int]:
     return [names.index(c.name) + 1 for c in spec.features]
 
 
-def assemble_sparse(df: DataFrame, spec: FeatureSpec, compat: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``label`` and ``entries``, an array of (index, value) without zero values.
-
-    With ``compat`` negative values are left out too.
-    """
+def sparse_entries(spec: FeatureSpec, compat: bool = False) -> Column:
+    """Array of (index, value) without zero values; with ``compat`` without negatives too."""
     entries = [
         F.struct(F.lit(i).alias("index"), F.col(f"`{c.name}`").alias("value"))
         for i, c in zip(sparse_indices(spec, compat), spec.features)
     ]
-    label = F.col(f"`{spec.label.name}`") if spec.label else F.lit(0.0)
     wanted = (lambda e: e["value"] > 0) if compat else (lambda e: e["value"] != 0)
-    return df.select(*keep, label.alias("label"), F.filter(F.array(*entries), wanted).alias("entries"))
+    return F.filter(F.array(*entries), wanted)
+
+
+def assemble_sparse(df: DataFrame, spec: FeatureSpec, compat: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``label`` and ``entries`` (see ``sparse_entries``)."""
+    label = F.col(f"`{spec.label.name}`") if spec.label else F.lit(0.0)
+    return df.select(*keep, label.alias("label"), sparse_entries(spec, compat).alias("entries"))
 
 
 def vectorize(df: DataFrame, spec: FeatureSpec, position: Column, keep: tuple[str, ...] = ()) -> DataFrame:

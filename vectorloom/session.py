@@ -21,6 +21,7 @@ def local_session(app: str, cores: int | str = "*", shuffle_partitions: int = 8)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", os.environ.get("VECTORLOOM_DRIVER_MEMORY", "8g"))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         # call-site capture costs one stack walk per column expression
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
