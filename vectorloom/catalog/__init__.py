@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from vectorloom.catalog import sequences, statistics, styles, tabular, vectors  # noqa: F401
+from vectorloom.catalog import files, sequences, statistics, styles, tabular, training, vectors  # noqa: F401
 from vectorloom.catalog.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
