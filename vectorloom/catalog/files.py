@@ -91,8 +91,9 @@ def read_dictionary_json(spark, sf_dir):
 
 @register(
     "s4_read_reviews_json",
-    """SELECT text, coalesce(quality * 2.5, 0) AS rating_overall, 0.0 AS rating_aroma, 0.0 AS rating_taste,
-           coalesce(toxic + 1.5, 0) AS rating_appearance, 0.0 AS rating_palate, source AS user, doc_id::VARCHAR AS beer_id
+    """SELECT text, coalesce(quality * 2.5, 0)::FLOAT AS rating_overall, 0.0::FLOAT AS rating_aroma,
+           0.0::FLOAT AS rating_taste, coalesce(toxic + 1.5, 0)::FLOAT AS rating_appearance,
+           0.0::FLOAT AS rating_palate, source AS user, doc_id::VARCHAR AS beer_id
     FROM documents LEFT JOIN labels USING (doc_id)""",
 )
 def read_reviews_json(spark, sf_dir):
@@ -110,7 +111,7 @@ def read_reviews_json(spark, sf_dir):
     return json_docs.read_reviews_json(spark, path, per_line=True).drop("at")
 
 
-@register("s5_read_typed_csv", "SELECT event_id, user_id, event_type, value, hour(ts) AS h FROM events")
+@register("s5_read_typed_csv", "SELECT event_id, user_id, event_type, value, hour(ts)::INTEGER AS h FROM events")
 def read_typed_csv(spark, sf_dir):
     schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
     columns = ("event_id", "ts", "user_id", "event_type", "value")

@@ -77,7 +77,7 @@ def index_to_char(spark, sf_dir):
     "x5_next_char_pairs",
     f"""WITH {indices_sql('documents', 'doc_id')}
     SELECT doc_id, array_to_string(list_concat([{STOP}], ids), ' ') AS inputs,
-           array_to_string(list_concat(ids, [{STOP}]), ' ') AS targets, len(ids) + 1 AS n_steps FROM e""",
+           array_to_string(list_concat(ids, [{STOP}]), ' ') AS targets, (len(ids) + 1)::INTEGER AS n_steps FROM e""",
 )
 def next_char_pairs(spark, sf_dir):
     pairs = sq.next_char_pairs(documents(spark, sf_dir), "text")
@@ -89,7 +89,7 @@ def next_char_pairs(spark, sf_dir):
     f"""WITH {indices_sql('documents', 'doc_id')}
     SELECT doc_id, array_to_string(list_concat([{STOP}], ids)[1:{EXAMPLE_LENGTH}], ' ') AS inputs,
            array_to_string(list_concat(ids, [{STOP}])[1:{EXAMPLE_LENGTH}], ' ') AS targets,
-           least(len(ids) + 1, {EXAMPLE_LENGTH}) AS n_steps FROM e""",
+           least(len(ids) + 1, {EXAMPLE_LENGTH})::INTEGER AS n_steps FROM e""",
 )
 def truncate_sequence(spark, sf_dir):
     """The first steps of every sequence, up to the example length."""
@@ -169,11 +169,11 @@ def context_vector(spark, sf_dir):
     f"""WITH {indices_sql('conversations', 'conv_id, turn, role')},
     {labels_sql("roles", "conversations", "role", "conv_id * 1048576 + turn")},
     s AS (SELECT e.*, generate_subscripts(list_concat(ids, [{STOP}]), 1) AS i FROM e)
-    SELECT conv_id, turn, i - 1 AS t, list_concat(ids, [{STOP}])[i] AS out_idx,
-           list_concat([{STOP}], ids)[i] AS in_idx, coalesce(roles.k, -1) AS style_index,
+    SELECT conv_id, turn, (i - 1)::INTEGER AS t, list_concat(ids, [{STOP}])[i]::INTEGER AS out_idx,
+           list_concat([{STOP}], ids)[i]::INTEGER AS in_idx, coalesce(roles.k, -1) AS style_index,
            (coalesce(quality * 4 + 1, 0) - 1) / 2 - 1 AS ctx_appearance,
            (coalesce(5 - toxic * 4, 0) - 1) / 2 - 1 AS ctx_aroma,
-           (turn % 5) / 2 - 1 AS ctx_palate, -1.5 AS ctx_taste, 0.0 AS ctx_overall
+           (turn % 5) / 2 - 1 AS ctx_palate, -1.5::DOUBLE AS ctx_taste, 0.0::DOUBLE AS ctx_overall
     FROM s LEFT JOIN roles ON roles.label = role LEFT JOIN labels ON doc_id = conv_id""",
 )
 def sequence_record(spark, sf_dir):
@@ -219,7 +219,7 @@ TURN_PLACE = "conv_id * 1048576 + turn"
     p AS (SELECT {TURN_PLACE} AS place, ids, len(ids) + 1 AS n_steps,
                  row_number() OVER (ORDER BY {TURN_PLACE}) - 1 AS pos FROM e WHERE length(text) >= 1),
     b AS (SELECT *, pos // {BATCH} AS batch_id, max(n_steps) OVER (PARTITION BY pos // {BATCH}) AS batch_len FROM p)
-    SELECT place, batch_id, pos % {BATCH} AS row_in_batch, batch_len, n_steps,
+    SELECT place, batch_id, pos % {BATCH} AS row_in_batch, batch_len::INTEGER AS batch_len, n_steps::INTEGER AS n_steps,
            rtrim(array_to_string(list_concat([{STOP}], ids), ' ') || repeat(' -1', batch_len - n_steps)) AS inputs,
            rtrim(array_to_string(list_concat(ids, [{STOP}]), ' ') || repeat(' -1', batch_len - n_steps)) AS targets,
            ltrim(repeat(' 1', n_steps) || repeat(' 0', batch_len - n_steps)) AS mask

@@ -59,7 +59,8 @@ def string_to_time(spark, sf_dir):
 
 @register(
     "f6_derive_time_fields",
-    """SELECT event_id, year(ts) AS y, month(ts) AS mo, day(ts) AS d, hour(ts) AS h, minute(ts) AS mi, second(ts) AS s
+    """SELECT event_id, year(ts)::INTEGER AS y, month(ts)::INTEGER AS mo, day(ts)::INTEGER AS d,
+           hour(ts)::INTEGER AS h, minute(ts)::INTEGER AS mi, second(ts)::INTEGER AS s
     FROM events""",
 )
 def derive_time_fields(spark, sf_dir):
@@ -86,7 +87,7 @@ def typed_schema_check(spark, sf_dir):
 @register(
     "f8_transform_process",
     """SELECT event_id, event_type AS category, CASE WHEN value < 50 THEN 0 ELSE value END AS value,
-           hour(ts) AS hour_of_day
+           hour(ts)::INTEGER AS hour_of_day
     FROM events WHERE event_type IN ('purchase', 'signup')""",
 )
 def transform_process(spark, sf_dir):

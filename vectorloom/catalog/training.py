@@ -90,7 +90,7 @@ def training_summary(spark, sf_dir):
 
 @register(
     "m7_argmax_prediction",
-    "SELECT vec_id, list_position(embedding, list_max(embedding)) - 1 AS prediction FROM embeddings",
+    "SELECT vec_id, (list_position(embedding, list_max(embedding)) - 1)::BIGINT AS prediction FROM embeddings",
 )
 def argmax_prediction(spark, sf_dir):
     return table(spark, sf_dir, "embeddings").select(
@@ -165,7 +165,7 @@ def trained(spark: SparkSession, sf_dir: str) -> PipelineModel:
 @register(
     "m11_train_classifier",
     f"""WITH s AS (SELECT max(len(embedding)) AS width, max(label) + 1 AS classes FROM embeddings)
-    SELECT 0 AS layer, width AS n_in, {HIDDEN} AS n_out, (width + 1) * {HIDDEN} AS n_params FROM s
+    SELECT 0 AS layer, width AS n_in, {HIDDEN}::BIGINT AS n_out, (width + 1) * {HIDDEN} AS n_params FROM s
     UNION ALL SELECT 1, {HIDDEN}, classes, {HIDDEN + 1} * classes FROM s""",
 )
 def train_classifier(spark, sf_dir):

@@ -63,7 +63,7 @@ def filtered_count(items: DataFrame, style: str, buckets: tuple[str, ...] = STYL
 def style_statistics(dictionary: DataFrame) -> DataFrame:
     """Index and item count per style, with the number of styles."""
     total = dictionary.agg(F.count("*").alias("total_styles")).first()["total_styles"]
-    return dictionary.select("style_key", "style_index", "n", F.lit(total).alias("total_styles"))
+    return dictionary.select("style_key", "style_index", "n", F.lit(total).cast("bigint").alias("total_styles"))
 
 
 def item_to_style(

@@ -33,16 +33,16 @@ def moving_average(
     of consecutive rows: rows are numbered by (run, epoch) and the last ``window - 1``
     rows of a block are repeated at the head of the next one.
     """
-    numbered = number_rows(scores.select(run, epoch, score, *carry), [run, epoch]).rows
-    block = F.floor(F.col("pos") / block_rows)
-    is_tail = F.col("pos") % block_rows > block_rows - window
-    home = F.struct(block.alias("block"), F.lit(False).alias("is_head"))
-    repeated = F.struct((block + 1).alias("block"), F.lit(True).alias("is_head"))
+    numbered = number_rows(scores.select(run, epoch, score, *carry), [run, epoch], "__pos").rows
+    block = F.floor(F.col("__pos") / block_rows)
+    is_tail = F.col("__pos") % block_rows > block_rows - window
+    home = F.struct(block.alias("__block"), F.lit(False).alias("__is_head"))
+    repeated = F.struct((block + 1).alias("__block"), F.lit(True).alias("__is_head"))
     blocks = numbered.select("*", F.inline(F.when(is_tail, F.array(home, repeated)).otherwise(F.array(home))))
-    last_scores = Window.partitionBy(run, "block").orderBy("pos").rowsBetween(-(window - 1), 0)
+    last_scores = Window.partitionBy(run, "__block").orderBy("__pos").rowsBetween(-(window - 1), 0)
     return (
         blocks.withColumn("moving_avg", F.avg(score).over(last_scores))
-        .filter(~F.col("is_head"))
+        .filter(~F.col("__is_head"))
         .select(run, epoch, score, *carry, "moving_avg")
     )
 

@@ -107,9 +107,9 @@ def pad_and_mask(
     kept = docs.filter(tx.nonempty_text(F.col(text)))
     steps = F.size(tx.encode(F.col(text), vocab)) + 1
     length = F.least(steps, F.lit(max_len)) if max_len else steps
-    batches = assign_minibatch(kept.select(position, length.alias("n")), position, batch_size, ("n",))
+    batches = assign_minibatch(kept.select(position, length.alias("__n")), position, batch_size, ("__n",))
     # a window group is one batch: at most batch_size rows
-    measured = batches.rows.withColumn("batch_len", F.max("n").over(Window.partitionBy("batch_id"))).drop("n", "pos")
+    measured = batches.rows.withColumn("batch_len", F.max("__n").over(Window.partitionBy("batch_id"))).drop("__n", "pos")
     sequences = next_char_pairs(kept.select(position, text), text, vocab, max_len).drop(text)
     missing = F.col("batch_len") - F.col("n_steps")
     padding = F.array_repeat(F.lit(PAD), missing)

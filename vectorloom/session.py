@@ -35,14 +35,14 @@ def shared_dir(spark: SparkSession) -> str:
     cluster a missing setting is an error, because a machine-local folder would
     lose its contents together with the executor that wrote them.
     """
-    configured = spark.conf.get(_SHARED_DIR_KEY, None)
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    folder = spark.conf.get(_SHARED_DIR_KEY, None) or context.getCheckpointDir()
+    if folder:
+        return folder
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {_SHARED_DIR_KEY} to a folder shared by all executors")
-    own = tempfile.mkdtemp(prefix="vectorloom-")
-    spark.conf.set(_SHARED_DIR_KEY, own)
-    return own
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="vectorloom-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -53,8 +53,10 @@ def map_values_to_columns(
     """One row per field: column name and raw value. The number of fields is not checked."""
     names = F.array(*[F.lit(n) for n in spec.names])
     return _records(lines, spec, line, java_split=False).select(
-        *keep, F.posexplode("__fields").alias("at", "raw_value")
-    ).filter(F.col("at") < len(spec.columns)).select(*keep, F.get(names, F.col("at")).alias("column_name"), "raw_value")
+        *keep, F.posexplode("__fields").alias("__at", "raw_value")
+    ).filter(F.col("__at") < len(spec.columns)).select(
+        *keep, F.get(names, F.col("__at")).alias("column_name"), "raw_value"
+    )
 
 
 def read_typed_csv(lines: DataFrame, schema: T.StructType | str, line: str = "value", **options: str) -> DataFrame:
