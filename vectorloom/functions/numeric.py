@@ -13,7 +13,7 @@ SD_EPSILON = 1e-6
 
 def unquoted(c: Column) -> Column:
     """``c`` as text without any double quote."""
-    return F.translate(c.cast("string"), '"', "")
+    return F.replace(c.cast("string"), F.lit('"'), F.lit(""))
 
 
 def trimmed(c: Column) -> Column:
@@ -22,12 +22,23 @@ def trimmed(c: Column) -> Column:
 
 def label_value(c: Column) -> Column:
     """The category in a raw value: unquoted and trimmed, NULL when empty."""
-    return F.nullif(trimmed(unquoted(c)), F.lit(""))
+    text = unquoted(c)
+    # most values have nothing to trim, and looking at both ends is cheaper than trimming
+    clean_ends = (F.ascii(text) > 32) & (F.ascii(F.right(text, F.lit(1))) > 32)
+    return F.when(clean_ends, text).otherwise(F.nullif(trimmed(text), F.lit("")))
 
 
 def number_value(c: Column) -> Column:
-    """The number in a raw text value; NULL when it is not one or is NaN."""
-    return F.nullif(label_value(c).try_cast("double"), F.lit(float("nan")))
+    """The number in a raw text value; NULL when it is not one or is NaN.
+
+    The cast itself ignores blanks around the number.
+    """
+    return F.nanvl(unquoted(c).try_cast("double"), F.lit(None).cast("double"))
+
+
+def has_content(c: Column) -> Column:
+    """True where a raw text value holds more than quotes and blanks, NULL where it does not."""
+    return F.when(c.rlike(r'[^"\x00-\x20]'), F.lit(True))
 
 
 def copy(x: Column) -> Column:

@@ -43,7 +43,7 @@ def typed_column(df: DataFrame, column: ColumnSpec) -> Column:
     if isinstance(dtype, T.StringType):
         return fn.number_value(raw)
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        return F.when(~F.isnan(raw), raw.cast("double"))
+        return F.nanvl(raw.cast("double"), F.lit(None).cast("double"))
     return raw.cast("double")
 
 
@@ -51,7 +51,7 @@ def present_value(df: DataFrame, column: ColumnSpec) -> Column:
     """Not NULL where a value is present, whether or not it is a number."""
     raw = F.col(f"`{column.name}`")
     if isinstance(df.schema[column.name].dataType, T.StringType):
-        return fn.label_value(raw)
+        return fn.has_content(raw)
     return raw
 
 
@@ -108,15 +108,20 @@ def invalid_entry_count(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     )
 
 
+def nominal_values(df: DataFrame, columns: list[ColumnSpec]) -> Column:
+    """One row per NOMINAL column: ``column_name`` and ``label``."""
+    cells = [cell for c in columns for cell in (F.lit(c.name), typed_column(df, c))]
+    return F.stack(F.lit(len(columns)), *cells).alias("column_name", "label")
+
+
 def label_counts(df: DataFrame, columns: list[ColumnSpec], position: Column) -> DataFrame:
     """Distinct values of the NOMINAL columns with their count and first position.
 
     All columns share one scan; rows are combined before the shuffle, so a label held
     by most of the table arrives as one row per task.
     """
-    pairs = [F.struct(F.lit(c.name).alias("column_name"), typed_column(df, c).alias("label")) for c in columns]
     return (
-        df.select(position.cast("bigint").alias("at"), F.inline(F.array(*pairs)))
+        df.select(position.cast("bigint").alias("at"), nominal_values(df, columns))
         .filter(F.col("label").isNotNull())
         .groupBy("column_name", "label")
         .agg(F.count("*").alias("n"), F.min("at").alias("first_at"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vectorloom.functions import numeric as fn
 from vectorloom.operators.lookup import lookup_join
-from vectorloom.operators.profile import Profile, fit_profile, typed_column
+from vectorloom.operators.profile import Profile, fit_profile, nominal_values, typed_column
 from vectorloom.plans.spec import ColumnSpec, FeatureSpec, Kind, Transform
 
 UNSEEN_POLICIES = ("error", "null", "minus_one")
@@ -113,18 +113,8 @@ def vectorize(df: DataFrame, spec: FeatureSpec, position: Column, keep: tuple[st
 
 def unseen_label_audit(df: DataFrame, profile: Profile) -> DataFrame:
     """Per NOMINAL column: values, and values whose label the dictionary lacks."""
-    nominal = profile.spec.nominal
     counts = (
-        df.select(
-            F.inline(
-                F.array(
-                    *[
-                        F.struct(F.lit(c.name).alias("column_name"), typed_column(df, c).alias("label"))
-                        for c in nominal
-                    ]
-                )
-            )
-        )
+        df.select(nominal_values(df, profile.spec.nominal))
         .filter(F.col("label").isNotNull())
         .groupBy("column_name", "label")
         .agg(F.count("*").alias("seen"))

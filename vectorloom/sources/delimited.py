@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vectorloom.functions.numeric import trimmed
 from vectorloom.plans.spec import FeatureSpec
 
 
@@ -18,8 +17,9 @@ def split_fields(line: Column, spec: FeatureSpec, java_split: bool = False) -> C
 
 
 def _records(lines: DataFrame, spec: FeatureSpec, line: str, java_split: bool) -> DataFrame:
-    fields = lines.withColumn("__fields", split_fields(F.col(line), spec, java_split))
-    return fields.filter(trimmed(F.col("__fields")[0]) != "")
+    # the first field is blank: nothing but blanks up to a delimiter or the end
+    blank = F.col(line).rlike(rf"^[\x00-\x20]*(?:{spec.delimiter}|\z)")
+    return lines.filter(~blank).withColumn("__fields", split_fields(F.col(line), spec, java_split))
 
 
 def read_delimited(
