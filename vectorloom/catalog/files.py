@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from vectorloom.catalog.base import as_line, register, rounded, table
 from vectorloom.catalog.statistics import LABELS_SQL, STATS_SQL
 from vectorloom.catalog.vectors import LINE_FEATURES_SQL, LINE_SPEC, line_profile
+from vectorloom.operators.lookup import lookup_join
 from vectorloom.operators.vectorize import apply_profile, assemble_plain, assemble_sparse
 from vectorloom.plans.spec import make_spec
 from vectorloom.session import scratch_path
@@ -98,7 +99,7 @@ def read_dictionary_json(spark, sf_dir):
 )
 def read_reviews_json(spark, sf_dir):
     """One container per document; ratings exist only for labelled ones."""
-    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    docs = lookup_join(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "doc_id")
     review = F.struct(
         "text",
         F.col("source").alias("user"),

@@ -11,6 +11,7 @@ from vectorloom.functions import text as tx
 from vectorloom.functions.vocab import DEFAULT, DEFAULT_CHARACTERS
 from vectorloom.operators import sequences as sq
 from vectorloom.operators.dictionary import item_to_style, join_style_index, style_dictionary
+from vectorloom.operators.lookup import lookup_join
 
 BATCH = 32
 EXAMPLE_LENGTH = 200
@@ -106,7 +107,7 @@ RATINGS_SQL = """ratings AS (
 def rated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with ratings from their labels, 0 where a document has none."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
-    rated = docs.join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    rated = lookup_join(docs, table(spark, sf_dir, "labels"), "doc_id")
     return rated.select(
         "doc_id",
         "lang",
@@ -135,7 +136,7 @@ def styled_documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
     """Rated documents with the index of their language as style."""
     langs = style_dictionary(table(spark, sf_dir, "documents").select("lang", "doc_id"), "lang", "doc_id")
     rated = rated_documents(spark, sf_dir).withColumn("style_key", F.col("lang"))
-    joined_rows = rated.join(langs.select("style_key", "style_index"), "style_key", "left")
+    joined_rows = lookup_join(rated, langs.select("style_key", "style_index"), "style_key")
     return joined_rows.drop("style_key"), langs.count()
 
 
@@ -183,7 +184,7 @@ def sequence_record(spark, sf_dir):
     roles = style_dictionary(place.select("role", "place"), "role", "place")
     role_styles = item_to_style(place.select("role", "place"), "role", "role", "place", roles)
     labels = table(spark, sf_dir, "labels").withColumnRenamed("doc_id", "conv_id")
-    reviews = join_style_index(turns, "role", role_styles).join(labels, "conv_id", "left")
+    reviews = lookup_join(join_style_index(turns, "role", role_styles), labels, "conv_id")
     ratings = {
         "appearance": F.coalesce(F.col("quality") * 4 + 1, F.lit(0)),
         "aroma": F.coalesce(5 - F.col("toxic") * 4, F.lit(0)),

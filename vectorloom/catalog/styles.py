@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from vectorloom.catalog.base import register, table
 from vectorloom.catalog.vectors import labels_sql
 from vectorloom.operators import dictionary as dc
+from vectorloom.operators.lookup import lookup_join
 
 # Keywords of p_name that leave some parts without a bucket.
 PART_BUCKETS = ("bolt", "gear", "anvil", "plate")
@@ -88,7 +89,8 @@ def item_to_style(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select(
         "l_suppkey", F.expr("(l_orderkey * 10 + l_linenumber) * 100000000 + l_partkey").alias("at"), "l_partkey"
     )
-    supplied = lines.join(parts.select(F.col("p_partkey").alias("l_partkey"), "p_type"), "l_partkey")
+    types = parts.select(F.col("p_partkey").alias("l_partkey"), "p_type")
+    supplied = lookup_join(lines, types, "l_partkey", how="inner")
     dictionary = dc.style_dictionary(parts, "p_type", "p_partkey")
     return dc.item_to_style(supplied, "l_suppkey", "p_type", "at", dictionary)
 

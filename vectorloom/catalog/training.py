@@ -11,6 +11,7 @@ from vectorloom.catalog.vectors import labels_sql
 from vectorloom.operators import metrics as mt
 from vectorloom.operators import model as ml
 from vectorloom.operators.dictionary import style_dictionary
+from vectorloom.operators.lookup import lookup_join
 from vectorloom.session import scratch_path
 
 TEMPERATURE = 1.5
@@ -130,7 +131,7 @@ def distributions(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = style_dictionary(events.select("event_type", "event_id"), "event_type", "event_id")
     # pre-aggregated per (user, type), so the join and the window see few rows per user
     weights = events.groupBy("user_id", "event_type").agg(F.sum("value").alias("weight"))
-    indexed = weights.join(kinds.select(F.col("style").alias("event_type"), "style_index"), "event_type")
+    indexed = lookup_join(weights, kinds.select(F.col("style").alias("event_type"), "style_index"), "event_type", how="inner")
     total = F.sum("weight").over(mt.Window.partitionBy("user_id"))
     return indexed.select("user_id", F.col("style_index").alias("class_index"), (F.col("weight") / total).alias("p"))
 

@@ -58,6 +58,7 @@ def lookup_join(
     within Spark's broadcast threshold is broadcast. A larger one is shuffled, except
     for its hot keys: at most 1/HOT_SHARE of them can exist, so their lookup rows are
     always small, and the many fact rows that carry them are joined where they are.
+    That route reads ``facts`` once to find the hot keys and once for each part.
     """
     spark = facts.sparkSession
     if fits_broadcast(spark, size or measure(lookup)):

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vectorloom.operators.numbering import number_rows
+from vectorloom.session import materialize
 
 # Scores in the moving average, and scores needed before a projection.
 SCORE_WINDOW = 5
@@ -119,7 +120,8 @@ def confusion_matrix(df: DataFrame, label: str, prediction: str) -> DataFrame:
 
 def classification_evaluation(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """Per class: counts, precision, recall, F1; with the overall accuracy on every row."""
-    matrix = confusion_matrix(df, label, prediction)
+    # one row per pair of classes, used twice below
+    matrix = materialize(confusion_matrix(df, label, prediction), "confusion")
     hit = F.col("label") == F.col("prediction")
     # each cell counts for its label, and for its prediction where that differs
     per_class = (

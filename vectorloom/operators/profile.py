@@ -287,7 +287,10 @@ def category_balance(profile: Profile) -> DataFrame:
 def statistics_report(profile: Profile) -> DataFrame:
     """Statistics of every column; NOMINAL columns repeat once per label."""
     labels = profile.labels.rows.select("column_name", "label", "label_id", F.col("n").alias("label_n"))
-    return labels.join(F.broadcast(profile.stats), "column_name", "right").select(
+    # stats hold one row per spec column, so the labels stay where they are
+    labelled = labels.join(F.broadcast(profile.stats), "column_name")
+    others = profile.stats.filter(~F.col("column_name").isin(list(profile.labels.sizes)))
+    return labelled.unionByName(others, allowMissingColumns=True).select(
         *STATS_SCHEMA.names, "label", "label_id", "label_n"
     )
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from vectorloom.functions import text as tx
 from vectorloom.functions.vocab import DEFAULT, Vocabulary
 from vectorloom.operators.numbering import Numbered, number_rows
+from vectorloom.session import materialize
 
 # Rating columns in the order of the context vector.
 RATINGS = ("appearance", "aroma", "palate", "taste", "overall")
@@ -74,9 +75,11 @@ def sequence_record(
 def assign_minibatch(rows: DataFrame, position: str, batch_size: int, carry: tuple[str, ...] = ()) -> Numbered:
     """Number rows by ``position`` and cut them into consecutive groups of ``batch_size``.
 
-    Give it only the columns worth sorting; join the result back by ``position``.
+    Give it only the columns worth sorting; join the result back by ``position``. They
+    are written first, since a sort reads its input twice and may have to read texts.
     """
-    numbered = number_rows(rows.select(position, *carry), [position])
+    narrow = materialize(rows.select(position, *carry), "positions")
+    numbered = number_rows(narrow, [position])
     batched = numbered.rows.withColumns(
         {
             "batch_id": F.floor(F.col("pos") / batch_size),
@@ -105,7 +108,7 @@ def pad_and_mask(
     the join on the unique position.
     """
     kept = docs.filter(tx.nonempty_text(F.col(text)))
-    steps = F.size(tx.encode(F.col(text), vocab)) + 1
+    steps = F.length(tx.charset_filter(F.col(text), vocab)) + 1
     length = F.least(steps, F.lit(max_len)) if max_len else steps
     batches = assign_minibatch(kept.select(position, length.alias("__n")), position, batch_size, ("__n",))
     # a window group is one batch: at most batch_size rows
