@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,8 +50,18 @@ def fits_broadcast(spark: SparkSession, size: Size) -> bool:
     return size.bytes <= broadcast_limit(spark)
 
 
+def frequent_keys(facts: DataFrame, key: str) -> list:
+    """At most 1/HOT_SHARE keys, among them every key above that share of the rows."""
+    return facts.select(key).stat.freqItems([key], HOT_SHARE).first()[0]
+
+
 def lookup_join(
-    facts: DataFrame, lookup: DataFrame, key: str, how: str = "left", size: Size | None = None
+    facts: DataFrame,
+    lookup: DataFrame,
+    key: str,
+    how: str = "left",
+    size: Size | None = None,
+    find_hot: Callable[[], list] | None = None,
 ) -> DataFrame:
     """Join ``facts`` to ``lookup``, whose ``key`` values are unique.
 
@@ -58,7 +69,8 @@ def lookup_join(
     within Spark's broadcast threshold is broadcast. A larger one is shuffled, except
     for its hot keys: at most 1/HOT_SHARE of them can exist, so their lookup rows are
     always small, and the many fact rows that carry them are joined where they are.
-    That route reads ``facts`` once to find the hot keys and once for each part.
+    That route reads ``facts`` once for each part, and once more to find the hot keys
+    unless ``find_hot`` knows them.
     """
     spark = facts.sparkSession
     if fits_broadcast(spark, size or measure(lookup)):
@@ -66,7 +78,8 @@ def lookup_join(
     if facts.isStreaming:
         return facts.join(lookup, key, how)
 
-    hot_keys = [k for k in facts.select(key).stat.freqItems([key], HOT_SHARE).first()[0] if k is not None]
+    found = find_hot() if find_hot else frequent_keys(facts, key)
+    hot_keys = [k for k in found if k is not None]
     on_hot = F.col(key).isNull() | F.col(key).isin(hot_keys)
     hot = facts.filter(on_hot).join(F.broadcast(lookup.filter(F.col(key).isin(hot_keys))), key, how)
     cold = facts.filter(~on_hot).join(lookup, key, how)

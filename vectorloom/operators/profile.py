@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vectorloom.functions import numeric as fn
-from vectorloom.operators.lookup import Size, row_bytes
+from vectorloom.operators.lookup import HOT_SHARE, Size, row_bytes
 from vectorloom.operators.numbering import number_rows
 from vectorloom.plans.spec import ColumnSpec, FeatureSpec, Kind, Transform
 
@@ -189,6 +189,11 @@ class Profile:
         size = self.labels.sizes.get(column)
         return size.rows if size else 0
 
+    def hot_labels(self, column: str) -> list[str]:
+        """Labels above HOT_SHARE of the profiled values; there are at most 1/HOT_SHARE."""
+        least = max(self.by_column[column].n * HOT_SHARE, 1.0)
+        return [r["label"] for r in self.labels.of(column).filter(F.col("n") > least).select("label").collect()]
+
 
 def make_profile(spark: SparkSession, spec: FeatureSpec, stats_rows: list, labels: LabelTable) -> Profile:
     return Profile(

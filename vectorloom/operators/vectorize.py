@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vectorloom.functions import numeric as fn
-from vectorloom.operators.lookup import lookup_join
+from vectorloom.operators.lookup import Size, lookup_join
 from vectorloom.operators.profile import Profile, fit_profile, nominal_values, typed_column
 from vectorloom.plans.spec import ColumnSpec, FeatureSpec, Kind, Transform
 
@@ -61,7 +63,13 @@ def apply_profile(df: DataFrame, profile: Profile, unseen: str = "error", keep:
             ids = profile.labels.of(c.name).select(
                 F.col("label").alias(f"raw_{c.name}"), F.col("label_id").alias(f"id_{c.name}")
             )
-            out = lookup_join(out, ids, f"raw_{c.name}", size=profile.labels.sizes.get(c.name))
+            out = lookup_join(
+                out,
+                ids,
+                f"raw_{c.name}",
+                size=profile.labels.sizes.get(c.name, Size(0, 0)),
+                find_hot=partial(profile.hot_labels, c.name),
+            )
     features = [
         _nominal_feature(F.col(f"`raw_{c.name}`"), F.col(f"`id_{c.name}`"), c, profile, unseen)
         if c.kind is Kind.NOMINAL
