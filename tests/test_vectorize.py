@@ -148,6 +148,19 @@ def test_large_dictionary_takes_the_shuffled_join(spark, no_broadcast):
     assert seen == {**{at: float(ids[c]) for at, c in rows}, 3000: None}
 
 
+def test_two_large_dictionaries(spark, no_broadcast):
+    rows = [(i, f"a{i % 700}" if i % 2 else "a", f"b{i % 900}" if i % 3 else "b") for i in range(2000)]
+    df = spark.createDataFrame(rows, "at bigint, a string, b string")
+    spec = make_spec("r", ",", ("a", "NOMINAL", "COPY"), ("b", "NOMINAL", "NORMALIZE"))
+    out = apply_profile(df, pr.fit_profile(df, spec, F.col("at")), keep=("at",))
+    a_ids, b_ids = {}, {}
+    for _, a, b in rows:
+        a_ids.setdefault(a, len(a_ids))
+        b_ids.setdefault(b, len(b_ids))
+    got = {r["at"]: (r["a"], r["b"]) for r in out.collect()}
+    assert got == {at: (float(a_ids[a]), (b_ids[b] + 1) / len(b_ids)) for at, a, b in rows}
+
+
 def test_constant_column(spark):
     df = spark.createDataFrame([(1, 5.0), (2, 5.0)], "at int, x double")
     for transform, expected in (("NORMALIZE", 0.0), ("BINARIZE", 1.0), ("ZEROMEAN_ZEROUNITVARIANCE", 0.0)):

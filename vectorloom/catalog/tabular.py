@@ -47,13 +47,10 @@ def rename_column(spark, sf_dir):
 )
 def string_to_time(spark, sf_dir):
     parsed = raw_events(spark, sf_dir).transform(tb.string_to_time("ts_text"))
-    whole = F.date_trunc("second", F.col("ts_text"))
     return parsed.select(
         "event_id",
         F.substring(F.col("ts_text").cast("string"), 1, 19).alias("second"),
-        F.round((F.col("ts_text") - whole).cast("interval second").cast("decimal(18,3)") * 1000)
-        .cast("bigint")
-        .alias("millis"),
+        F.date_format("ts_text", "SSS").cast("bigint").alias("millis"),
     )
 
 

@@ -91,6 +91,7 @@ def item_to_style(
         dictionary.select("style_key", "style_index"),
         "style_key",
         how="inner",
+        costly=True,
     ).select("item_id", "style_index", "style")
 
 

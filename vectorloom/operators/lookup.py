@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vectorloom.session import materialize
+
 # A key above this share of the rows counts as hot, so there are at most 1/share hot keys.
 HOT_SHARE = 0.005
 _UNITS = {"": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
@@ -62,6 +64,7 @@ def lookup_join(
     how: str = "left",
     size: Size | None = None,
     find_hot: Callable[[], list] | None = None,
+    costly: bool = False,
 ) -> DataFrame:
     """Join ``facts`` to ``lookup``, whose ``key`` values are unique.
 
@@ -70,7 +73,7 @@ def lookup_join(
     for its hot keys: at most 1/HOT_SHARE of them can exist, so their lookup rows are
     always small, and the many fact rows that carry them are joined where they are.
     That route reads ``facts`` once for each part, and once more to find the hot keys
-    unless ``find_hot`` knows them.
+    unless ``find_hot`` knows them; ``costly`` facts are written first.
     """
     spark = facts.sparkSession
     if fits_broadcast(spark, size or measure(lookup)):
@@ -78,6 +81,8 @@ def lookup_join(
     if facts.isStreaming:
         return facts.join(lookup, key, how)
 
+    if costly:
+        facts = materialize(facts, "facts")
     found = find_hot() if find_hot else frequent_keys(facts, key)
     hot_keys = [k for k in found if k is not None]
     on_hot = F.col(key).isNull() | F.col(key).isin(hot_keys)

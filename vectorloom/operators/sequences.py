@@ -30,7 +30,11 @@ def corpus_stats(docs: DataFrame, text: str) -> DataFrame:
 
 def next_char_pairs(docs: DataFrame, text: str, vocab: Vocabulary = DEFAULT, max_len: int = 0) -> DataFrame:
     """Add ``inputs``, ``targets`` (index arrays of equal length) and ``n_steps``."""
-    encoded = docs.withColumn("__encoded", tx.encode(F.col(text), vocab))
+    source = F.col(text)
+    if max_len:
+        # no step past max_len is needed, so no character past it is encoded
+        source = F.left(tx.charset_filter(source, vocab), F.lit(max_len))
+    encoded = docs.withColumn("__encoded", tx.encode(source, vocab))
     inputs, targets = tx.step_inputs(F.col("__encoded"), vocab), tx.step_targets(F.col("__encoded"), vocab)
     if max_len:
         inputs, targets = tx.truncate_sequence(inputs, max_len), tx.truncate_sequence(targets, max_len)

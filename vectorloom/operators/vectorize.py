@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vectorloom.functions import numeric as fn
-from vectorloom.operators.lookup import Size, lookup_join
+from vectorloom.operators.lookup import Size, fits_broadcast, lookup_join
 from vectorloom.operators.profile import Profile, fit_profile, nominal_values, typed_column
 from vectorloom.plans.spec import ColumnSpec, FeatureSpec, Kind, Transform
 
@@ -58,18 +58,16 @@ def apply_profile(df: DataFrame, profile: Profile, unseen: str = "error", keep:
         *[F.col(f"`{k}`").alias(f"keep_{k}") for k in keep],
         *[typed_column(df, c).alias(f"raw_{c.name}") for c in emitted],
     )
-    for c in emitted:
-        if c.kind is Kind.NOMINAL:
-            ids = profile.labels.of(c.name).select(
-                F.col("label").alias(f"raw_{c.name}"), F.col("label_id").alias(f"id_{c.name}")
-            )
-            out = lookup_join(
-                out,
-                ids,
-                f"raw_{c.name}",
-                size=profile.labels.sizes.get(c.name, Size(0, 0)),
-                find_hot=partial(profile.hot_labels, c.name),
-            )
+    sizes = {c: profile.labels.sizes.get(c.name, Size(0, 0)) for c in emitted if c.kind is Kind.NOMINAL}
+    # smallest first: after the first dictionary that needs a shuffle, the rows are worth writing
+    shuffled = False
+    for c, size in sorted(sizes.items(), key=lambda item: item[1].bytes):
+        ids = profile.labels.of(c.name).select(
+            F.col("label").alias(f"raw_{c.name}"), F.col("label_id").alias(f"id_{c.name}")
+        )
+        hot_labels = partial(profile.hot_labels, c.name)
+        out = lookup_join(out, ids, f"raw_{c.name}", size=size, find_hot=hot_labels, costly=shuffled)
+        shuffled = shuffled or not fits_broadcast(df.sparkSession, size)
     features = [
         _nominal_feature(F.col(f"`raw_{c.name}`"), F.col(f"`id_{c.name}`"), c, profile, unseen)
         if c.kind is Kind.NOMINAL

@@ -35,10 +35,12 @@ def shared_dir(spark: SparkSession) -> str:
     cluster a missing setting is an error, because a machine-local folder would
     lose its contents together with the executor that wrote them.
     """
+    named = spark.conf.get(_SHARED_DIR_KEY, None)
+    if named:
+        return named
     context = spark.sparkContext
-    folder = spark.conf.get(_SHARED_DIR_KEY, None) or context.getCheckpointDir()
-    if folder:
-        return folder
+    if context.getCheckpointDir():
+        return context.getCheckpointDir()
     if not context.master.startswith("local"):
         raise RuntimeError(f"set {_SHARED_DIR_KEY} to a folder shared by all executors")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="vectorloom-"))
