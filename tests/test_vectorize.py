@@ -105,8 +105,9 @@ def test_statistics(spark):
     assert stats["petalwidth"]["stddev"] == pytest.approx(0.7319589393462511)
 
 
-def test_vectorize(spark):
-    out = vectorize(parsed(spark), SPEC, F.col("at"), keep=("at",)).orderBy("at").collect()
+@pytest.mark.parametrize("costly", [False, True])
+def test_vectorize(spark, costly):
+    out = vectorize(parsed(spark), SPEC, F.col("at"), keep=("at",), costly=costly).orderBy("at").collect()
     for row, expected in zip(out, EXPECTED, strict=True):
         assert [*row["features"], row["label"]] == pytest.approx(expected, abs=1e-9)
 

@@ -240,7 +240,7 @@ def vectorize_lines(spark, sf_dir):
     lines = lineitem(spark, sf_dir).select(*LINE_KEY[1:], as_line(*LINE_SPEC.names).alias("value"))
     parsed = read_delimited(lines, LINE_SPEC, keep=LINE_KEY[1:])
     position = F.col("l_orderkey").cast("bigint") * 10 + F.col("l_linenumber")
-    return _plain_columns(vectorize(parsed, LINE_SPEC, position, LINE_KEY[1:]))
+    return _plain_columns(vectorize(parsed, LINE_SPEC, position, LINE_KEY[1:], costly=True))
 
 
 @register(

@@ -11,6 +11,7 @@ from vectorloom.functions import numeric as fn
 from vectorloom.operators.lookup import Size, fits_broadcast, lookup_join
 from vectorloom.operators.profile import Profile, fit_profile, nominal_values, typed_column
 from vectorloom.plans.spec import ColumnSpec, FeatureSpec, Kind, Transform
+from vectorloom.session import materialize
 
 UNSEEN_POLICIES = ("error", "null", "minus_one")
 
@@ -111,8 +112,18 @@ def assemble_sparse(df: DataFrame, spec: FeatureSpec, compat: bool = False, keep
     return df.select(*keep, label.alias("label"), sparse_entries(spec, compat).alias("entries"))
 
 
-def vectorize(df: DataFrame, spec: FeatureSpec, position: Column, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Profile, apply and assemble in one call."""
+def vectorize(
+    df: DataFrame, spec: FeatureSpec, position: Column, keep: tuple[str, ...] = (), costly: bool = False
+) -> DataFrame:
+    """Profile, apply and assemble in one call.
+
+    The input is read three times. With ``costly`` (text that has to be parsed, say) its
+    typed values are written once and the three scans read those, by column.
+    """
+    if costly:
+        typed = [typed_column(df, c).alias(c.name) for c in spec.columns]
+        df = materialize(df.select(*keep, position.alias("__position"), *typed), "typed")
+        position = F.col("__position")
     profile = fit_profile(df, spec, position)
     return assemble_plain(apply_profile(df, profile, keep=keep), spec, keep)
 
