@@ -35,7 +35,7 @@ def moving_average(
     rows of a block are repeated at the head of the next one.
     """
     numbered = number_rows(scores.select(run, epoch, score, *carry), [run, epoch], "__pos").rows
-    block = F.floor(F.col("__pos") / block_rows)
+    block = F.expr(f"__pos div {block_rows}")
     is_tail = F.col("__pos") % block_rows > block_rows - window
     home = F.struct(block.alias("__block"), F.lit(False).alias("__is_head"))
     repeated = F.struct((block + 1).alias("__block"), F.lit(True).alias("__is_head"))

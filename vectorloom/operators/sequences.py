@@ -86,7 +86,7 @@ def assign_minibatch(rows: DataFrame, position: str, batch_size: int, carry: tup
     numbered = number_rows(narrow, [position])
     batched = numbered.rows.withColumns(
         {
-            "batch_id": F.floor(F.col("pos") / batch_size),
+            "batch_id": F.expr(f"pos div {batch_size}"),
             "row_in_batch": F.col("pos") % batch_size,
         }
     )
