@@ -66,6 +66,7 @@ LINE_FEATURES_SQL = f"""WITH {LINES_SQL}, {LINE_STATS_SQL}, {FLAG_SQL}, {STATUS_
       SELECT {KEY_SQL}, CAST(l_orderkey AS DOUBLE) AS f_key,
              round((l_quantity - q_lo) / (q_hi - q_lo), 6) AS f_quantity,
              round((l_extendedprice - p_avg) / (p_sd + 1e-6), 6) AS f_price,
+             l_extendedprice > p_avg AS price_above,
              CASE WHEN l_discount < (d_hi - d_lo) / 2 + d_lo THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS f_discount,
              (statuses.k + 1) / (SELECT count(*) FROM statuses)::DOUBLE AS f_status,
              CAST(flags.k AS DOUBLE) AS label
@@ -200,7 +201,7 @@ def _plain_columns(df: DataFrame) -> DataFrame:
     return rounded(out, 6, "f_quantity", "f_price")
 
 
-@register("t14_assemble_plain", LINE_FEATURES_SQL + "SELECT * FROM f")
+@register("t14_assemble_plain", LINE_FEATURES_SQL + "SELECT * EXCLUDE (price_above) FROM f")
 def plain(spark, sf_dir):
     lines, profile = line_profile(spark, sf_dir)
     return _plain_columns(assemble_plain(apply_profile(lines, profile, keep=LINE_KEY), LINE_SPEC, LINE_KEY))
@@ -212,7 +213,7 @@ def plain(spark, sf_dir):
     + f"""SELECT {KEY_SQL}, label, nullif(f_key, 0) AS s1, nullif(f_quantity, 0) AS s2, f_price AS s3,
            nullif(f_discount, 0) AS s4, f_status AS s5,
            CASE WHEN f_key > 0 THEN f_key END AS c1, CASE WHEN f_quantity > 0 THEN f_quantity END AS c2,
-           CASE WHEN f_price > 0 THEN f_price END AS c3, CAST(NULL AS DOUBLE) AS c4,
+           CASE WHEN price_above THEN f_price END AS c3, CAST(NULL AS DOUBLE) AS c4,
            CASE WHEN f_discount > 0 THEN f_discount END AS c5, f_status AS c6
     FROM f""",
 )
@@ -234,7 +235,7 @@ def sparse(spark, sf_dir):
     return rounded(wide, 6, "s2", "s3", "c2", "c3")
 
 
-@register("t16_vectorize", LINE_FEATURES_SQL + "SELECT * EXCLUDE (order_key) FROM f")
+@register("t16_vectorize", LINE_FEATURES_SQL + "SELECT * EXCLUDE (order_key, price_above) FROM f")
 def vectorize_lines(spark, sf_dir):
     """From text lines to features: parse, profile, apply, assemble."""
     lines = lineitem(spark, sf_dir).select(*LINE_KEY[1:], as_line(*LINE_SPEC.names).alias("value"))
