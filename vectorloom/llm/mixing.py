@@ -9,7 +9,7 @@ from vectorloom.session import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
 # Rows that share one ranking window; a source with more rows is spread over more windows.
-ROWS_PER_WINDOW = 50_000
+ROWS_PER_WINDOW = 1_000
 
 
 def word_count(text: Column) -> Column:
