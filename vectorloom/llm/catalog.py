@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vectorloom.llm.mixing import pareto_mix, word_count
+from vectorloom.llm.ngram_join import ngram_jaccard_join
 from vectorloom.llm.packing import pack_documents
 from vectorloom.llm.sharding import assign_shards, byte_size
 from vectorloom.llm.warc import archive_pages
@@ -30,6 +31,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@register("op3_ngram_join")
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard_join(table(spark, sf_dir, "documents"))
+
+
 @register(
     "op4_warc",
     """
