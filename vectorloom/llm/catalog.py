@@ -11,6 +11,7 @@ from vectorloom.llm.mixing import pareto_mix, word_count
 from vectorloom.llm.ngram_join import ngram_jaccard_join
 from vectorloom.llm.packing import pack_documents
 from vectorloom.llm.sharding import assign_shards, byte_size
+from vectorloom.llm.suffix_dedup import remove_repeats
 from vectorloom.llm.warc import archive_pages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +82,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
     return pareto_mix(docs, "doc_id", "source", "size").select("doc_id", "size", "source_size", "target", "taken")
+
+
+@register("op10_suffix_dedup")
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
