@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vectorloom.llm.fingerprints import edit_study
 from vectorloom.llm.mixing import pareto_mix, word_count
 from vectorloom.llm.ngram_join import ngram_jaccard_join
 from vectorloom.llm.packing import pack_documents
@@ -89,3 +90,8 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@register("op6_fingerprints")
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_study(table(spark, sf_dir, "documents"))
