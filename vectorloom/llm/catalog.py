@@ -11,6 +11,7 @@ from vectorloom.llm.fingerprints import edit_study
 from vectorloom.llm.mixing import pareto_mix, word_count
 from vectorloom.llm.ngram_join import ngram_jaccard_join
 from vectorloom.llm.packing import pack_documents
+from vectorloom.llm.quality_rules import judge_lines, train_field
 from vectorloom.llm.sharding import assign_shards, byte_size
 from vectorloom.llm.suffix_dedup import remove_repeats
 from vectorloom.llm.warc import archive_pages
@@ -95,3 +96,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op6_fingerprints")
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_study(table(spark, sf_dir, "documents"))
+
+
+@register("op8_quality_rules")
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = train_field(docs, table(spark, sf_dir, "labels"), "doc_id", "text", "quality")
+    return judge_lines(docs, model)
