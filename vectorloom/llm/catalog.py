@@ -11,6 +11,7 @@ from vectorloom.llm.fingerprints import edit_study
 from vectorloom.llm.mixing import pareto_mix, word_count
 from vectorloom.llm.ngram_join import ngram_jaccard_join
 from vectorloom.llm.packing import pack_documents
+from vectorloom.llm.quality_classifier import classify_quality
 from vectorloom.llm.quality_rules import judge_lines, train_field
 from vectorloom.llm.sharding import assign_shards, byte_size
 from vectorloom.llm.suffix_dedup import remove_repeats
@@ -34,6 +35,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@register("op2_quality_classifier")
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_quality(table(spark, sf_dir, "documents"))
+
+
 @register("op3_ngram_join")
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(table(spark, sf_dir, "documents"))
