@@ -15,6 +15,7 @@ from vectorloom.llm.quality_classifier import classify_quality
 from vectorloom.llm.quality_rules import judge_lines, train_field
 from vectorloom.llm.sharding import assign_shards, byte_size
 from vectorloom.llm.suffix_dedup import remove_repeats
+from vectorloom.llm.token_counts import attribute_tokens
 from vectorloom.llm.warc import archive_pages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,3 +110,8 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = train_field(docs, table(spark, sf_dir, "labels"), "doc_id", "text", "quality")
     return judge_lines(docs, model)
+
+
+@register("op1_token_counts")
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attribute_tokens(table(spark, sf_dir, "documents")).drop("name")
