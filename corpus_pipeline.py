@@ -1,19 +1,95 @@
-"""The corpus pipeline: stages over ``documents``, each written as Parquet and read again for the next."""
+"""The corpus pipeline: stages over ``documents``, each written as Parquet and read again for the next.
+
+Every stage takes rows with the columns of ``documents`` and works on all of them; all but the last give
+such rows back. Rows without a doc_id are kept apart from none but themselves: near-duplicate removal
+leaves them, the other stages treat them like any row.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from vectorloom.llm.mixing import pareto_mix, word_count
+from vectorloom.llm.ngram_join import Rule, ngram_jaccard_join
+from vectorloom.llm.packing import pack_documents
+from vectorloom.llm.quality_classifier import keep_good, train_classifier
+from vectorloom.llm.suffix_dedup import remove_repeats
 from vectorloom.session import materialize
 
-STAGES: list = []
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+# Near copies: word 5-grams, Jaccard similarity of at least 0.8.
+NEAR_COPIES = Rule(n=5, percent=80)
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, trained on these documents, calls good."""
+    docs = docs.select(COLUMNS)
+    _, scorer = train_classifier(docs)
+    return keep_good(docs, scorer)
+
+
+def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every group of linked documents the one with the smallest doc_id.
+
+    Rows that share a doc_id count as one document; the first by text stays.
+    """
+    docs = docs.select(COLUMNS)
+    joined = materialize(ngram_jaccard_join(docs, rule=NEAR_COPIES), "pipeline-components")
+    copies = joined.filter("component_id != doc_id").select("doc_id").distinct()
+    kept = docs.join(copies, "doc_id", "left_anti").select(COLUMNS)
+    again = joined.groupBy("doc_id").count().filter("doc_id IS NOT NULL AND count > 1").select("doc_id")
+    if again.isEmpty():
+        return kept
+    rows = F.struct(*[F.col(c) for c in COLUMNS[1:]])
+    first = kept.join(again, "doc_id").groupBy("doc_id").agg(F.min(rows).alias("row")).select("doc_id", "row.*")
+    return kept.join(again, "doc_id", "left_anti").unionByName(first)
+
+
+def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the strings of 100 bytes that start earlier; an emptied document stays, empty."""
+    rows = docs.select(COLUMNS).withColumn("absent", F.col("text").isNull())
+    kept = remove_repeats(rows, carry=("lang", "source", "n_chars", "absent"), as_text=True)
+    changed = F.col("n_removed") > 0
+    return kept.select(
+        "doc_id",
+        F.when(~F.col("absent"), F.col("kept")).alias("text"),
+        "lang",
+        "source",
+        F.when(changed, F.char_length("kept").cast("long")).otherwise(F.col("n_chars")).alias("n_chars"),
+    )
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources brought to their weights: every document as often as the mix takes it."""
+    docs = docs.select(COLUMNS)
+    key = F.coalesce("doc_id", F.xxhash64("text", "source"))
+    sizes = docs.select(key.alias("row_key"), "source", word_count(F.col("text")).alias("size"))
+    taken = pareto_mix(sizes, "row_key", "source", "size").filter("copies > 0")
+    copies = materialize(taken.groupBy("row_key").agg(F.max("copies").alias("copies")), "pipeline-copies")
+    repeated = docs.withColumn("row_key", key).join(copies, "row_key")
+    return repeated.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(COLUMNS)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences; ids as a checksum, as the texts are in the stage before."""
+    return pack_documents(docs).withColumn("ids_crc32", F.crc32("ids"))
+
+
+STAGES = [
+    ("quality_classifier", quality_classifier),
+    ("ngram_join", ngram_join),
+    ("suffix_dedup", suffix_dedup),
+    ("mixing", mixing),
+    ("packing", packing),
+]
 
-# The stages hash, train and pack: SQL has no equivalent. tests/llm compares them with plain Python.
+# The stages hash, train and tokenize: SQL has no equivalent. tests/llm compares them with plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -248,6 +248,19 @@ def score_documents(docs: DataFrame, scorer: Scorer, key: str, text: str) -> Dat
     return docs.select(key, text).mapInArrow(score, f"`{key}` {kind}, score double")
 
 
+def keep_good(docs: DataFrame, scorer: Scorer, text: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text scores at least the threshold. Nothing is shuffled."""
+    at = docs.columns.index(text)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, data, offsets in text_passes(batch.column(at)):
+                scores = scorer.scores(data, offsets)
+                yield batch.slice(first, len(scores)).filter(pa.array(scores >= threshold))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def train_classifier(
     docs: DataFrame, key: str = "doc_id", text: str = "text", training_docs: int = TRAINING_DOCS
 ) -> tuple[LabelModel, Scorer]:

@@ -24,8 +24,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vectorloom.llm.blocks import BLOCKS, bucket_of, pack, split_by, unpack
 from vectorloom.llm.textops import SpanHashes, mix, text_passes
@@ -65,11 +67,17 @@ def _table(schema: pa.Schema, *columns) -> pa.Table:
 
 
 def _doc_table(batch: pa.RecordBatch) -> pa.Table:
-    """Key, checksum and bytes of a batch of (key, text), in order of key and checksum. Null keys are last."""
+    """Key, checksum, bytes and further columns of a batch of (key, text, …), in order of key and checksum.
+
+    Null keys are last.
+    """
     key = batch.column(0).cast(pa.int64()).fill_null(int(_LAST))
     text = batch.column(1).cast(pa.large_binary()).fill_null(b"")
     crc = pa.array([zlib.crc32(t.as_buffer()) for t in text], pa.uint32())
-    return pa.Table.from_arrays([key, crc, text], schema=_DOC).sort_by([("key", "ascending"), ("crc", "ascending")])
+    table = pa.Table.from_arrays([key, crc, text], schema=_DOC)
+    for i in range(2, batch.num_columns):
+        table = table.append_column(f"carried {i}", batch.column(i))
+    return table.take(pc.sort_indices(table, [("key", "ascending"), ("crc", "ascending")]))
 
 
 def _doc_bucket(key: np.ndarray, buckets: int) -> np.ndarray:
@@ -135,7 +143,7 @@ def spread_anchors(docs: DataFrame, n_docs: int, length: int) -> dict[int, int]:
                 [pa.array(found["k"][first].view(np.int64)), pa.array(found["f"][first].view(np.int64))], names=["k", "f"]
             )
 
-    key, text = docs.columns
+    key = docs.columns[0]
     some = docs.filter(F.pmod(F.xxhash64(F.col(key), F.lit(5)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
     seen = some.mapInArrow(sampled, "k long, f long").distinct().groupBy("k").count().filter(F.col("count") >= SPREAD_FROM)
     return {
@@ -240,7 +248,10 @@ def _row_of(docs: pa.Table, key: np.ndarray, crc: np.ndarray) -> np.ndarray:
 
 
 def _sorted_docs(rows: pa.Table) -> pa.Table:
-    return unpack(rows.column("data").to_pylist(), _DOC).sort_by([("key", "ascending"), ("crc", "ascending")])
+    values = rows.column("data").to_pylist()
+    schema = pa.ipc.open_stream(values[0]).schema if values else _DOC
+    docs = unpack(values, schema)
+    return docs.take(pc.sort_indices(docs, [("key", "ascending"), ("crc", "ascending")]))
 
 
 def contexts(texts: DataFrame, found: DataFrame, length: int, tasks: int) -> DataFrame:
@@ -375,11 +386,10 @@ def repeats_across_tasks(blocks: DataFrame, length: int, doc_buckets: int) -> Da
     return blocks.filter("kind = 3").groupBy("bucket").applyInArrow(search, f"kind int, {BLOCKS}")
 
 
-def remove_covered(texts: DataFrame, covers: DataFrame, key: str) -> DataFrame:
-    """(key, n_bytes, n_removed, n_spans, kept): every text without its covered bytes."""
-    schema = pa.schema(
-        [(key, pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())]
-    )
+def remove_covered(texts: DataFrame, covers: DataFrame, shape: T.StructType) -> DataFrame:
+    """Every text without its covered bytes, in the given shape: key, n_bytes, n_removed, n_spans, kept, carried columns."""
+    as_text = shape["kept"].dataType == T.StringType()
+    names = shape.names
 
     def apply(_: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         docs = _sorted_docs(left)
@@ -390,7 +400,7 @@ def remove_covered(texts: DataFrame, covers: DataFrame, key: str) -> DataFrame:
         edge = np.searchsorted(row, np.arange(docs.num_rows + 1))
         keys, crcs = docs.column("key").to_numpy(), docs.column("crc").to_numpy()
         text = docs.column("text").combine_chunks()
-        out, same = [], 0
+        counts, kept, same = [], [], 0
         for i in range(docs.num_rows):
             if i and (keys[i], crcs[i]) != (keys[i - 1], crcs[i - 1]):
                 same = i
@@ -404,27 +414,35 @@ def remove_covered(texts: DataFrame, covers: DataFrame, key: str) -> DataFrame:
                 gone = np.cumsum(depth[:-1]) > 0
                 removed = int(gone.sum())
                 spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
-                data_kept = data[~gone].tobytes()
+                rest = data[~gone].tobytes()
             else:
-                data_kept = data.tobytes()
-            out.append((None if keys[i] == _LAST else int(keys[i]), len(data), removed, spans, data_kept))
-        columns = zip(*out) if out else [[]] * len(schema)
-        return pa.Table.from_arrays([pa.array(v, f.type) for v, f in zip(columns, schema)], schema=schema)
+                rest = data.tobytes()
+            counts.append((len(data), removed, spans))
+            kept.append(rest.decode("utf-8", "ignore") if as_text else rest)
+        key_column = pa.array(keys, pa.int64(), mask=keys == _LAST)
+        numbers = [pa.array([n[j] for n in counts], pa.int64()) for j in range(3)]
+        kept_column = pa.array(kept, pa.string() if as_text else pa.binary())
+        return pa.table([key_column, *numbers, kept_column, *docs.columns[len(_DOC) :]], names=names)
 
-    shape = f"`{key}` long, n_bytes long, n_removed long, n_spans long, kept binary"
     return texts.groupBy("bucket").cogroup(covers.groupBy("bucket")).applyInArrow(apply, shape)
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, carry: tuple[str, ...] = (),
+    as_text: bool = False,
+) -> DataFrame:
     """(key, n_bytes, n_removed, n_spans, kept) of every document; ``kept`` are the remaining bytes.
 
+    ``carry`` names further columns that come along. ``as_text`` gives ``kept`` as text, without the
+    characters that a cut left incomplete.
+
     Strings are judged on the input, and overlaps with an earlier start in the same document count. A null
     or empty text has no bytes. Texts below ``length`` bytes stay as they are. Null keys come after all
     others. Rows that agree in key and text are judged as one document; rows that share a key only are
-    ordered by checksum. Extra columns are left out. Empty input gives no rows. Positions are 32 bits: a
+    ordered by checksum. Other columns are left out. Empty input gives no rows. Positions are 32 bits: a
     text has less than 4 GB.
     """
-    docs = docs.select(key, text)
+    whole, docs = docs.select(key, text, *carry), docs.select(key, text)
     row = docs.agg(F.count("*").alias("n"), F.sum(F.octet_length(text)).alias("b")).first()
     n_docs, n_bytes = row["n"], row["b"] or 0
     doc_buckets = max(MIN_BUCKETS, n_bytes // BUCKET_BYTES)
@@ -439,4 +457,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     searched = materialize(repeats_in_contexts(looked, length, doc_buckets, tasks), "dedup-searched")
     across = repeats_across_tasks(searched, length, doc_buckets)
     covers = dealt.union(found).union(searched).filter("kind = 1").union(across).select("bucket", "data")
-    return remove_covered(document_blocks(docs, doc_buckets), covers, key)
+    counts = [T.StructField(c, T.LongType()) for c in (key, "n_bytes", "n_removed", "n_spans")]
+    kept = T.StructField("kept", T.StringType() if as_text else T.BinaryType())
+    shape = T.StructType([*counts, kept, *[whole.schema[c] for c in carry]])
+    return remove_covered(document_blocks(whole, doc_buckets), covers, shape)
