@@ -128,7 +128,7 @@ def write_archives(pages: DataFrame, folder: str, level: int = 6, archive_bytes:
                 row = {c: batch.column(j)[i].as_py() for j, c in enumerate(batch.schema.names)}
                 if out is None:
                     name, size, count = f"{prefix}-{len(done):04d}.warc.gz", 0, 0
-                    out = target.open_output_stream(f"{root}/{name}")
+                    out = target.open_output_stream(f"{root}/{name}", compression=None)
                 data = _member(_record(row, stamp), level)
                 out.write(data)
                 size, count = size + len(data), count + 1
@@ -221,7 +221,7 @@ def read_archives(manifest: DataFrame) -> DataFrame:
             for archive, expected in zip(listed.column(0).to_pylist(), listed.column(1).to_pylist()):
                 source, path = pafs.FileSystem.from_uri(archive)
                 rows, size, found = [], 0, 0
-                with source.open_input_stream(path) as stream:
+                with source.open_input_stream(path, compression=None) as stream:
                     for data in _members(stream):
                         rows.append(_row(*parse_record(data)))
                         size, found = size + len(data), found + 1
