@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,9 +50,38 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_OPEN_SCRATCH: ContextVar[list[str] | None] = ContextVar("open_scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete what is written to the shared folder within the block, when the block ends.
+
+    A result reads the tables its operators wrote, so write or collect it inside. Without such a block
+    the tables stay until the folder is cleared.
+    """
+    token = _OPEN_SCRATCH.set([])
+    try:
+        yield
+    finally:
+        paths = _OPEN_SCRATCH.get()
+        _OPEN_SCRATCH.reset(token)
+        for path in paths:
+            delete_path(spark, path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder from whatever store the session reaches."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing has used before."""
-    return f"{shared_dir(spark).rstrip('/')}/vectorloom/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/vectorloom/{label}-{uuid.uuid4().hex}"
+    if (paths := _OPEN_SCRATCH.get()) is not None:
+        paths.append(path)
+    return path
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
