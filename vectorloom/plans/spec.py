@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from enum import Enum
 
 
+# The words of the spec file.
 class Kind(str, Enum):
     NUMERIC = "NUMERIC"
     DATE = "DATE"
@@ -78,6 +79,13 @@ class FeatureSpec:
         return found[-1] if found else None
 
 
+    def to_text(self) -> str:
+        """The form that ``load_spec`` reads."""
+        head = [f"@RELATION {self.relation}", f"@DELIMITER {self.delimiter}"] if self.relation else [f"@DELIMITER {self.delimiter}"]
+        lines = [f"@ATTRIBUTE {c.name} {c.kind.value} !{c.transform.value}" for c in self.columns]
+        return "\n".join([*head, *lines])
+
+
 def make_spec(relation: str, delimiter: str, *columns: tuple[str, str, str]) -> FeatureSpec:
     return FeatureSpec(
         relation, delimiter, tuple(ColumnSpec(n, Kind(k.upper()), Transform(t.upper())) for n, k, t in columns)

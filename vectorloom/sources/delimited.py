@@ -65,9 +65,9 @@ def read_typed_csv(lines: DataFrame, schema: T.StructType | str, line: str = "va
     return lines.select(F.from_csv(F.col(line), ddl, {"mode": "FAILFAST", **options}).alias("r")).select("r.*")
 
 
-def write_delimited(df: DataFrame, path: str) -> None:
+def write_delimited(df: DataFrame, path: str, **options: str) -> None:
     """Typed rows as comma-separated lines."""
-    df.write.csv(path)
+    df.write.options(**options).csv(path)
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:

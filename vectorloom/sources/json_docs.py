@@ -25,34 +25,63 @@ REVIEW_FIELDS = ", ".join(
 def read_containers(spark: SparkSession, path: str, per_line: bool = False) -> DataFrame:
     """Container documents as text: one per file, or one per line.
 
-    A container that spans a file cannot be split, so one task reads it; give large
-    collections as many files, or one container per line.
+    A container that spans a file cannot be split: one task reads it whole, and it must be below 2 GB.
+    Give large collections as many files, or one container per line.
     """
     return spark.read.text(path, wholetext=not per_line)
 
 
-def container_records(containers: DataFrame, fields: str, text: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Records under the first element of each root, with their position in it.
+def _first_element(text: Column) -> tuple[Column, Column]:
+    """Whether the text is a container, and the text under its first key (NULL for an empty root)."""
+    root = F.from_json(text, "map<string,string>")
+    return root.isNotNull(), F.trim(F.get(F.map_values(root), F.lit(0)))
+
+
+def _records(first: Column, fields: str) -> Column:
+    """Records under an element that is an object of records or an array of them; NULL if it is neither."""
+    texts = ", ".join(f"{field.split()[0]}:string" for field in fields.split(","))
+    as_array = F.from_json(first, f"array<struct<{texts}>>")
+    as_object = F.map_values(F.from_json(first, f"map<string,struct<{texts}>>"))
+    return F.when(first.startswith("["), as_array).when(first.startswith("{"), as_object)
+
+
+def _misread(record: Column, fields: str) -> Column:
+    """True where a record is none, or has a value that is not of its field's type."""
+    wrong = record.isNull()
+    for name, kind in (field.split() for field in fields.split(",")):
+        if kind != "string":
+            wrong = wrong | (record[name].isNotNull() & record[name].try_cast(kind).isNull())
+    return wrong
 
-    That element may be an object of records or an array of them.
-    """
-    roots = containers.select(
-        *keep, F.trim(F.map_values(F.from_json(F.col(text), "map<string,string>"))[0]).alias("first")
-    )
 
-    def as_array(c: Column) -> Column:
-        return F.from_json(c, f"array<struct<{_struct(fields)}>>")
+def _is_bad(text: Column, fields: str) -> Column:
+    is_container, first = _first_element(text)
+    records = _records(first, fields)
+    return ~is_container | (first.isNotNull() & (records.isNull() | F.exists(records, lambda r: _misread(r, fields))))
 
-    def as_object(c: Column) -> Column:
-        return F.map_values(F.from_json(c, f"map<string,struct<{_struct(fields)}>>"))
 
-    first = F.col("first")
-    records = F.when(first.startswith("["), as_array(first)).otherwise(as_object(first))
-    return roots.select(*keep, F.posexplode(records).alias("at", "r")).select(*keep, "at", "r.*")
+def bad_containers(containers: DataFrame, fields: str, text: str = "value") -> DataFrame:
+    """Containers that ``container_records`` would reject: malformed, cut off, or with a value of a wrong type."""
+    return containers.filter(F.col(text).isNotNull() & F.coalesce(_is_bad(F.col(text), fields), F.lit(True)))
+
+
+def container_records(containers: DataFrame, fields: str, text: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Records under the first element of each root, with their position in it.
+
+    That element may be an object of records or an array of them. A container that cannot be read in
+    full is an error; see ``bad_containers``. A NULL text and an empty root have no records.
+    """
+    bad = F.coalesce(_is_bad(F.col(text), fields), F.lit(True))
+    message = F.concat(F.lit("bad container: "), F.left(F.col(text), F.lit(200)))
+    records = F.when(bad & F.col(text).isNotNull(), F.raise_error(message).cast(f"array<struct<{_struct(fields, True)}>>"))
+    records = records.otherwise(_records(_first_element(F.col(text))[1], fields))
+    exploded = containers.select(*keep, F.posexplode(records).alias("at", "r"))
+    return exploded.select(*keep, "at", F.col("r").cast(f"struct<{_struct(fields)}>").alias("r")).select(*keep, "at", "r.*")
 
 
-def _struct(fields: str) -> str:
-    return ", ".join("{}:{}".format(*f.split()) for f in fields.split(","))
+def _struct(fields: str, as_text: bool = False) -> str:
+    pairs = [f.split() for f in fields.split(",")]
+    return ", ".join(f"{name}:{'string' if as_text else kind}" for name, kind in pairs)
 
 
 def read_dictionary_json(spark: SparkSession, path: str, per_line: bool = False) -> DataFrame:
