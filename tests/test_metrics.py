@@ -37,8 +37,8 @@ def test_no_scores(spark):
     assert (row["score_change"], row["avg_improvement"], row["projected_epochs"]) == (0.0, 0.0, 0.0)
 
 
-@pytest.mark.parametrize("block_rows", [5, 7, 100_000])
-@pytest.mark.parametrize("window", [1, 5])
+@pytest.mark.parametrize("block_rows", [3, 7, 100_000])
+@pytest.mark.parametrize("window", [1, 5, 50])
 def test_moving_average_over_blocks(spark, block_rows, window):
     """A hot run spans many blocks, and short runs share one; both match a plain loop."""
     rng = random.Random(1)
@@ -69,6 +69,19 @@ def test_evaluation(spark):
     assert sum(r["n"] for r in mt.confusion_matrix(df, "y", "p").collect()) == 10
 
 
+def test_overall_evaluation(spark):
+    pairs = [(0, 0)] * 3 + [(0, 1)] * 2 + [(1, 1)] * 4 + [(2, 0)]
+    row = mt.overall_evaluation(spark.createDataFrame(pairs, "y int, p int"), "y", "p").first()
+    assert (row["n_classes"], row["accuracy"]) == (3, pytest.approx(0.7))
+    assert row["precision"] == pytest.approx((3 / 4 + 4 / 6 + 0) / 3) and row["recall"] == pytest.approx((3 / 5 + 1) / 3)
+
+
+def test_summary_needs_no_global_sort(spark):
+    df = runs(spark, SERIES).withColumns({"ms": F.lit(1), "records": F.lit(1)})
+    plan = mt.training_summary(df, "run", "epoch", "score", "ms", "records")._jdf.queryExecution().toString()
+    assert "WindowGroupLimit" in plan and "rangepartitioning" not in plan
+
+
 def test_masked_loss(spark):
     df = spark.createDataFrame([(2.0, 1), (3.0, 1), (0.0, 0)], "c double, m int")
     assert mt.masked_mean_loss(df, F.col("c"), F.col("m")).first()["loss"] == 2.5

@@ -1,11 +1,13 @@
+import random
+from glob import glob
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from vectorloom.operators.lookup import broadcast_limit, lookup_join, measure
-from vectorloom.operators.numbering import number_rows
-from vectorloom.session import scratch_path, shared_dir
+from vectorloom.operators.numbering import last_part, number_rows, order_value
+from vectorloom.session import materialize, scratch, scratch_path, shared_dir
 
 
 @pytest.mark.parametrize("n, partitions", [(0, 1), (1, 3), (5000, 1), (5000, 16)])
@@ -99,3 +101,28 @@ def test_unset_shared_dir():
     assert shared_dir(local) == shared_dir(local)
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_dir(fake_session("spark://x"))
+
+
+def test_scratch_is_empty_after_use(spark, tmp_path):
+    before = set(glob(f"{shared_dir(spark).removeprefix('file:')}/vectorloom/*"))
+    with scratch(spark):
+        numbered = number_rows(spark.range(100), ["id"])
+        kept = materialize(numbered.rows, "kept")
+        assert kept.count() == 100 and set(glob(f"{shared_dir(spark).removeprefix('file:')}/vectorloom/*")) > before
+    assert set(glob(f"{shared_dir(spark).removeprefix('file:')}/vectorloom/*")) == before
+
+
+@pytest.mark.parametrize("kinds", ["a long, b int", "a int, b int, c int", "a long, b long", "a string, b int", "a int, b long"])
+def test_order_value_sorts_like_its_columns(spark, kinds):
+    names = [k.split()[0] for k in kinds.split(", ")]
+    tops = {"long": (1 << 63) - 1, "int": (1 << 31) - 1}
+    rng = random.Random(kinds)
+    values = {
+        "long": [-tops["long"] - 1, tops["long"], 0, -1, 5], "int": [-tops["int"] - 1, tops["int"], 0, -1, 7], "string": ["a", "", "b"],
+    }
+    rows = sorted({tuple(rng.choice(values[k.split()[1]]) for k in kinds.split(", ")) for _ in range(60)})
+    df = spark.createDataFrame(rows, kinds)
+    got = df.select(*names, order_value(df, names).alias("o")).orderBy("o").collect()
+    assert [tuple(r)[:-1] for r in got] == rows
+    back = df.select(names[-1], last_part(df, names, order_value(df, names)).alias("l")).filter(f"l <> {names[-1]}")
+    assert back.count() == 0

@@ -81,7 +81,7 @@ def test_records(docs):
 
 @pytest.mark.parametrize("max_len", [0, 5])
 def test_batches(docs, max_len):
-    rows = sq.pad_and_mask(docs, "id", "text", 3, max_len=max_len).orderBy("id").collect()
+    rows = sq.pad_and_mask(docs, ["id"], "text", 3, max_len=max_len).orderBy("id").collect()
     texts = [(i, t) for i, t in enumerate(TEXTS) if t]
     steps = [min(len(kept(t)) + 1, max_len or 10**9) for _, t in texts]
     assert [r["id"] for r in rows] == [i for i, _ in texts]
@@ -95,13 +95,28 @@ def test_batches(docs, max_len):
 
 def test_whole_batches_only(spark):
     for n, expected in ((0, 0), (5, 3), (6, 6)):
-        batches = sq.assign_minibatch(spark.range(n), "id", 3)
+        batches = sq.assign_minibatch(spark.range(n), ["id"], 3)
         assert sorted(r["id"] for r in sq.drop_remainder(batches, 3).collect()) == list(range(expected))
 
 
+def test_texts_are_encoded_after_the_join(docs, no_broadcast):
+    """No index array passes an exchange."""
+    plan = sq.pad_and_mask(docs, ["id"], "text", 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan and "transform(" not in plan[plan.index("Join") :]
+
+
+def test_training_batches(docs):
+    ratings = {name: F.lit(float(i + 1)) for i, name in enumerate(sq.RATINGS)}
+    reviews = docs.withColumn("style", F.lit(7))
+    rows = sq.training_batches(reviews, ["id"], "text", "style", ratings, 3, max_len=4).orderBy("id").collect()
+    assert [r["id"] for r in rows] == [i for i, t in enumerate(TEXTS) if t]
+    assert {r["style_index"] for r in rows} == {7}
+    assert [rows[0][f"ctx_{n}"] for n in sq.RATINGS] == [-1.0, -0.5, 0.0, 0.5, 1.0]
+    assert all(len(r["inputs"]) == len(r["mask"]) == r["batch_len"] <= 4 for r in rows)
+
+
 @pytest.mark.parametrize("top_k", [100_000, 1])
-def test_limit(spark, monkeypatch, top_k):
-    monkeypatch.setattr(sq, "TOP_K_ROWS", top_k)
+def test_limit(spark, top_k):
     df = spark.range(50).select((F.col("id") * 37 % 50).alias("id")).repartition(5)
     for n, expected in ((0, 50), (1, 1), (7, 7), (80, 50)):
-        assert sorted(r["id"] for r in sq.limit_examples(df, "id", n).collect()) == list(range(expected))
+        assert sorted(r["id"] for r in sq.limit_examples(df, "id", n, top_k).collect()) == list(range(expected))

@@ -1,4 +1,4 @@
-from pyspark.sql import functions as F
+import pytest
 
 from vectorloom.operators.profile import fit_profile
 from vectorloom.plans.spec import make_spec
@@ -8,10 +8,12 @@ from vectorloom.streaming.vectorize import vectorize_stream
 
 
 def test_labeled_dense(spark):
-    lines = spark.createDataFrame([("0,-0.976997367730473,-0.594055002855628",), ("1,2,3,4",)], "value string")
+    lines = spark.createDataFrame([("0,-1.25,0.5",), ("1,2,3,4",)], "value string")
     rows = read_labeled_dense(lines, 2).collect()
-    assert (rows[0]["label"], rows[0]["features"]) == (0.0, [-0.976997367730473, -0.594055002855628])
+    assert (rows[0]["label"], rows[0]["features"]) == (0.0, [-1.25, 0.5])
     assert rows[1]["features"] == [2.0, 3.0]
+    with pytest.raises(Exception, match="expected 3 fields, found 2"):
+        read_labeled_dense(spark.createDataFrame([("1,2",)], "value string"), 2).collect()
 
 
 def test_svmlight_round_trip(spark, tmp_path):
@@ -31,7 +33,7 @@ def test_plain_lines(spark, tmp_path):
 def test_stream_of_lines(spark, tmp_path):
     spec = make_spec("r", ",", ("x", "NUMERIC", "NORMALIZE"), ("c", "NOMINAL", "LABEL"))
     lines = spark.createDataFrame([(0, "0,a"), (1, "10,b")], "at int, value string")
-    profile = fit_profile(read_delimited(lines, spec, keep=("at",)), spec, F.col("at"))
+    profile = fit_profile(read_delimited(lines, spec, keep=("at",)), spec, ["at"])
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "1.txt").write_text("5,b\n\n10,new\n")
     out = vectorize_stream(spark.readStream.text(str(tmp_path / "in")), profile)

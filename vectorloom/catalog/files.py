@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from vectorloom.catalog.base import as_line, register, rounded, table
 from vectorloom.catalog.statistics import LABELS_SQL, STATS_SQL
-from vectorloom.catalog.vectors import LINE_FEATURES_SQL, LINE_SPEC, line_profile
+from vectorloom.catalog.vectors import LINE_FEATURES_SQL, LINE_SPEC, labels_sql, line_profile
 from vectorloom.operators.lookup import lookup_join
+from vectorloom.operators.profile import fit_profile
 from vectorloom.operators.vectorize import apply_profile, assemble_plain, assemble_sparse
 from vectorloom.plans.spec import make_spec
 from vectorloom.session import scratch_path
@@ -112,6 +113,19 @@ def read_reviews_json(spark, sf_dir):
     return json_docs.read_reviews_json(spark, path, per_line=True).drop("at")
 
 
+@register(
+    "s4_bad_containers",
+    """SELECT doc_id FROM documents LEFT JOIN labels USING (doc_id) WHERE doc_id % 10 IN (3, 7)""",
+)
+def bad_containers(spark, sf_dir):
+    """Of ten containers one is cut off and one has a rating that is no number; the others are read in full."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rating = F.when(F.col("doc_id") % 10 == 7, F.lit("many")).otherwise(F.lit("2.5"))
+    whole = F.to_json(F.create_map(F.lit("reviews"), F.array(F.struct("text", rating.alias("rating_overall")))))
+    cut = F.when(F.col("doc_id") % 10 == 3, F.left(whole, F.length(whole) - 2)).otherwise(whole)
+    return json_docs.bad_containers(docs.select("doc_id", cut.alias("value")), json_docs.REVIEW_FIELDS).select("doc_id")
+
+
 @register("s5_read_typed_csv", "SELECT event_id, user_id, event_type, value, hour(ts)::INTEGER AS h FROM events")
 def read_typed_csv(spark, sf_dir):
     schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
@@ -126,9 +140,52 @@ def write_plain_vectors(spark, sf_dir):
     """Write the lines, and read them back to compare."""
     path = scratch_path(spark, "plain")
     vectors.write_plain_vectors(assemble_plain(applied(spark, sf_dir), LINE_SPEC), path)
-    parts = delimited.read_lines(spark, path).select(F.split("value", ",").cast("array<double>").alias("v"))
     n = len(FEATURES)
-    return feature_columns(parts.withColumn("label", F.col("v")[n]), [F.col("v")[i] for i in range(n)])
+    back = vectors.read_plain_vectors(delimited.read_lines(spark, path), n)
+    return feature_columns(back, [F.col("features")[i] for i in range(n)])
+
+
+QUALITY_SPEC = make_spec(
+    "documents",
+    ",",
+    ("doc_id", "NUMERIC", "COPY"),
+    ("toxic", "NUMERIC", "COPY"),
+    ("lang", "NOMINAL", "COPY"),
+    ("quality", "NUMERIC", "LABEL"),
+)
+QUALITY_SQL = f"""WITH {labels_sql("langs", "documents", "lang", "doc_id")}
+    SELECT CAST(doc_id AS DOUBLE) AS f_doc, CAST(toxic AS DOUBLE) AS f_toxic, CAST(langs.k AS DOUBLE) AS f_lang,
+           CAST(quality AS DOUBLE) AS label
+    FROM documents LEFT JOIN labels USING (doc_id) LEFT JOIN langs ON langs.label = lang"""
+
+
+def quality_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with their labels, which many of them lack: NULL features and NULL labels."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
+    rated = lookup_join(docs, table(spark, sf_dir, "labels"), "doc_id")
+    return apply_profile(rated, fit_profile(rated, QUALITY_SPEC, ["doc_id"]))
+
+
+@register("s6_null_fields", QUALITY_SQL)
+def null_fields(spark, sf_dir):
+    """NULL features and labels written as empty fields, and read back as NULL."""
+    path = scratch_path(spark, "plain")
+    vectors.write_plain_vectors(assemble_plain(quality_rows(spark, sf_dir), QUALITY_SPEC), path, missing_label="empty")
+    back = vectors.read_plain_vectors(delimited.read_lines(spark, path), 3)
+    return back.select(*[F.col("features")[i].alias(n) for i, n in enumerate(("f_doc", "f_toxic", "f_lang"))], "label")
+
+
+@register(
+    "s7_null_label_policy",
+    f"""SELECT f_doc, coalesce(f_toxic, 0) AS f_toxic, f_lang, label FROM ({QUALITY_SQL}) WHERE label IS NOT NULL""",
+)
+def null_label_policy(spark, sf_dir):
+    """Rows without a label left out by option; zeros and missing values have no entry."""
+    path = scratch_path(spark, "svmlight")
+    rows = assemble_sparse(quality_rows(spark, sf_dir), QUALITY_SPEC)
+    vectors.write_svmlight(rows, path, missing_label="drop")
+    back = vectors.read_svmlight(spark, path, 3)
+    return back.select(*[F.col("features")[i].alias(n) for i, n in enumerate(("f_doc", "f_toxic", "f_lang"))], "label")
 
 
 @register(
@@ -167,13 +224,18 @@ def read_labeled_dense(spark, sf_dir):
     return dense.select("label", *[F.col("features")[i].alias(f"x{i + 1}") for i in range(3)])
 
 
-@register("s10_write_delimited", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders")
+@register(
+    "s10_write_delimited",
+    """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority,
+           strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate FROM orders""",
+)
 def write_delimited(spark, sf_dir):
     """Write the lines, and read them back typed."""
-    orders = table(spark, sf_dir, "orders").drop("o_orderdate")
-    path = scratch_path(spark, "delimited")
-    delimited.write_delimited(orders, path)
-    return delimited.read_typed_csv(delimited.read_lines(spark, path), orders.schema)
+    orders = table(spark, sf_dir, "orders")
+    path, time = scratch_path(spark, "delimited"), {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    delimited.write_delimited(orders, path, **time)
+    back = delimited.read_typed_csv(delimited.read_lines(spark, path), orders.schema, **time)
+    return back.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
 
 
 @register(

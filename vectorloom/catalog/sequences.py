@@ -12,8 +12,10 @@ from vectorloom.functions.vocab import DEFAULT, DEFAULT_CHARACTERS
 from vectorloom.operators import sequences as sq
 from vectorloom.operators.dictionary import item_to_style, join_style_index, style_dictionary
 from vectorloom.operators.lookup import lookup_join
+from vectorloom.session import scratch_path
 
 BATCH = 32
+TURN_POSITION = ["conv_id", "turn"]
 EXAMPLE_LENGTH = 200
 EXAMPLES = 128
 
@@ -134,7 +136,7 @@ HOT_SQL = ", ' ', ".join(f"CASE WHEN k = {i} THEN '1.0' ELSE '0.0' END" for i in
 
 def styled_documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
     """Rated documents with the index of their language as style."""
-    langs = style_dictionary(table(spark, sf_dir, "documents").select("lang", "doc_id"), "lang", "doc_id")
+    langs = style_dictionary(table(spark, sf_dir, "documents").select("lang", "doc_id"), "lang", ["doc_id"])
     rated = rated_documents(spark, sf_dir).withColumn("style_key", F.col("lang"))
     joined_rows = lookup_join(rated, langs.select("style_key", "style_index"), "style_key")
     return joined_rows.drop("style_key"), langs.count()
@@ -168,7 +170,7 @@ def context_vector(spark, sf_dir):
 @register(
     "x10_sequence_record",
     f"""WITH {indices_sql('conversations', 'conv_id, turn, role')},
-    {labels_sql("roles", "conversations", "role", "conv_id * 1048576 + turn")},
+    {labels_sql("roles", "conversations", "role", "row(conv_id, turn)")},
     s AS (SELECT e.*, generate_subscripts(list_concat(ids, [{STOP}]), 1) AS i FROM e)
     SELECT conv_id, turn, (i - 1)::INTEGER AS t, list_concat(ids, [{STOP}])[i]::INTEGER AS out_idx,
            list_concat([{STOP}], ids)[i]::INTEGER AS in_idx, coalesce(roles.k, -1) AS style_index,
@@ -180,9 +182,8 @@ def context_vector(spark, sf_dir):
 def sequence_record(spark, sf_dir):
     """Turns as reviews: their role is the style, the labels of the conversation's number the ratings."""
     turns = table(spark, sf_dir, "conversations")
-    place = turns.withColumn("place", F.col("conv_id") * 1048576 + F.col("turn"))
-    roles = style_dictionary(place.select("role", "place"), "role", "place")
-    role_styles = item_to_style(place.select("role", "place"), "role", "role", "place", roles)
+    roles = style_dictionary(turns, "role", TURN_POSITION)
+    role_styles = item_to_style(turns, "role", "role", TURN_POSITION, roles)
     labels = table(spark, sf_dir, "labels").withColumnRenamed("doc_id", "conv_id")
     reviews = lookup_join(join_style_index(turns, "role", role_styles), labels, "conv_id")
     ratings = {
@@ -200,7 +201,7 @@ POSITIONS_SQL = "p AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS
 
 def batches(spark: SparkSession, sf_dir: str) -> sq.Numbered:
     kept = documents(spark, sf_dir).filter(tx.nonempty_text(F.col("text")))
-    return sq.assign_minibatch(kept, "doc_id", BATCH)
+    return sq.assign_minibatch(kept, ["doc_id"], BATCH)
 
 
 @register(
@@ -211,26 +212,22 @@ def assign_minibatch(spark, sf_dir):
     return batches(spark, sf_dir).rows
 
 
-TURN_PLACE = "conv_id * 1048576 + turn"
-
-
 @register(
     "x13_pad_and_mask",
     f"""WITH {indices_sql('conversations', 'conv_id, turn, text')},
-    p AS (SELECT {TURN_PLACE} AS place, ids, len(ids) + 1 AS n_steps,
-                 row_number() OVER (ORDER BY {TURN_PLACE}) - 1 AS pos FROM e WHERE length(text) >= 1),
+    p AS (SELECT conv_id, turn, ids, len(ids) + 1 AS n_steps,
+                 row_number() OVER (ORDER BY conv_id, turn) - 1 AS pos FROM e WHERE length(text) >= 1),
     b AS (SELECT *, pos // {BATCH} AS batch_id, max(n_steps) OVER (PARTITION BY pos // {BATCH}) AS batch_len FROM p)
-    SELECT place, batch_id, pos % {BATCH} AS row_in_batch, batch_len::INTEGER AS batch_len, n_steps::INTEGER AS n_steps,
+    SELECT conv_id, turn, batch_id, pos % {BATCH} AS row_in_batch, batch_len::INTEGER AS batch_len, n_steps::INTEGER AS n_steps,
            rtrim(array_to_string(list_concat([{STOP}], ids), ' ') || repeat(' -1', batch_len - n_steps)) AS inputs,
            rtrim(array_to_string(list_concat(ids, [{STOP}]), ' ') || repeat(' -1', batch_len - n_steps)) AS targets,
            ltrim(repeat(' 1', n_steps) || repeat(' 0', batch_len - n_steps)) AS mask
     FROM b""",
 )
 def pad_and_mask(spark, sf_dir):
-    turns = table(spark, sf_dir, "conversations").select(F.expr(TURN_PLACE).alias("place"), "text")
-    padded = sq.pad_and_mask(turns, "place", "text", BATCH)
+    padded = sq.pad_and_mask(table(spark, sf_dir, "conversations"), TURN_POSITION, "text", BATCH)
     return padded.select(
-        "place", "batch_id", "row_in_batch", "batch_len", "n_steps", joined("inputs"), joined("targets"), joined("mask")
+        *TURN_POSITION, "batch_id", "row_in_batch", "batch_len", "n_steps", joined("inputs"), joined("targets"), joined("mask")
     )
 
 
@@ -246,3 +243,37 @@ def drop_remainder(spark, sf_dir):
 @register("x15_limit_examples", f"SELECT doc_id, text FROM documents ORDER BY doc_id LIMIT {EXAMPLES}")
 def limit_examples(spark, sf_dir):
     return sq.limit_examples(documents(spark, sf_dir), "doc_id", EXAMPLES)
+
+
+CONTEXT_SQL = """(r_quality - 1) / 2 - 1 AS ctx_appearance, (r_toxic - 1) / 2 - 1 AS ctx_aroma,
+           (r_size - 1) / 2 - 1 AS ctx_palate, (r_none - 1) / 2 - 1 AS ctx_taste, (r_quality - 1) / 2 - 1 AS ctx_overall"""
+
+
+@register(
+    "x16_training_batches",
+    f"""WITH {RATINGS_SQL}, {LANG_SQL}, {indices_sql('documents', 'doc_id, lang, text')},
+    cut AS (SELECT doc_id, lang, list_slice(list_concat([{STOP}], ids), 1, {EXAMPLE_LENGTH}) AS inputs,
+                   list_slice(list_concat(ids, [{STOP}]), 1, {EXAMPLE_LENGTH}) AS targets,
+                   row_number() OVER (ORDER BY doc_id) - 1 AS pos FROM e WHERE length(text) >= 1),
+    b AS (SELECT *, len(inputs) AS n_steps, pos // {BATCH} AS batch_id,
+                 max(len(inputs)) OVER (PARTITION BY pos // {BATCH}) AS batch_len FROM cut)
+    SELECT doc_id, batch_id, pos % {BATCH} AS row_in_batch, batch_len::INTEGER AS batch_len, n_steps::INTEGER AS n_steps,
+           array_to_string(inputs, ' ') || repeat(' -1', batch_len - n_steps) AS inputs,
+           array_to_string(targets, ' ') || repeat(' -1', batch_len - n_steps) AS targets,
+           ltrim(repeat(' 1', n_steps) || repeat(' 0', batch_len - n_steps)) AS mask,
+           langs.k AS style_index, {CONTEXT_SQL}
+    FROM b JOIN ratings USING (doc_id) LEFT JOIN langs ON langs.label = lang""",
+)
+def training_batches(spark, sf_dir):
+    """Texts with style and ratings to padded batches, written and read back."""
+    styled, _ = styled_documents(spark, sf_dir)
+    texts = lookup_join(documents(spark, sf_dir), styled, "doc_id", how="inner")
+    order = dict(zip(sq.RATINGS, ("r_quality", "r_toxic", "r_size", "r_none", "r_quality")))
+    ratings = {name: F.col(c) for name, c in order.items()}
+    path = scratch_path(spark, "batches")
+    sq.training_batches(texts, ["doc_id"], "text", "style_index", ratings, BATCH, max_len=EXAMPLE_LENGTH).write.parquet(path)
+    context = [f"ctx_{name}" for name in sq.RATINGS]
+    return spark.read.parquet(path).select(
+        "doc_id", "batch_id", "row_in_batch", "batch_len", "n_steps", joined("inputs"), joined("targets"), joined("mask"),
+        "style_index", *context,
+    )

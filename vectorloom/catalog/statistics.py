@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vectorloom.catalog.base import register, rounded, table
-from vectorloom.catalog.vectors import LINE_POSITION, LINE_SPEC, labels_sql, line_position, line_profile, lineitem, only
+from vectorloom.catalog.vectors import LINE_POSITION, LINE_POSITION_SQL, LINE_SPEC, labels_sql, line_profile, lineitem, only
 from vectorloom.operators import profile as pr
 from vectorloom.operators.dictionary import style_dictionary, style_statistics
 from vectorloom.operators.sequences import corpus_stats
@@ -26,7 +26,7 @@ STATS_SQL = "SELECT * FROM (" + " UNION ALL ".join(
 
 def line_labels_sql(column: str, where: str = "TRUE") -> str:
     return f"""SELECT '{column}' AS column_name, {column} AS label, count(*) AS n,
-        min({LINE_POSITION}) AS first_at FROM lineitem WHERE {where} GROUP BY 2"""
+        min({LINE_POSITION_SQL}) AS first_at FROM lineitem WHERE {where} GROUP BY 2"""
 
 
 LABELS_SQL = """SELECT column_name, label, n,
@@ -39,9 +39,9 @@ BALANCE_SQL = f"""SELECT column_name, label, label_id, n,
     FROM ({LABELS_SQL}) WHERE column_name"""
 
 
-def line_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = pr.column_stats(lineitem(spark, sf_dir), LINE_SPEC).filter("kind = 'NUMERIC'")
-    return presentable(stats)
+def line_stats(spark: SparkSession, sf_dir: str, *wanted: str) -> DataFrame:
+    stats = pr.column_stats(lineitem(spark, sf_dir), LINE_SPEC, wanted).filter("kind = 'NUMERIC'")
+    return presentable(stats).select("column_name", *wanted)
 
 
 def presentable(stats: DataFrame) -> DataFrame:
@@ -65,22 +65,22 @@ def numeric_profile(spark, sf_dir):
 
 @register("a2_mean", f"SELECT column_name, avg FROM ({STATS_SQL})")
 def mean(spark, sf_dir):
-    return line_stats(spark, sf_dir).select("column_name", "avg")
+    return line_stats(spark, sf_dir, "avg")
 
 
 @register("a3_variance_stddev", f"SELECT column_name, variance, stddev FROM ({STATS_SQL})")
 def variance_stddev(spark, sf_dir):
-    return line_stats(spark, sf_dir).select("column_name", "variance", "stddev")
+    return line_stats(spark, sf_dir, "variance", "stddev")
 
 
 @register("a4_label_dictionary", LABELS_SQL)
 def label_dictionary(spark, sf_dir):
-    return pr.label_dictionary(lineitem(spark, sf_dir), LINE_SPEC, line_position())
+    return pr.label_dictionary(lineitem(spark, sf_dir), LINE_SPEC, LINE_POSITION)
 
 
 @register("a6_merge_profiles", f"SELECT column_name, n, min, max, sum, avg FROM ({STATS_SQL})")
 def merge_profiles(spark, sf_dir):
-    parts = [pr.fit_profile(half, LINE_SPEC, line_position()) for half in halves(spark, sf_dir)]
+    parts = [pr.fit_profile(half, LINE_SPEC, LINE_POSITION) for half in halves(spark, sf_dir)]
     merged = pr.merge_profiles(parts).stats.filter("kind = 'NUMERIC'")
     return presentable(merged).select("column_name", "n", "min", "max", "sum", "avg")
 
@@ -100,7 +100,7 @@ def merge_profiles(spark, sf_dir):
 )
 def merge_labels(spark, sf_dir):
     """Labels of the later half are appended to those of the earlier one."""
-    tables = [pr.label_table(half, LINE_SPEC.nominal, line_position()) for half in halves(spark, sf_dir)]
+    tables = [pr.label_table(half, LINE_SPEC.nominal, LINE_POSITION) for half in halves(spark, sf_dir)]
     return pr.merge_labels(tables).rows.select(*pr.LABEL_COLUMNS)
 
 
@@ -142,7 +142,7 @@ def statistics_report(spark, sf_dir):
     LEFT JOIN ({LABELS_SQL}) l USING (column_name, label)""",
 )
 def label_count(spark, sf_dir):
-    labels = pr.label_dictionary(lineitem(spark, sf_dir), LINE_SPEC, line_position())
+    labels = pr.label_dictionary(lineitem(spark, sf_dir), LINE_SPEC, LINE_POSITION)
     return pr.label_count(labels, [("l_returnflag", "A"), ("l_returnflag", "Z"), ("l_linestatus", "O")])
 
 
@@ -180,4 +180,4 @@ def corpus(spark, sf_dir):
     SELECT label AS style_key, k AS style_index, n, (SELECT count(*) FROM d) AS total_styles FROM d""",
 )
 def styles(spark, sf_dir):
-    return style_statistics(style_dictionary(table(spark, sf_dir, "part"), "p_type", "p_partkey"))
+    return style_statistics(style_dictionary(table(spark, sf_dir, "part"), "p_type", ["p_partkey"]))

@@ -26,19 +26,19 @@ RATED_IDS_SQL = labels_sql("d", "rated", "lower(trim(style))", "doc_id")
 
 
 def part_dictionary(parts):
-    return dc.grouped_style_dictionary(parts, "p_name", "p_partkey", PART_BUCKETS)
+    return dc.grouped_style_dictionary(parts, "p_name", ["p_partkey"], PART_BUCKETS)
 
 
 def part_styles(parts):
     key = dc.grouped_style(F.col("p_name"), PART_BUCKETS)
-    return dc.item_to_style(parts, "p_partkey", "p_name", "p_partkey", part_dictionary(parts), key)
+    return dc.item_to_style(parts, "p_partkey", "p_name", ["p_partkey"], part_dictionary(parts), key)
 
 
 def rated_styles(spark, sf_dir):
     """Label pairs as the style of a document; only some documents have one."""
     style = F.concat(F.lit(" Q"), "quality", F.lit(" T"), "toxic", F.lit(" "))
     rated = table(spark, sf_dir, "labels").select("doc_id", style.alias("style"))
-    return dc.item_to_style(rated, "doc_id", "style", "doc_id", dc.style_dictionary(rated, "style", "doc_id"))
+    return dc.item_to_style(rated, "doc_id", "style", ["doc_id"], dc.style_dictionary(rated, "style", ["doc_id"]))
 
 
 @register(
@@ -48,7 +48,7 @@ def rated_styles(spark, sf_dir):
                                 ORDER BY p_partkey LIMIT 1) AS style, n, k AS style_index FROM d""",
 )
 def style_dictionary(spark, sf_dir):
-    return dc.style_dictionary(table(spark, sf_dir, "part"), "p_type", "p_partkey")
+    return dc.style_dictionary(table(spark, sf_dir, "part"), "p_type", ["p_partkey"])
 
 
 @register(
@@ -76,23 +76,23 @@ def filtered_count(spark, sf_dir):
 
 @register(
     "d5_item_to_style",
-    f"""WITH u AS (SELECT l_suppkey, l_orderkey * 10 + l_linenumber AS place, l_partkey, p_type
+    f"""WITH u AS (SELECT l_suppkey, l_orderkey, l_linenumber, p_type
                  FROM lineitem JOIN part ON p_partkey = l_partkey),
     {labels_sql("d", "part", "lower(trim(p_type))", "p_partkey")}
     SELECT l_suppkey AS item_id, d.k AS style_index, p_type AS style
-    FROM (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY place DESC, l_partkey DESC) AS rn FROM u)
+    FROM (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey DESC, l_linenumber DESC, p_type DESC) AS rn FROM u)
     JOIN d ON d.label = lower(trim(p_type)) WHERE rn = 1""",
 )
 def item_to_style(spark, sf_dir):
     """Supplier to the type of its last line: many rows per id, the last one wins."""
     parts = table(spark, sf_dir, "part")
     lines = table(spark, sf_dir, "lineitem").select(
-        "l_suppkey", F.expr("(l_orderkey * 10 + l_linenumber) * 100000000 + l_partkey").alias("at"), "l_partkey"
+        "l_suppkey", "l_orderkey", "l_linenumber", "l_partkey"
     )
     types = parts.select(F.col("p_partkey").alias("l_partkey"), "p_type")
     supplied = lookup_join(lines, types, "l_partkey", how="inner")
-    dictionary = dc.style_dictionary(parts, "p_type", "p_partkey")
-    return dc.item_to_style(supplied, "l_suppkey", "p_type", "at", dictionary)
+    dictionary = dc.style_dictionary(parts, "p_type", ["p_partkey"])
+    return dc.item_to_style(supplied, "l_suppkey", "p_type", ["l_orderkey", "l_linenumber"], dictionary)
 
 
 @register(

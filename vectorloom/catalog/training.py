@@ -16,6 +16,7 @@ from vectorloom.session import scratch_path
 
 TEMPERATURE = 1.5
 HIDDEN = 16
+PARITY_HIDDEN, PARITY_SEED = 4, 123
 
 STATE_SQL = """st AS (
       SELECT user_id, count(value) AS n, arg_min(value, event_id) AS first, arg_max(value, event_id) AS last
@@ -119,6 +120,32 @@ def classification_evaluation(spark, sf_dir):
     return rounded(out, 8, "precision", "recall", "f1", "accuracy")
 
 
+@register(
+    "m8_confusion_matrix",
+    "SELECT quality AS label, 1 - toxic AS prediction, count(*) AS n FROM labels GROUP BY ALL",
+)
+def confusion_matrix(spark, sf_dir):
+    predicted = table(spark, sf_dir, "labels").withColumn("prediction", 1 - F.col("toxic"))
+    return mt.confusion_matrix(predicted, "quality", "prediction")
+
+
+@register(
+    "m8_overall_evaluation",
+    """WITH p AS (SELECT quality AS label, 1 - toxic AS prediction FROM labels),
+    c AS (SELECT DISTINCT label AS class FROM p UNION SELECT DISTINCT prediction FROM p),
+    k AS (SELECT class, count(*) FILTER (label = class AND prediction = class) AS tp,
+                 count(*) FILTER (label <> class AND prediction = class) AS fp,
+                 count(*) FILTER (label = class AND prediction <> class) AS fn FROM c CROSS JOIN p GROUP BY 1)
+    SELECT count(*) AS n_classes, round(avg(coalesce(tp / nullif(tp + fp, 0), 0)), 8) AS precision,
+           round(avg(coalesce(tp / nullif(tp + fn, 0), 0)), 8) AS recall,
+           round(avg(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0)), 8) AS f1,
+           round((SELECT count(*) FILTER (label = prediction) / count(*) FROM p), 8) AS accuracy FROM k""",
+)
+def overall_evaluation(spark, sf_dir):
+    predicted = table(spark, sf_dir, "labels").withColumn("prediction", 1 - F.col("toxic"))
+    return rounded(mt.overall_evaluation(predicted, "quality", "prediction"), 8, "precision", "recall", "f1", "accuracy")
+
+
 DISTRIBUTION_SQL = f"""{labels_sql("kinds", "events", "event_type", "event_id")},
     w AS (SELECT user_id, k AS class_index, sum(value) AS weight
           FROM events JOIN kinds ON kinds.label = event_type GROUP BY 1, 2),
@@ -128,7 +155,7 @@ DISTRIBUTION_SQL = f"""{labels_sql("kinds", "events", "event_type", "event_id")}
 def distributions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per user the share of each event type in the value, as a distribution over type indices."""
     events = table(spark, sf_dir, "events")
-    kinds = style_dictionary(events.select("event_type", "event_id"), "event_type", "event_id")
+    kinds = style_dictionary(events.select("event_type", "event_id"), "event_type", ["event_id"])
     # pre-aggregated per (user, type), so the join and the window see few rows per user
     weights = events.groupBy("user_id", "event_type").agg(F.sum("value").alias("weight"))
     indexed = lookup_join(weights, kinds.select(F.col("style").alias("event_type"), "style_index"), "event_type", how="inner")
@@ -173,10 +200,43 @@ def train_classifier(spark, sf_dir):
     return ml.layer_parameters(trained(spark, sf_dir), spark)
 
 
-@register("m12_score_with_classifier")
+def parities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with two bits of their keys as features and the exclusive or of both as class."""
+    bits = [F.col(c) % 2 for c in ("o_orderkey", "o_custkey")]
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.array(*[b.cast("double") for b in bits]).alias("bits"),
+        (bits[0] != bits[1]).cast("int").alias("label"),
+    )
+
+
+def parity_model(spark: SparkSession, sf_dir: str) -> PipelineModel:
+    return ml.train_classifier(parities(spark, sf_dir), "bits", "label", hidden=PARITY_HIDDEN, seed=PARITY_SEED)
+
+
+@register("m11_training_accuracy", "SELECT count(*) AS n, 1.0::DOUBLE AS accuracy FROM orders")
+def training_accuracy(spark, sf_dir):
+    """The trained network tells the exclusive or of two bits for every order."""
+    return ml.training_accuracy(parity_model(spark, sf_dir), parities(spark, sf_dir), "bits", "label")
+
+
+@register(
+    "m12_score_with_classifier",
+    """SELECT o_orderkey, (o_orderkey % 2 <> o_custkey % 2)::INTEGER AS label,
+           (o_orderkey % 2 <> o_custkey % 2)::INTEGER AS prediction FROM orders""",
+)
 def score_with_classifier(spark, sf_dir):
     """Train, save, load again, and score the whole table."""
     path = scratch_path(spark, "model")
+    parity_model(spark, sf_dir).save(path)
+    scored = ml.score_with_classifier(PipelineModel.load(path), parities(spark, sf_dir), "bits", "label")
+    return scored.select("o_orderkey", "label", "prediction")
+
+
+@register("m12_score_embeddings")
+def score_embeddings(spark, sf_dir):
+    """Train on the embeddings, save, load again, and score the whole table."""
+    path = scratch_path(spark, "model")
     trained(spark, sf_dir).save(path)
     scored = ml.score_with_classifier(PipelineModel.load(path), table(spark, sf_dir, "embeddings"), "embedding", "label")
     return scored.select("vec_id", "label", "prediction")

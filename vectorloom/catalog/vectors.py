@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vectorloom.catalog.base import as_line, register, rounded, table
@@ -29,7 +29,8 @@ LINE_SPEC = make_spec(
     ("l_tax", "NUMERIC", "SKIP"),
     ("l_linestatus", "NOMINAL", "NORMALIZE"),
 )
-LINE_POSITION = "l_orderkey * 10 + l_linenumber"
+LINE_POSITION = ["l_orderkey", "l_linenumber"]
+LINE_POSITION_SQL = "row(l_orderkey, l_linenumber)"
 KEY_SQL = "order_key, l_linenumber, l_partkey, l_suppkey"
 
 
@@ -38,10 +39,6 @@ def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").withColumn("order_key", F.col("l_orderkey"))
 
 
-def line_position() -> Column:
-    return F.expr(LINE_POSITION)
-
-
 def only(*columns: tuple[str, str, str]) -> FeatureSpec:
     return make_spec("table", ",", *columns)
 
@@ -59,8 +56,8 @@ LINE_STATS_SQL = """s AS (
       SELECT min(l_quantity) AS q_lo, max(l_quantity) AS q_hi, avg(l_extendedprice) AS p_avg,
              stddev_pop(l_extendedprice) AS p_sd, min(l_discount) AS d_lo, max(l_discount) AS d_hi
       FROM lineitem)"""
-FLAG_SQL = labels_sql("flags", "lineitem", "l_returnflag", LINE_POSITION)
-STATUS_SQL = labels_sql("statuses", "lineitem", "l_linestatus", LINE_POSITION)
+FLAG_SQL = labels_sql("flags", "lineitem", "l_returnflag", LINE_POSITION_SQL)
+STATUS_SQL = labels_sql("statuses", "lineitem", "l_linestatus", LINE_POSITION_SQL)
 LINE_FEATURES_SQL = f"""WITH {LINES_SQL}, {LINE_STATS_SQL}, {FLAG_SQL}, {STATUS_SQL},
     f AS (
       SELECT {KEY_SQL}, CAST(l_orderkey AS DOUBLE) AS f_key,
@@ -78,12 +75,12 @@ LINE_FEATURES_SQL = f"""WITH {LINES_SQL}, {LINE_STATS_SQL}, {FLAG_SQL}, {STATUS_
 
 def line_profile(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Profile]:
     lines = lineitem(spark, sf_dir)
-    return lines, fit_profile(lines, LINE_SPEC, line_position())
+    return lines, fit_profile(lines, LINE_SPEC, LINE_POSITION)
 
 
 def lineitem_feature(spark: SparkSession, sf_dir: str, *columns: tuple[str, str, str]) -> DataFrame:
     lines = lineitem(spark, sf_dir)
-    return apply_profile(lines, fit_profile(lines, only(*columns), line_position()), keep=LINE_KEY)
+    return apply_profile(lines, fit_profile(lines, only(*columns), LINE_POSITION), keep=LINE_KEY)
 
 
 @register("t1_copy_numeric", f"WITH {LINES_SQL} SELECT {KEY_SQL}, l_extendedprice FROM li")
@@ -100,7 +97,7 @@ def copy_numeric(spark, sf_dir):
 def copy_nominal(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     spec = only(("o_orderpriority", "NOMINAL", "COPY"))
-    return apply_profile(orders, fit_profile(orders, spec, F.col("o_orderkey")), keep=("o_orderkey",))
+    return apply_profile(orders, fit_profile(orders, spec, ["o_orderkey"]), keep=("o_orderkey",))
 
 
 @register(
@@ -112,7 +109,7 @@ def copy_nominal(spark, sf_dir):
 def unique_id(spark, sf_dir):
     customers = table(spark, sf_dir, "customer")
     spec = only(("c_custkey", "NUMERIC", "UNIQUE_ID"), ("c_name", "NOMINAL", "UNIQUE_ID"))
-    return apply_profile(customers, fit_profile(customers, spec, F.col("c_custkey")), keep=("c_nationkey",))
+    return apply_profile(customers, fit_profile(customers, spec, ["c_custkey"]), keep=("c_nationkey",))
 
 
 @register(
@@ -124,7 +121,7 @@ def skip(spark, sf_dir):
     """The skipped column is profiled but not emitted."""
     lines = lineitem(spark, sf_dir)
     spec = only(("l_discount", "NUMERIC", "COPY"), ("l_tax", "NUMERIC", "SKIP"))
-    profile = fit_profile(lines, spec, line_position())
+    profile = fit_profile(lines, spec, LINE_POSITION)
     emitted = apply_profile(lines, profile, keep=LINE_KEY)
     return emitted.withColumn("skipped_max", F.lit(profile.by_column["l_tax"].high))
 
@@ -133,7 +130,7 @@ def skip(spark, sf_dir):
 def label_numeric(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     spec = only(("o_totalprice", "NUMERIC", "LABEL"))
-    out = apply_profile(orders, fit_profile(orders, spec, F.col("o_orderkey")), keep=("o_orderkey",))
+    out = apply_profile(orders, fit_profile(orders, spec, ["o_orderkey"]), keep=("o_orderkey",))
     return assemble_plain(out, spec, ("o_orderkey",)).drop("features")
 
 
@@ -174,7 +171,7 @@ def standardize_nominal(spark, sf_dir):
     """A category has no mean, so it falls back to its normalized id."""
     parts = table(spark, sf_dir, "part")
     spec = only(("p_brand", "NOMINAL", "ZEROMEAN_ZEROUNITVARIANCE"))
-    out = apply_profile(parts, fit_profile(parts, spec, F.col("p_partkey")), keep=("p_partkey",))
+    out = apply_profile(parts, fit_profile(parts, spec, ["p_partkey"]), keep=("p_partkey",))
     return rounded(out, 6, "p_brand")
 
 
@@ -191,7 +188,7 @@ def strip_quotes(spark, sf_dir):
         *[F.concat(F.lit('"'), F.col(c).cast("string"), F.lit('"')).alias(c) for c in ("p_size", "p_type")],
     )
     spec = only(("p_size", "NUMERIC", "COPY"), ("p_type", "NOMINAL", "COPY"))
-    return apply_profile(parts, fit_profile(parts, spec, F.col("p_partkey")), keep=("p_partkey",))
+    return apply_profile(parts, fit_profile(parts, spec, ["p_partkey"]), keep=("p_partkey",))
 
 
 def _plain_columns(df: DataFrame) -> DataFrame:
@@ -239,9 +236,8 @@ def sparse(spark, sf_dir):
 def vectorize_lines(spark, sf_dir):
     """From text lines to features: parse, profile, apply, assemble."""
     lines = lineitem(spark, sf_dir).select(*LINE_KEY[1:], as_line(*LINE_SPEC.names).alias("value"))
-    parsed = read_delimited(lines, LINE_SPEC, keep=LINE_KEY[1:])
-    position = F.col("l_orderkey").cast("bigint") * 10 + F.col("l_linenumber")
-    return _plain_columns(vectorize(parsed, LINE_SPEC, position, LINE_KEY[1:], costly=True))
+    parsed = read_delimited(lines, LINE_SPEC, keep=LINE_KEY[1:]).withColumn("order", F.col("l_orderkey").cast("bigint"))
+    return _plain_columns(vectorize(parsed, LINE_SPEC, ["order", "l_linenumber"], LINE_KEY[1:], costly=True))
 
 
 @register(
@@ -261,4 +257,4 @@ def unseen_labels(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     known = orders.filter(F.col("o_orderdate") < F.lit("1996-07-01").cast("timestamp_ntz"))
     spec = only(("o_custkey", "NOMINAL", "COPY"), ("o_orderpriority", "NOMINAL", "COPY"))
-    return unseen_label_audit(orders, fit_profile(known, spec, F.col("o_orderkey")))
+    return unseen_label_audit(orders, fit_profile(known, spec, ["o_orderkey"]))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from vectorloom.functions.numeric import trimmed
 from vectorloom.functions.text import nonempty_text
 from vectorloom.operators.lookup import lookup_join
-from vectorloom.operators.numbering import number_rows
+from vectorloom.operators.numbering import last_part, number_rows, order_value
 from vectorloom.session import materialize
 
 # The style buckets, tested in this order.
@@ -26,12 +26,12 @@ def grouped_style(style: Column, buckets: tuple[str, ...] = STYLE_BUCKETS) -> Co
     return F.coalesce(*[F.when(F.contains(key, F.lit(b)), F.lit(b)) for b in buckets])
 
 
-def _style_entries(items: DataFrame, style: str, position: str) -> DataFrame:
-    """One row per key. Counts and positions are fixed-width, so both aggregates hash."""
+def _style_entries(items: DataFrame, style: str, position: list[str]) -> DataFrame:
+    """One row per key. Counts are fixed-width, and positions too unless they need a struct (``order_value``)."""
     spellings = (
         items.filter(F.col(style).isNotNull())
         .groupBy(style_key(F.col(style)).alias("style_key"), F.col(style).alias("style"))
-        .agg(F.count("*").alias("n"), F.min(F.col(position).cast("bigint")).alias("first_at"))
+        .agg(F.count("*").alias("n"), F.min(order_value(items, position)).alias("first_at"))
     )
     return spellings.groupBy("style_key").agg(
         F.sum("n").alias("n"),
@@ -40,19 +40,19 @@ def _style_entries(items: DataFrame, style: str, position: str) -> DataFrame:
     )
 
 
-def style_dictionary(items: DataFrame, style: str, position: str) -> DataFrame:
-    """Key, display spelling, count and index by first appearance."""
+def style_dictionary(items: DataFrame, style: str, position: list[str]) -> DataFrame:
+    """Key, display spelling, count and index by first appearance in the order of the ``position`` columns."""
     entries = _style_entries(items, style, position)
     numbered = number_rows(entries, ["first_at", "style_key"], "style_index").rows
     return numbered.select("style_key", "style", "n", "style_index")
 
 
 def grouped_style_dictionary(
-    items: DataFrame, style: str, position: str, buckets: tuple[str, ...] = STYLE_BUCKETS
+    items: DataFrame, style: str, position: list[str], buckets: tuple[str, ...] = STYLE_BUCKETS
 ) -> DataFrame:
     """Dictionary over the buckets; styles without a bucket are not indexed."""
-    bucketed = items.select(grouped_style(F.col(style), buckets).alias("bucket"), F.col(position).alias("at"))
-    return style_dictionary(bucketed.filter(F.col("bucket").isNotNull()), "bucket", "at")
+    bucketed = items.select(grouped_style(F.col(style), buckets).alias("__bucket"), *position)
+    return style_dictionary(bucketed.filter(F.col("__bucket").isNotNull()), "__bucket", position)
 
 
 def filtered_count(items: DataFrame, style: str, buckets: tuple[str, ...] = STYLE_BUCKETS) -> DataFrame:
@@ -70,29 +70,34 @@ def item_to_style(
     items: DataFrame,
     item_id: str,
     style: str,
-    position: str,
+    position: list[str],
     dictionary: DataFrame,
     key: Column | None = None,
 ) -> DataFrame:
-    """Item id to style index and raw style; the last of several equal ids wins.
+    """Item id to style index and raw style; the last of several equal ids wins, on a tie the last style.
 
-    ``key`` is the dictionary key of a row, e.g. ``grouped_style``; rows whose key is
-    NULL or unknown are left out.
+    ``key`` is the dictionary key of a style, e.g. ``grouped_style``; rows whose key is NULL are left out, and
+    items whose last row has an unknown one. The aggregate over all rows sees a number for each style, in
+    alphabetical order, and no text; style and index come back once a row per item is left.
     """
+    places = {f"__at_{i}": F.col(p) for i, p in enumerate(position)}
     keyed = items.select(
         F.col(item_id).alias("item_id"),
         (style_key(F.col(style)) if key is None else key).alias("style_key"),
         F.col(style).alias("style"),
-        F.col(position).alias("at"),
+        *[c.alias(name) for name, c in places.items()],
     ).filter(F.col("style_key").isNotNull())
-    last = keyed.groupBy("item_id").agg(F.max_by(F.struct("style_key", "style"), "at").alias("last"))
-    return lookup_join(
-        last.select("item_id", "last.style_key", "last.style"),
-        dictionary.select("style_key", "style_index"),
-        "style_key",
-        how="inner",
-        costly=True,
-    ).select("item_id", "style_index", "style")
+    styles = number_rows(keyed.select("style_key", "style").distinct(), ["style", "style_key"], "style_id").rows
+    # styles are few or the numbers of a hundred million styles: both fit an int
+    styles = styles.withColumn("style_id", F.col("style_id").cast("int"))
+    numbered = lookup_join(keyed.drop("style_key"), styles.select("style", "style_id"), "style", how="inner")
+    numbered = numbered.select("item_id", *places, "style_id")
+    order = order_value(numbered, [*places, "style_id"])
+    last = numbered.groupBy("item_id").agg(F.max(order).alias("last"))
+    last = last.select("item_id", last_part(numbered, [*places, "style_id"], F.col("last")).alias("style_id"))
+    indexed = lookup_join(styles, dictionary.select("style_key", "style_index"), "style_key", how="inner")
+    known = materialize(indexed.select("style_id", "style_index", "style"), "styles")
+    return lookup_join(last, known, "style_id", how="inner", costly=True).select("item_id", "style_index", "style")
 
 
 def lookup_style_index(styles: DataFrame, style: str, dictionary: DataFrame) -> DataFrame:

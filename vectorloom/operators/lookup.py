@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,8 +11,8 @@ from pyspark.sql import types as T
 
 from vectorloom.session import materialize
 
-# A key above this share of the rows counts as hot, so there are at most 1/share hot keys.
-HOT_SHARE = 0.005
+# Hot keys are told apart up to this many; a key that is not among them has a smaller share than 1/MAX_HOT_KEYS.
+MAX_HOT_KEYS = 2_000
 _UNITS = {"": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
 
 
@@ -52,9 +51,17 @@ def fits_broadcast(spark: SparkSession, size: Size) -> bool:
     return size.bytes <= broadcast_limit(spark)
 
 
+def hot_share(spark: SparkSession) -> float:
+    """The share of the rows from which a key is hot: a quarter of an even shuffle partition.
+
+    With very many partitions the number of hot keys is what limits it (``MAX_HOT_KEYS``).
+    """
+    return max(1 / MAX_HOT_KEYS, 0.25 / int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def frequent_keys(facts: DataFrame, key: str) -> list:
-    """At most 1/HOT_SHARE keys, among them every key above that share of the rows."""
-    return facts.select(key).stat.freqItems([key], HOT_SHARE).first()[0]
+    """At most 1/share keys, among them every key above the hot share of the rows."""
+    return facts.select(key).stat.freqItems([key], hot_share(facts.sparkSession)).first()[0]
 
 
 def lookup_join(
@@ -63,28 +70,27 @@ def lookup_join(
     key: str,
     how: str = "left",
     size: Size | None = None,
-    find_hot: Callable[[], list] | None = None,
     costly: bool = False,
+    may_broadcast: bool = True,
 ) -> DataFrame:
     """Join ``facts`` to ``lookup``, whose ``key`` values are unique.
 
     ``how`` is left, inner, left_semi or left_anti. A lookup whose measured size is
-    within Spark's broadcast threshold is broadcast. A larger one is shuffled, except
-    for its hot keys: at most 1/HOT_SHARE of them can exist, so their lookup rows are
-    always small, and the many fact rows that carry them are joined where they are.
-    That route reads ``facts`` once for each part, and once more to find the hot keys
-    unless ``find_hot`` knows them; ``costly`` facts are written first.
+    within Spark's broadcast threshold is broadcast, if ``may_broadcast``. A larger one is shuffled, except
+    for the hot keys of ``facts``, whether the lookup has them or not: at most 1/share of them can exist
+    (``hot_share``), so their lookup rows are always small, and the many fact rows that carry them are joined where
+    they are. That route reads ``facts`` once for each part, and once more to find the hot keys;
+    ``costly`` facts are written first. A stream is joined by a plain shuffle: its hot keys are not known.
     """
     spark = facts.sparkSession
-    if fits_broadcast(spark, size or measure(lookup)):
+    if may_broadcast and fits_broadcast(spark, size or measure(lookup)):
         return facts.join(F.broadcast(lookup), key, how)
     if facts.isStreaming:
         return facts.join(lookup, key, how)
 
     if costly:
         facts = materialize(facts, "facts")
-    found = find_hot() if find_hot else frequent_keys(facts, key)
-    hot_keys = [k for k in found if k is not None]
+    hot_keys = [k for k in frequent_keys(facts, key) if k is not None]
     on_hot = F.col(key).isNull() | F.col(key).isin(hot_keys)
     hot = facts.filter(on_hot).join(F.broadcast(lookup.filter(F.col(key).isin(hot_keys))), key, how)
     cold = facts.filter(~on_hot).join(lookup, key, how)

@@ -32,8 +32,9 @@ def moving_average(
 
     A run may hold any share of the table, so windows do not run per run but per block
     of consecutive rows: rows are numbered by (run, epoch) and the last ``window - 1``
-    rows of a block are repeated at the head of the next one.
+    rows of a block are repeated at the head of the next one. A block has at least ``window`` rows.
     """
+    block_rows = max(block_rows, window)
     numbered = number_rows(scores.select(run, epoch, score, *carry), [run, epoch], "__pos").rows
     block = F.expr(f"__pos div {block_rows}")
     is_tail = F.col("__pos") % block_rows > block_rows - window
@@ -84,21 +85,31 @@ def score_progress(scores: DataFrame, run: str, epoch: str, score: str) -> DataF
 
 
 def training_summary(
-    scores: DataFrame, run: str, epoch: str, score: str, millis: str, records: str, **options
+    scores: DataFrame, run: str, epoch: str, score: str, millis: str, records: str, window: int = SCORE_WINDOW
 ) -> DataFrame:
-    """Totals per run: time in whole minutes, records seen, and the score figures."""
-    series = moving_average(scores, run, epoch, score, carry=(millis, records), **options)
+    """Totals per run: time in whole minutes, records seen, and the score figures.
+
+    The average is that of the last ``window`` scores: Spark limits the ranking to them before it shuffles.
+    """
+    latest = Window.partitionBy(run).orderBy(F.desc(epoch))
+    last_scores = (
+        scores.select(run, epoch, score)
+        .withColumn("__rank", F.row_number().over(latest))
+        .filter(F.col("__rank") <= window)
+        .groupBy(run)
+        .agg(F.avg(score).alias("avg_score"))
+    )
     n = F.col("n_epochs")
     return (
-        series.groupBy(run)
+        scores.groupBy(run)
         .agg(
             F.count(score).alias("n_epochs"),
             F.floor(F.sum(millis) / 60000).alias("total_minutes"),
             F.sum(records).alias("records_seen"),
             F.min_by(score, epoch).alias("first_score"),
             F.max_by(score, epoch).alias("last_score"),
-            F.max_by("moving_avg", epoch).alias("avg_score"),
         )
+        .join(last_scores, run)
         .withColumn("minutes_per_epoch", F.floor(F.try_divide(F.col("total_minutes"), n)))
         .withColumn("score_change", change_of(n, F.col("first_score"), F.col("last_score")))
         .withColumn("avg_improvement", improvement_of(n, F.col("score_change")))
@@ -162,6 +173,13 @@ def classification_evaluation(df: DataFrame, label: str, prediction: str) -> Dat
     )
 
 
+def overall_evaluation(df: DataFrame, label: str, prediction: str) -> DataFrame:
+    """One row: accuracy, and precision, recall and F1 averaged over the classes with equal weight."""
+    per_class = classification_evaluation(df, label, prediction)
+    averages = [F.avg(c).alias(c) for c in ("precision", "recall", "f1", "accuracy")]
+    return per_class.agg(F.count("*").alias("n_classes"), *averages)
+
+
 def temperature_reweight(dist: DataFrame, sample: str, p: str, temperature: float, out: str = "p_new") -> DataFrame:
     """exp(p·T) / Σ exp(p·T) within each sample; unchanged for T ≤ 0.
 

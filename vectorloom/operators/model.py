@@ -47,6 +47,13 @@ def layer_parameters(model: PipelineModel, spark) -> DataFrame:
     return spark.createDataFrame(rows, "layer int, n_in bigint, n_out bigint, n_params bigint")
 
 
+def training_accuracy(model: PipelineModel, df: DataFrame, features: str, label: str) -> DataFrame:
+    """Rows scored and the share whose prediction is their label."""
+    scored = score_with_classifier(model, df, features, label)
+    right = F.avg((F.col("prediction") == F.col(label)).cast("double"))
+    return scored.agg(F.count("*").alias("n"), right.alias("accuracy"))
+
+
 def score_with_classifier(model: PipelineModel, df: DataFrame, features: str, label: str) -> DataFrame:
     """Add ``prediction`` (int) and ``probability`` (array) to the rows."""
     scored = model.transform(with_vectors(df, features, label))

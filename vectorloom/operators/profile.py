@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Collection
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vectorloom.functions import numeric as fn
-from vectorloom.operators.lookup import HOT_SHARE, Size, row_bytes
-from vectorloom.operators.numbering import number_rows
+from vectorloom.operators.lookup import Size, row_bytes
+from vectorloom.operators.numbering import number_rows, order_value
 from vectorloom.plans.spec import ColumnSpec, FeatureSpec, Kind, Transform
 
 STATS_SCHEMA = T.StructType(
@@ -32,6 +33,7 @@ STATS_SCHEMA = T.StructType(
     ]
 )
 LABEL_COLUMNS = ["column_name", "label", "label_id", "n"]
+LABEL_SCHEMA = "column_name string, label string, n bigint, label_id bigint"
 
 
 def typed_column(df: DataFrame, column: ColumnSpec) -> Column:
@@ -55,8 +57,8 @@ def present_value(df: DataFrame, column: ColumnSpec) -> Column:
     return raw
 
 
-def _stats_struct(column: ColumnSpec, i: int) -> Column:
-    """Aggregates over the projected value x{i}; repeated ones are computed once."""
+def _stats_struct(column: ColumnSpec, i: int, wanted: Collection[str]) -> Column:
+    """Aggregates over the projected value x{i}; repeated ones are computed once, unwanted ones are NULL."""
     x = f"x{i}"
     values = {
         "column_name": "'" + column.name.replace("\\", "\\\\").replace("'", "\\'") + "'",
@@ -77,35 +79,36 @@ def _stats_struct(column: ColumnSpec, i: int) -> Column:
             "variance": f"var_pop({x})",
             "stddev": f"sqrt(var_pop({x}))",
         }
+    always = ("column_name", "ordinal", "kind", "transform")
+    values = {name: value for name, value in values.items() if name in wanted or name in always}
     fields = [f"'{f.name}', cast({values.get(f.name, 'NULL')} AS {f.dataType.simpleString()})" for f in STATS_SCHEMA]
     return F.expr(f"named_struct({', '.join(fields)})")
 
 
-def column_stats(df: DataFrame, spec: FeatureSpec) -> DataFrame:
+def column_stats(df: DataFrame, spec: FeatureSpec, wanted: Collection[str] = STATS_SCHEMA.names) -> DataFrame:
     """One row of statistics per spec column, by a single aggregate over one scan.
 
-    Every column is covered, SKIP included; variance is the population variance.
+    Every column is covered, SKIP included; variance is the population variance. Only the statistics
+    in ``wanted`` are computed.
     """
     typed = df.select(
         *[typed_column(df, c).alias(f"x{i}") for i, c in enumerate(spec.columns)],
         *[present_value(df, c).alias(f"present{i}") for i, c in enumerate(spec.columns) if c.kind is Kind.NUMERIC],
     )
-    rows = [_stats_struct(c, i) for i, c in enumerate(spec.columns)]
+    rows = [_stats_struct(c, i, wanted) for i, c in enumerate(spec.columns)]
     return typed.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
 
 
 def numeric_profile(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     """Count, minimum, maximum and sum of every NUMERIC column."""
-    return column_stats(df, spec).filter(F.col("kind") == Kind.NUMERIC.value).select(
-        "column_name", "n", "min", "max", "sum"
-    )
+    wanted = ("n", "min", "max", "sum")
+    return column_stats(df, spec, wanted).filter(F.col("kind") == Kind.NUMERIC.value).select("column_name", *wanted)
 
 
 def invalid_entry_count(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     """Per NUMERIC column: values that parse and values that do not."""
-    return column_stats(df, spec).filter(F.col("kind") == Kind.NUMERIC.value).select(
-        "column_name", "n", "n_invalid"
-    )
+    wanted = ("n", "n_invalid")
+    return column_stats(df, spec, wanted).filter(F.col("kind") == Kind.NUMERIC.value).select("column_name", *wanted)
 
 
 def nominal_values(df: DataFrame, columns: list[ColumnSpec]) -> Column:
@@ -114,14 +117,14 @@ def nominal_values(df: DataFrame, columns: list[ColumnSpec]) -> Column:
     return F.stack(F.lit(len(columns)), *cells).alias("column_name", "label")
 
 
-def label_counts(df: DataFrame, columns: list[ColumnSpec], position: Column) -> DataFrame:
+def label_counts(df: DataFrame, columns: list[ColumnSpec], position: list[str]) -> DataFrame:
     """Distinct values of the NOMINAL columns with their count and first position.
 
-    All columns share one scan; rows are combined before the shuffle, so a label held
-    by most of the table arrives as one row per task.
+    ``position`` lists the columns that put the rows in order. All columns share one scan; rows are combined
+    before the shuffle, so a label held by most of the table arrives as one row per task.
     """
     return (
-        df.select(position.cast("bigint").alias("at"), nominal_values(df, columns))
+        df.select(order_value(df, position).alias("at"), nominal_values(df, columns))
         .filter(F.col("label").isNotNull())
         .groupBy("column_name", "label")
         .agg(F.count("*").alias("n"), F.min("at").alias("first_at"))
@@ -145,7 +148,7 @@ def number_labels(counts: DataFrame) -> LabelTable:
     per_column = numbered.groupBy("column_name").agg(
         F.min("pos").alias("start"),
         F.count("*").alias("rows"),
-        F.sum(row_bytes(counts.schema)).alias("bytes"),
+        F.sum(row_bytes(counts.drop("first_at").schema)).alias("bytes"),
     )
     # one row per spec column
     found = per_column.collect()
@@ -154,15 +157,15 @@ def number_labels(counts: DataFrame) -> LabelTable:
         found,
         F.when(F.lit(False), F.lit(0)),
     )
-    rows = numbered.withColumn("label_id", F.col("pos") - start).drop("pos")
+    rows = numbered.withColumn("label_id", F.col("pos") - start).drop("pos", "first_at")
     return LabelTable(rows, {r["column_name"]: Size(r["rows"], r["bytes"]) for r in found})
 
 
-def label_table(df: DataFrame, columns: list[ColumnSpec], position: Column) -> LabelTable:
+def label_table(df: DataFrame, columns: list[ColumnSpec], position: list[str]) -> LabelTable:
     return number_labels(label_counts(df, columns, position))
 
 
-def label_dictionary(df: DataFrame, spec: FeatureSpec, position: Column) -> DataFrame:
+def label_dictionary(df: DataFrame, spec: FeatureSpec, position: list[str]) -> DataFrame:
     """Label, 0-based id in first-seen order and count, for every NOMINAL column."""
     return label_table(df, spec.nominal, position).rows.select(*LABEL_COLUMNS)
 
@@ -182,20 +185,21 @@ class Profile:
 
     spec: FeatureSpec
     stats: DataFrame
-    labels: LabelTable
+    find_labels: Callable[[], LabelTable] = field(repr=False)
     by_column: dict[str, ColumnStats] = field(repr=False)
 
+    @cached_property
+    def labels(self) -> LabelTable:
+        return self.find_labels()
+
     def n_labels(self, column: str) -> int:
         size = self.labels.sizes.get(column)
         return size.rows if size else 0
 
-    def hot_labels(self, column: str) -> list[str]:
-        """Labels above HOT_SHARE of the profiled values; there are at most 1/HOT_SHARE."""
-        least = max(self.by_column[column].n * HOT_SHARE, 1.0)
-        return [r["label"] for r in self.labels.of(column).filter(F.col("n") > least).select("label").collect()]
-
 
-def make_profile(spark: SparkSession, spec: FeatureSpec, stats_rows: list, labels: LabelTable) -> Profile:
+def make_profile(
+    spark: SparkSession, spec: FeatureSpec, stats_rows: list, labels: Callable[[], LabelTable]
+) -> Profile:
     return Profile(
         spec,
         spark.createDataFrame(stats_rows, STATS_SCHEMA),
@@ -205,14 +209,20 @@ def make_profile(spark: SparkSession, spec: FeatureSpec, stats_rows: list, label
 
 
 def empty_labels(spark: SparkSession) -> LabelTable:
-    schema = "column_name string, label string, n bigint, first_at bigint, label_id bigint"
-    return LabelTable(spark.createDataFrame([], schema), {})
+    return LabelTable(spark.createDataFrame([], LABEL_SCHEMA), {})
 
 
-def fit_profile(df: DataFrame, spec: FeatureSpec, position: Column) -> Profile:
-    """Profile a table. Only the statistics rows, one per column, reach the driver."""
+def fit_profile(df: DataFrame, spec: FeatureSpec, position: list[str], skipped_labels: bool = False) -> Profile:
+    """Profile a table. Only the statistics rows, one per column, reach the driver.
+
+    Labels are counted when they are first asked for; those of SKIP columns only with ``skipped_labels``.
+    """
     spark = df.sparkSession
-    labels = label_table(df, spec.nominal, position) if spec.nominal else empty_labels(spark)
+    columns = [c for c in spec.nominal if skipped_labels or c.transform is not Transform.SKIP]
+
+    def labels() -> LabelTable:
+        return label_table(df, columns, position) if columns else empty_labels(spark)
+
     return make_profile(spark, spec, column_stats(df, spec).collect(), labels)
 
 
@@ -261,7 +271,7 @@ def merge_labels(parts: list[LabelTable]) -> LabelTable:
 def merge_profiles(parts: list[Profile]) -> Profile:
     spark = parts[0].stats.sparkSession
     stats = merge_stats([p.stats for p in parts]).collect()
-    return make_profile(spark, parts[0].spec, stats, merge_labels([p.labels for p in parts]))
+    return make_profile(spark, parts[0].spec, stats, lambda: merge_labels([p.labels for p in parts]))
 
 
 def balance(labels: DataFrame, stats: DataFrame) -> DataFrame:

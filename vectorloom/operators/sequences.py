@@ -14,7 +14,7 @@ from vectorloom.session import materialize
 RATINGS = ("appearance", "aroma", "palate", "taste", "overall")
 # No vocabulary entry; stands in the padding of an index sequence.
 PAD = -1
-# Up to here a top-k over the bare positions is cheaper than numbering all rows.
+# Default of ``limit_examples``: up to here a top-k over the bare positions is cheaper than numbering all rows.
 TOP_K_ROWS = 100_000
 
 
@@ -76,14 +76,13 @@ def sequence_record(
     ).select(*keys, "t", "step.out_idx", "step.in_idx", "style_index", *context)
 
 
-def assign_minibatch(rows: DataFrame, position: str, batch_size: int, carry: tuple[str, ...] = ()) -> Numbered:
-    """Number rows by ``position`` and cut them into consecutive groups of ``batch_size``.
+def assign_minibatch(rows: DataFrame, position: list[str], batch_size: int, carry: tuple[str, ...] = ()) -> Numbered:
+    """Number rows by the ``position`` columns and cut them into consecutive groups of ``batch_size``.
 
-    Give it only the columns worth sorting; join the result back by ``position``. They
-    are written first, since a sort reads its input twice and may have to read texts.
+    Give it only the columns worth sorting; join the result back by ``position``. A sort
+    reads its input twice, so write it first where it is dear.
     """
-    narrow = materialize(rows.select(position, *carry), "positions")
-    numbered = number_rows(narrow, [position])
+    numbered = number_rows(rows.select(*position, *carry), position)
     batched = numbered.rows.withColumns(
         {
             "batch_id": F.expr(f"pos div {batch_size}"),
@@ -100,29 +99,34 @@ def drop_remainder(batches: Numbered, batch_size: int) -> DataFrame:
 
 def pad_and_mask(
     docs: DataFrame,
-    position: str,
+    position: list[str],
     text: str,
     batch_size: int,
     vocab: Vocabulary = DEFAULT,
     max_len: int = 0,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Index sequences padded to the longest of their batch, with a 0/1 mask.
+    """Index sequences padded to the longest of their batch, with a 0/1 mask and the ``carry`` columns.
 
-    Batches are cut and measured on (position, length) alone; the texts move once, in
-    the join on the unique position.
+    Batches are cut and measured on (position, length) alone. Then the texts move once, in
+    the join on the unique position, and are encoded after it: an index array is
+    several times as large as its text.
     """
     kept = docs.filter(tx.nonempty_text(F.col(text)))
     steps = F.length(tx.charset_filter(F.col(text), vocab)) + 1
     length = F.least(steps, F.lit(max_len)) if max_len else steps
-    batches = assign_minibatch(kept.select(position, length.alias("__n")), position, batch_size, ("__n",))
+    lengths = materialize(kept.select(*position, length.alias("__n")), "lengths")
+    batches = assign_minibatch(lengths, position, batch_size, ("__n",))
     # a window group is one batch: at most batch_size rows
     measured = batches.rows.withColumn("batch_len", F.max("__n").over(Window.partitionBy("batch_id"))).drop("__n", "pos")
-    sequences = next_char_pairs(kept.select(position, text), text, vocab, max_len).drop(text)
+    joined = kept.select(*position, text, *carry).join(measured, position)
+    sequences = next_char_pairs(joined, text, vocab, max_len)
     missing = F.col("batch_len") - F.col("n_steps")
     padding = F.array_repeat(F.lit(PAD), missing)
     mask = F.concat(F.array_repeat(F.lit(1), F.col("n_steps")), F.array_repeat(F.lit(0), missing))
-    return sequences.join(measured, position).select(
-        position,
+    return sequences.select(
+        *position,
+        *carry,
         "batch_id",
         "row_in_batch",
         "batch_len",
@@ -133,16 +137,38 @@ def pad_and_mask(
     )
 
 
-def limit_examples(rows: DataFrame, position: str, n: int) -> DataFrame:
+def training_batches(
+    reviews: DataFrame,
+    position: list[str],
+    text: str,
+    style_index: str,
+    ratings: dict[str, Column],
+    batch_size: int,
+    vocab: Vocabulary = DEFAULT,
+    max_len: int = 0,
+) -> DataFrame:
+    """What a training step takes, a row per example: batch, row, step arrays, mask, style index, five ratings.
+
+    Non-empty reviews only. The context of a review (``style_index``, ``ctx_<rating>``) holds for all of its
+    steps and is stored once.
+    """
+    context = context_columns(ratings)
+    kept = reviews.withColumns({"style_index": F.col(style_index), **context})
+    return pad_and_mask(kept, position, text, batch_size, vocab, max_len, ("style_index", *context))
+
+
+def limit_examples(rows: DataFrame, position: str, n: int, top_k_rows: int = TOP_K_ROWS) -> DataFrame:
     """The first ``n`` rows by the unique ``position``; 0 means all.
 
     Finds the last position wanted from the position column alone, then filters, so
-    the scan can skip row groups and the wide rows are never sorted.
+    the scan can skip row groups and the wide rows are never sorted. Up to ``top_k_rows`` the last position
+    is a top-k, which keeps that many positions in a task; beyond, all positions are numbered. Both give
+    the same rows.
     """
     if n <= 0:
         return rows
     positions = rows.select(position)
-    if n <= TOP_K_ROWS:
+    if n <= top_k_rows:
         last = positions.orderBy(position).limit(n).agg(F.max(position)).first()[0]
     else:
         numbered = number_rows(positions, [position])

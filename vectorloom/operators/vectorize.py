@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import partial
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,15 +58,17 @@ def apply_profile(df: DataFrame, profile: Profile, unseen: str = "error", keep:
         *[typed_column(df, c).alias(f"raw_{c.name}") for c in emitted],
     )
     sizes = {c: profile.labels.sizes.get(c.name, Size(0, 0)) for c in emitted if c.kind is Kind.NOMINAL}
-    # smallest first: after the first dictionary that needs a shuffle, the rows are worth writing
-    shuffled = False
+    # smallest first: after the first dictionary that needs a shuffle, the rows are worth writing;
+    # all broadcast dictionaries together stay within the threshold for one
+    shuffled, broadcast_bytes = False, 0
     for c, size in sorted(sizes.items(), key=lambda item: item[1].bytes):
         ids = profile.labels.of(c.name).select(
             F.col("label").alias(f"raw_{c.name}"), F.col("label_id").alias(f"id_{c.name}")
         )
-        hot_labels = partial(profile.hot_labels, c.name)
-        out = lookup_join(out, ids, f"raw_{c.name}", size=size, find_hot=hot_labels, costly=shuffled)
-        shuffled = shuffled or not fits_broadcast(df.sparkSession, size)
+        broadcast_bytes += size.bytes
+        fits = fits_broadcast(df.sparkSession, Size(size.rows, broadcast_bytes))
+        out = lookup_join(out, ids, f"raw_{c.name}", size=size, costly=shuffled, may_broadcast=fits)
+        shuffled = shuffled or not fits
     features = [
         _nominal_feature(F.col(f"`raw_{c.name}`"), F.col(f"`id_{c.name}`"), c, profile, unseen)
         if c.kind is Kind.NOMINAL
@@ -113,7 +113,7 @@ def assemble_sparse(df: DataFrame, spec: FeatureSpec, compat: bool = False, keep
 
 
 def vectorize(
-    df: DataFrame, spec: FeatureSpec, position: Column, keep: tuple[str, ...] = (), costly: bool = False
+    df: DataFrame, spec: FeatureSpec, position: list[str], keep: tuple[str, ...] = (), costly: bool = False
 ) -> DataFrame:
     """Profile, apply and assemble in one call.
 
@@ -122,8 +122,9 @@ def vectorize(
     """
     if costly:
         typed = [typed_column(df, c).alias(c.name) for c in spec.columns]
-        df = materialize(df.select(*keep, position.alias("__position"), *typed), "typed")
-        position = F.col("__position")
+        places = [F.col(p).alias(f"__at_{i}") for i, p in enumerate(position)]
+        df = materialize(df.select(*keep, *places, *typed), "typed")
+        position = [f"__at_{i}" for i in range(len(position))]
     profile = fit_profile(df, spec, position)
     return assemble_plain(apply_profile(df, profile, keep=keep), spec, keep)
 
