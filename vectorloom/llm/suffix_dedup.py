@@ -30,15 +30,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vectorloom.llm.blocks import BLOCKS, bucket_of, pack, split_by, unpack
-from vectorloom.llm.textops import SpanHashes, mix, text_passes
+from vectorloom.llm.textops import SpanHashes, byte_slices, mix, text_passes
 from vectorloom.session import materialize
 
 LENGTH = 100
 GRAM = 32
 # Bytes of text per document bucket, and stretches per task that sorts windows.
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 MIN_BUCKETS = 64
-TASK_STRETCHES = 8_192
+TASK_STRETCHES = 4_096
 # Documents sampled, and different surroundings in them from which an anchor is spread.
 SAMPLE_DOCS = 20_000
 SPREAD_FROM = 20
@@ -136,7 +136,7 @@ def spread_anchors(docs: DataFrame, n_docs: int, length: int) -> dict[int, int]:
     share = min(1.0, SAMPLE_DOCS / max(n_docs, 1))
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in byte_slices(whole, 1)):
             found = stretches(_doc_table(batch), length)
             _, first = np.unique(_both(found["k"], found["f"]), return_index=True)
             yield pa.RecordBatch.from_arrays(
@@ -153,12 +153,12 @@ def spread_anchors(docs: DataFrame, n_docs: int, length: int) -> dict[int, int]:
 
 
 def stretch_blocks(docs: DataFrame, length: int, buckets: int, doc_buckets: int, spread: dict[int, int]) -> DataFrame:
-    """(kind, bucket, data): the first of equal stretches of a batch by anchor, the covers of the others by document."""
+    """(kind, bucket, data): the first of equal stretches of some texts by anchor, the covers of the others by document."""
     spread_keys = np.array(sorted(spread), np.uint64)
     spread_ways = np.array([spread[int(k)] for k in spread_keys], np.uint64)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in byte_slices(whole, 1)):
             table = _doc_table(batch)
             found = stretches(table, length)
             if not len(found["k"]):
@@ -230,7 +230,7 @@ def document_blocks(docs: DataFrame, doc_buckets: int) -> DataFrame:
     """(bucket, data): the texts themselves by document bucket."""
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in byte_slices(whole, 1)):
             table = _doc_table(batch)
             if table.num_rows:
                 yield from split_by(_doc_bucket(_columns(table.select(["key"]))["key"], doc_buckets), table).to_batches()

@@ -9,7 +9,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Bytes that one pass of the vectorized helpers handles; a longer text is a pass of its own.
-PASS_BYTES = 2 << 20
+PASS_BYTES = 512 << 10
+# Text that one Arrow batch is cut down to where a whole batch is held at once.
+SLICE_BYTES = 8 << 20
 
 _RANDOM = np.random.default_rng(20240229)
 _BYTE_CODES = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -40,6 +42,17 @@ def text_passes(column: pa.Array, limit: int = PASS_BYTES) -> Iterator[tuple[int
         row = end
 
 
+def byte_slices(batch: pa.RecordBatch, column: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with about ``limit`` bytes in a text column; a longer text is a run of its own."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    ends, row = np.cumsum(sizes, dtype=np.int64), 0
+    while row < batch.num_rows:
+        before = int(ends[row - 1]) if row else 0
+        end = max(int(np.searchsorted(ends, before + limit, "right")), row + 1)
+        yield batch.slice(row, end - row)
+        row = end
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit values."""
     x = x ^ (x >> np.uint64(33))
