@@ -25,6 +25,8 @@ def local_session(app: str, cores: int | str = "*", shuffle_partitions: int = 8)
         .config("spark.driver.memory", os.environ.get("VECTORLOOM_DRIVER_MEMORY", "8g"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Python workers import this package, wherever the session was started from
+        .config("spark.executorEnv.PYTHONPATH", os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
         # call-site capture costs one stack walk per column expression
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
