@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vectorloom.llm.components import connected_components
-from vectorloom.llm.textops import LOWER, SpanHashes, as_texts, mix, text_passes, word_spans
+from vectorloom.llm.textops import LOWER, SLICE_BYTES, SpanHashes, as_texts, byte_slices, mix, text_passes, word_spans
 from vectorloom.operators.lookup import broadcast_limit
 from vectorloom.session import materialize
 
@@ -33,6 +33,8 @@ MIN_BUCKETS = 64
 
 _ORDER_CODES = np.random.default_rng(7).integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ELEMENT = np.uint64(0xD6E8FEB86659FD93)
+# Bits of a sketch per shingle; centres tried in a group, and sets that a centre is chosen by.
+_SKETCH_BITS, _CENTRES, _COMPARED = 4, 16, 32
 _INDEX, _INDEX_DELETION, _PROBE, _PROBE_DELETION = 1, 2, 4, 8
 
 
@@ -201,7 +203,7 @@ def signature_blocks(docs: DataFrame, text: str, rule: Rule, buckets: int) -> Da
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schemes = Schemes(rule)
-        for batch in batches:
+        for batch in (part for whole in batches for part in byte_slices(whole, 0)):
             seen, nodes, sizes, values, roles = set(), [], [], [], []
             for _, shingles in shingle_sets(batch.column(0), rule.n):
                 if not len(shingles) or (node := _node(shingles)) in seen:
@@ -271,7 +273,7 @@ def candidate_texts(docs: DataFrame, sets: DataFrame, groups: DataFrame, key: st
         chosen = F.broadcast(chosen)
 
     def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in byte_slices(whole, 0)):
             nodes, sizes, out = [], [], []
             for _, shingles in shingle_sets(batch.column(0), rule.n):
                 nodes.append(_node(shingles) if len(shingles) else None)
@@ -288,69 +290,98 @@ def candidate_texts(docs: DataFrame, sets: DataFrame, groups: DataFrame, key: st
 
 def parity_sketch(shingles: np.ndarray) -> np.ndarray:
     bits = 64
-    while bits < len(shingles):
+    while bits < _SKETCH_BITS * len(shingles):
         bits *= 2
     at = (shingles >> np.uint64(64 - bits.bit_length() + 1)).astype(np.int64)
     return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8))
 
 
-def _fold(sketch: np.ndarray, size: int) -> np.ndarray:
-    """A sketch with fewer bits: neighbouring bits fall together."""
-    bits = np.unpackbits(sketch)
-    while len(bits) > size * 8:
-        bits = bits[::2] ^ bits[1::2]
-    return np.packbits(bits)
+def _folded(sketches: list[bytes]) -> np.ndarray:
+    """Sketches as rows of one width, that of the shortest: neighbouring bits of longer ones fall together."""
+    width = min(map(len, sketches))
+    out = np.empty((len(sketches), width), np.uint8)
+    for i, sketch in enumerate(sketches):
+        row = np.frombuffer(sketch, np.uint8)
+        while len(row) > width:
+            bits = np.unpackbits(row)
+            row = np.packbits(bits[::2] ^ bits[1::2])
+        out[i] = row
+    return out
+
+
+def _apart(sketches: np.ndarray, one: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(sketches ^ one).sum(axis=1, dtype=np.int64)
+
+
+def group_members(groups: DataFrame) -> DataFrame:
+    """(group, node) of the distinct groups with three sets or more."""
+    larger = groups.filter(F.size("nodes") > 2).select(F.xxhash64("nodes").alias("group"), "nodes")
+    return larger.dropDuplicates(["group"]).select("group", F.explode("nodes").alias("node"))
+
+
+def star_pairs(groups: DataFrame, members: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs of groups of two, and in larger groups central sets with those that may be linked to them.
 
+    A centre is the set closest by sketch to a few others. What is too far from it gets a centre of its own, a
+    few times over; ``cross_pairs`` sees to the rest.
+    """
 
-def star_pairs(groups: DataFrame) -> DataFrame:
-    """Every set of a group with the group's first one."""
-    return groups.select(F.col("nodes")[0].alias("u"), F.explode("nodes").alias("v")).filter("u != v").distinct()
+    def stars(_: tuple, table: pa.Table) -> pa.Table:
+        node, size = table.column("node").to_numpy(), table.column("size").to_numpy()
+        sketches = _folded(table.column("sketch").to_pylist())
+        left, us, vs = np.lexsort((node, size)), [], []
+        for _ in range(_CENTRES):
+            some = left[:: max(1, len(left) // _COMPARED)][:_COMPARED]
+            distance = sum(_apart(sketches[left], sketches[i]) for i in some)
+            centre = left[int(np.argmin(distance))]
+            most = (100 - rule.percent) * (size[left] + size[centre]) // (100 + rule.percent)
+            near = _apart(sketches[left], sketches[centre]) <= most
+            partners = node[left[near]]
+            partners = partners[partners != node[centre]]
+            us.append(np.full(len(partners), node[centre]))
+            vs.append(partners)
+            left = left[~near]
+            if len(left) < 2:
+                break
+        return pa.table({"u": np.concatenate(us), "v": np.concatenate(vs)})
+
+    rows = members.join(texts.select("node", "size", "sketch"), "node")
+    found = rows.groupBy("group").applyInArrow(stars, "u long, v long")
+    twos = groups.filter(F.size("nodes") == 2).select(F.col("nodes")[0].alias("u"), F.col("nodes")[1].alias("v"))
+    return _pairs(twos.union(found))
+
+
+def _pairs(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
 
-def cross_pairs(groups: DataFrame, labels: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
+def cross_pairs(members: DataFrame, labels: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
     """Pairs of a group that no chain links yet and that size and sketch leave possible."""
-    members = (
-        groups.filter(F.size("nodes") > 2)
-        .select(F.xxhash64("nodes").alias("group"), "nodes")
-        .dropDuplicates(["group"])
-        .select("group", F.explode("nodes").alias("node"))
-        .join(labels, "node", "left")
-        .withColumn("component", F.coalesce("component", "node"))
-    )
-    members = materialize(members, "join-members")
-    unsettled = members.groupBy("group").agg(F.min("component").alias("a"), F.max("component").alias("b"))
+    labelled = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    labelled = materialize(labelled, "join-members")
+    unsettled = labelled.groupBy("group").agg(F.min("component").alias("a"), F.max("component").alias("b"))
     unsettled = unsettled.filter("a != b").select("group")
-    rows = members.join(unsettled, "group", "left_semi").join(texts.select("node", "size", "sketch"), "node")
+    rows = labelled.join(unsettled, "group", "left_semi").join(texts.select("node", "size", "sketch"), "node")
 
-    def compare(key: tuple, table: pa.Table) -> pa.Table:
+    def compare(_: tuple, table: pa.Table) -> pa.Table:
         table = table.sort_by([("size", "ascending"), ("node", "ascending")])
         node, component, size = (table.column(c).to_numpy() for c in ("node", "component", "size"))
-        sketch = [np.frombuffer(s, np.uint8) for s in table.column("sketch").to_pylist()]
-        us, vs = [], []
+        sketches = _folded(table.column("sketch").to_pylist())
         # sizes ascend: the partners of a row are the rows after it up to its largest partner
         stops = np.searchsorted(size, size * 100 // rule.percent, "right")
-        for width in sorted({len(s) for s in sketch}):
-            same = np.array([len(s) >= width for s in sketch])
-            first = np.flatnonzero([len(s) == width for s in sketch])
-            folded = np.zeros((len(sketch), width), np.uint8)
-            reach = np.zeros(len(sketch), bool)
-            if len(first):
-                reach[first[0] : stops[first].max()] = True
-            for i in np.flatnonzero(same & reach):
-                folded[i] = _fold(sketch[i], width)
-            for i in first:
-                j = np.arange(i + 1, stops[i])
-                j = j[component[j] != component[i]]
-                if len(j):
-                    apart = np.bitwise_count(folded[j] ^ folded[i]).sum(axis=1, dtype=np.int64)
-                    j = j[apart <= (100 - rule.percent) * (size[i] + size[j]) // (100 + rule.percent)]
-                    us.append(np.full(len(j), node[i]))
-                    vs.append(node[j])
-        empty = np.zeros(0, np.int64)
-        return pa.table({"u": np.concatenate([empty, *us]), "v": np.concatenate([empty, *vs])})
-
-    pairs = rows.groupBy("group").applyInArrow(compare, "u long, v long")
-    return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+        us, vs = [], []
+        for i in range(len(node)):
+            j = np.arange(i + 1, stops[i])
+            j = j[component[j] != component[i]]
+            if len(j):
+                most = (100 - rule.percent) * (size[i] + size[j]) // (100 + rule.percent)
+                j = j[_apart(sketches[j], sketches[i]) <= most]
+                us.append(np.full(len(j), node[i]))
+                vs.append(node[j])
+        none = np.zeros(0, np.int64)
+        return pa.table({"u": np.concatenate([none, *us]), "v": np.concatenate([none, *vs])})
+
+    return _pairs(rows.groupBy("group").applyInArrow(compare, "u long, v long"))
 
 
 def verified(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
@@ -360,7 +391,7 @@ def verified(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, last_set = None, set()
-        for batch in batches:
+        for batch in (part for whole in batches for part in byte_slices(whole, 3, SLICE_BYTES // 2)):
             keep = []
             ones = batch.column(0).to_pylist()
             for u, text_u, text_v in zip(ones, as_texts(batch.column(2)), as_texts(batch.column(3))):
@@ -378,10 +409,10 @@ def verified(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
 def ngram_jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", rule: Rule = Rule()) -> DataFrame:
     """(key, n_shingles, component_id): set size, and the smallest key reachable over links.
 
-    Equal sets are one node. Sets that share a signature form a group; each is compared with the group's
-    first, and only where that leaves a group in several components are the remaining pairs across
-    components compared too, after a test on size and sketch that no linked pair can fail. So groups of near copies
-    take a comparison per member, and no link between components is missed.
+    Equal sets are one node. Sets that share a signature form a group; they are compared with central sets
+    of the group, and only where that leaves a group in several components are the remaining pairs across
+    components compared too. A test on size and sketch that no linked pair can fail comes before. So groups
+    of near copies take about a comparison per member, and no link between components is missed.
 
     A null or wordless text has an empty set and is its own component, as has a null key (component null).
     Texts with fewer than n words have one shingle, all of them. Repeated keys are rows of their own; they
@@ -396,9 +427,10 @@ def ngram_jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text",
     groups = materialize(candidate_groups(blocks), "join-groups")
     texts = materialize(candidate_texts(docs, sets, groups, key, text, rule), "join-texts")
 
-    links = materialize(verified(star_pairs(groups), texts, rule), "join-links")
+    members = materialize(group_members(groups), "join-groups-apart")
+    links = materialize(verified(star_pairs(groups, members, texts, rule), texts, rule), "join-links")
     labels = materialize(connected_components(links), "join-labels")
-    more = materialize(verified(cross_pairs(groups, labels, texts, rule), texts, rule), "join-more-links")
+    more = materialize(verified(cross_pairs(members, labels, texts, rule), texts, rule), "join-more-links")
     if not more.isEmpty():
         labels = materialize(connected_components(links.union(more)), "join-labels")
 
