@@ -288,6 +288,14 @@ def test_junk_statistics_lines(spark, line):
         import_stats_text(lines(spark, ["p.q.maximum.moisture=1", line]), "p.q").collect()
 
 
+def test_label_lines(spark):
+    got = import_labels_text(lines(spark, ["7, a, b ,1"])).first()
+    assert (got["label"], got["label_id"], got["n"]) == ("a, b", 7, 1)
+    for line in ("pine", "x,pine,3", "1,pine", "1,pine,many"):
+        with pytest.raises(Exception, match="not a label line"):
+            import_labels_text(lines(spark, [line])).collect()
+
+
 def test_profile_from_text(spark):
     """Imported text gives the vectors that the profile it came from gives."""
     profile = pr.fit_profile(parsed(spark), SPEC, ["at"])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vectorloom.catalog.base import as_line, register, rounded, table
 from vectorloom.catalog.statistics import LABELS_SQL, STATS_SQL
-from vectorloom.catalog.vectors import LINE_FEATURES_SQL, LINE_SPEC, labels_sql, line_profile
+from vectorloom.catalog.vectors import LINE_FEATURES_SQL, LINE_KEY, LINE_SPEC, labels_sql, line_profile
 from vectorloom.operators.lookup import lookup_join
 from vectorloom.operators.profile import fit_profile
 from vectorloom.operators.vectorize import apply_profile, assemble_plain, assemble_sparse
@@ -91,6 +91,30 @@ def read_dictionary_json(spark, sf_dir):
     return json_docs.read_dictionary_json(spark, path, per_line=True).drop("at")
 
 
+ITEMS_PER_FILE = 100
+
+
+@register(
+    "s3_whole_files",
+    """SELECT p_partkey::VARCHAR AS id, p_name AS name, p_type AS style, p_size::VARCHAR AS abv, p_brand AS brewer
+    FROM part""",
+)
+def read_whole_files(spark, sf_dir):
+    """A container over several lines per file, each with the items of a hundred part keys."""
+    key = F.col("p_partkey").cast("string")
+    item = F.struct(
+        key.alias("id"), F.col("p_name").alias("name"), F.col("p_type").alias("style"),
+        F.col("p_size").cast("string").alias("abv"), F.col("p_brand").alias("brewer"),
+    )
+    # a group holds at most ITEMS_PER_FILE items
+    grouped = table(spark, sf_dir, "part").groupBy(F.expr(f"p_partkey div {ITEMS_PER_FILE}").alias("block"))
+    items = grouped.agg(F.map_from_entries(F.collect_list(F.struct(key, item))).alias("items"))
+    container = F.to_json(F.create_map(F.lit("beers"), F.col("items")), {"pretty": "true"})
+    path = scratch_path(spark, "item-files")
+    items.select("block", container.alias("value")).write.partitionBy("block").text(path)
+    return json_docs.read_dictionary_json(spark, path).drop("at", "block")
+
+
 @register(
     "s4_read_reviews_json",
     """SELECT text, coalesce(quality * 2.5, 0)::FLOAT AS rating_overall, 0.0::FLOAT AS rating_aroma,
@@ -281,3 +305,37 @@ def import_stats_text(spark, sf_dir):
     path = scratch_path(spark, "stats-text")
     long.select(F.format_string(PREFIX + ".%s.%s=%s", "statistic", "column_name", F.col("value").cast("string"))).write.text(path)
     return profile_store.import_stats_text(delimited.read_lines(spark, path), PREFIX)
+
+
+@register(
+    "s11_import_labels_text",
+    f"SELECT column_name, label, label_id, n FROM ({LABELS_SQL}) WHERE column_name = 'l_returnflag'",
+)
+def import_labels_text(spark, sf_dir):
+    """Labels written as id,label,count lines, and read back."""
+    labels = line_profile(spark, sf_dir)[1].labels.of("l_returnflag")
+    path = scratch_path(spark, "labels-text")
+    labels.select(as_line("label_id", "label", "n").alias("value")).write.text(path)
+    back = profile_store.import_labels_text(delimited.read_lines(spark, path))
+    return back.select(F.lit("l_returnflag").alias("column_name"), "label", "label_id", "n")
+
+
+@register(
+    "s11_profile_from_text",
+    LINE_FEATURES_SQL + "SELECT order_key, l_linenumber, l_partkey, l_suppkey, f_quantity, f_price, f_status, label FROM f",
+)
+def profile_from_text(spark, sf_dir):
+    """Features from a profile made of imported text equal those of the profile itself."""
+    lines, profile = line_profile(spark, sf_dir)
+    names = ("n", "min", "max", "avg", "stddev")
+    figures = profile.stats.filter("kind = 'NUMERIC'").select("column_name", *[F.col(n).cast("double") for n in names])
+    long = figures.unpivot("column_name", list(names), "statistic", "value")
+    path = scratch_path(spark, "profile-text")
+    long.select(F.format_string(PREFIX + ".%s.%s=%s", "statistic", "column_name", F.col("value").cast("string"))).write.text(path)
+    statistics = profile_store.import_stats_text(delimited.read_lines(spark, path), PREFIX)
+    made = profile_store.profile_from_text(LINE_SPEC, statistics, profile.labels.rows)
+    features = assemble_plain(apply_profile(lines, made, keep=LINE_KEY), LINE_SPEC, LINE_KEY)
+    out = features.select(
+        *LINE_KEY, *[F.col("features")[i].alias(n) for i, n in ((1, "f_quantity"), (2, "f_price"), (4, "f_status"))], "label"
+    )
+    return rounded(out, 6, "f_quantity", "f_price")

@@ -82,10 +82,15 @@ def import_stats_text(lines: DataFrame, prefix: str, line: str = "value") -> Dat
 
 
 def import_labels_text(lines: DataFrame, line: str = "value") -> DataFrame:
-    """``id,label,count`` lines to (label, label_id, n)."""
-    parts = F.split(F.col(line), ",")
-    return lines.filter(F.trim(line) != "").select(
-        F.trim(parts[1]).alias("label"),
-        parts[0].cast("bigint").alias("label_id"),
-        parts[2].cast("bigint").alias("n"),
+    """``id,label,count`` lines to (label, label_id, n); a label may hold commas.
+
+    Blank lines are skipped; any other line is an error.
+    """
+    pattern = r"^\s*(\d{1,18})\s*,(.*),\s*(\d{1,18})\s*$"
+    c = F.col(line)
+    problem = F.raise_error(F.concat(F.lit("not a label line: "), c)).cast("string")
+    return lines.filter(F.trim(c) != "").select(
+        F.when(c.rlike(pattern), F.trim(F.regexp_extract(c, pattern, 2))).otherwise(problem).alias("label"),
+        F.regexp_extract(c, pattern, 1).try_cast("bigint").alias("label_id"),
+        F.regexp_extract(c, pattern, 3).try_cast("bigint").alias("n"),
     )
