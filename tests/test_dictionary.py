@@ -119,8 +119,8 @@ def test_last_item_by_several_columns(spark):
         assert {r["item_id"]: (r["style"], r["style_index"]) for r in found.collect()} == {
             1: ("Gose", 0), 2: ("Kvass", 1), 3: ("Gose", 0),
         }
-        plan = found._jdf.queryExecution().optimizedPlan().toString()
-        assert plan
+        if kinds == "o long, l int":
+            assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()
 
 
 def test_bad_containers(spark):
@@ -128,7 +128,8 @@ def test_bad_containers(spark):
     bad = ["", "not json", "[1]", '{"r": 5}', '{"r": [{"text":"a"', '{"r": [{"text":"cut"}]', '{"r":[{"rating_taste":"abc"}]}']
     rows = spark.createDataFrame([(t,) for t in good + bad], "value string")
     assert sorted(r.value for r in bad_containers(rows, REVIEW_FIELDS).collect()) == sorted(bad)
-    assert sorted(r.text for r in container_records(rows.filter(F.col("value").isin(good[:4])), REVIEW_FIELDS).collect()) == ["a", "b"]
+    readable = container_records(rows.filter(F.col("value").isin(good[:4])), REVIEW_FIELDS)
+    assert sorted(r.text for r in readable.collect()) == ["a", "b"]
     for text in bad:
         with pytest.raises(Exception, match="bad container"):
             container_records(spark.createDataFrame([(text,)], "value string"), REVIEW_FIELDS).collect()
