@@ -39,16 +39,17 @@ def _voters(rows: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     words = rows["n_words"]
     some = words > 0
     repeats, symbols, upper, letters = rows["n_repeat_words"], rows["n_symbols"], rows["n_upper"], rows["n_letters"]
+    lines, sentences = rows["n_lines"], rows["n_sentence_lines"]
     return {
         "symbols": _vote(symbols * 50 > rows["word_chars"], some & (symbols * 200 < rows["word_chars"])),
         "symbol_words": _vote(symbols * 4 > words, some & (symbols == 0)),
         "repeats": _vote(repeats * 2 > words, some & (repeats * 5 < words)),
-        "lines": _vote(rows["n_dup_lines"] * 2 > rows["n_lines"]),
+        "lines": _vote(rows["n_dup_lines"] * 2 > lines),
         "capitals": _vote(upper * 2 > letters, (letters > 0) & (upper * 5 < letters)),
         "marks": _vote(rows["n_marks"] * 5 > words, some & (rows["n_marks"] * 50 < words)),
-        "sentences": _vote(some & (rows["n_sentence_lines"] * 4 < rows["n_lines"]), some & (rows["n_sentence_lines"] * 2 > rows["n_lines"])),
+        "sentences": _vote(some & (sentences * 4 < lines), some & (sentences * 2 > lines)),
         "word_length": _vote(rows["word_chars"] > 12 * words, some & (rows["word_chars"] < 9 * words)),
-    }
+    }
 
 
 VOTERS = ("symbols", "symbol_words", "repeats", "lines", "capitals", "marks", "sentences", "word_length")

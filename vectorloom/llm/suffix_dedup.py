@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vectorloom.llm.blocks import BLOCKS, bucket_of, pack, split_by, unpack
+from vectorloom.llm.blocks import BLOCKS, bucket_of, split_by, unpack
 from vectorloom.llm.textops import SpanHashes, byte_slices, mix, text_passes
 from vectorloom.session import materialize
 
