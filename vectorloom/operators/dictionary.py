@@ -87,14 +87,13 @@ def item_to_style(
         F.col(style).alias("style"),
         *[c.alias(name) for name, c in places.items()],
     ).filter(F.col("style_key").isNotNull())
-    styles = number_rows(keyed.select("style_key", "style").distinct(), ["style", "style_key"], "style_id").rows
-    # styles are few or the numbers of a hundred million styles: both fit an int
-    styles = styles.withColumn("style_id", F.col("style_id").cast("int"))
+    numbers = number_rows(keyed.select("style_key", "style").distinct(), ["style", "style_key"], "style_id")
+    styles = numbers.rows
     numbered = lookup_join(keyed.drop("style_key"), styles.select("style", "style_id"), "style", how="inner")
     numbered = numbered.select("item_id", *places, "style_id")
-    order = order_value(numbered, [*places, "style_id"])
-    last = numbered.groupBy("item_id").agg(F.max(order).alias("last"))
-    last = last.select("item_id", last_part(numbered, [*places, "style_id"], F.col("last")).alias("style_id"))
+    order = [*places, "style_id"]
+    last = numbered.groupBy("item_id").agg(F.max(order_value(numbered, order, numbers.total)).alias("last"))
+    last = last.select("item_id", last_part(numbered, order, F.col("last"), numbers.total).alias("style_id"))
     indexed = lookup_join(styles, dictionary.select("style_key", "style_index"), "style_key", how="inner")
     known = materialize(indexed.select("style_id", "style_index", "style"), "styles")
     return lookup_join(last, known, "style_id", how="inner", costly=True).select("item_id", "style_index", "style")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from decimal import Decimal
 
@@ -14,40 +15,51 @@ from vectorloom.session import materialize
 # monotonically_increasing_id() keeps the partition number above this bit
 _PARTITION_SHIFT = 33
 _TAG = "__row_tag"
-# Decimal digits of an integer type, and a shift that makes its values positive.
-_DIGITS = {T.ByteType: (3, 1 << 7), T.ShortType: (5, 1 << 15), T.IntegerType: (10, 1 << 31), T.LongType: (20, 1 << 63)}
-_MAX_DIGITS = 38
+# Number of values of an integer type.
+_RANGES = {T.ByteType: 1 << 8, T.ShortType: 1 << 16, T.IntegerType: 1 << 32, T.LongType: 1 << 64}
+_MAX_DECIMAL = 10**38
 
 
-def order_value(df: DataFrame, columns: list[str]) -> Column:
+def _ranges(df: DataFrame, columns: list[str], count: int | None) -> list[tuple[int, int]] | None:
+    """Range and shift of each column after the first, if all fit side by side into a decimal."""
+    kinds = [_RANGES.get(type(df.schema[c].dataType)) for c in columns]
+    if None in kinds:
+        return None
+    ranges = [(n, n // 2) for n in kinds[1:]]
+    if count is not None:
+        ranges[-1] = (max(count, 1), 0)
+    # the leading column keeps its sign
+    return ranges if kinds[0] // 2 * math.prod(n for n, _ in ranges) < _MAX_DECIMAL else None
+
+
+def order_value(df: DataFrame, columns: list[str], count: int | None = None) -> Column:
     """One value that sorts like the columns, for ``min`` and ``max``.
 
-    A single column is itself. Integers that fit side by side into a decimal make one, which has a fixed
-    width and lets aggregates hash; anything else makes a struct. Nothing is cut off or overflows.
+    A single column is itself. Integers whose ranges fit side by side into a decimal make one, which has a fixed
+    width and lets aggregates hash; anything else makes a struct. ``count`` says that the last column
+    is below it and not negative. Nothing is cut off or overflows.
     """
     if len(columns) == 1:
         return F.col(columns[0])
-    kinds = [_DIGITS.get(type(df.schema[c].dataType)) for c in columns]
-    # the leading column needs no shift, so it may keep its sign and one digit
-    if None in kinds or kinds[0][0] - (kinds[0][0] == 20) + sum(d for d, _ in kinds[1:]) > _MAX_DIGITS:
+    ranges = _ranges(df, columns, count)
+    if ranges is None:
         return F.when(F.greatest(*[F.col(c).isNull() for c in columns]), None).otherwise(F.struct(*columns))
     value = F.col(columns[0]).cast("decimal(38,0)")
-    for c, (digits, shift) in zip(columns[1:], kinds[1:]):
-        shifted = (F.col(c).cast(f"decimal({digits + 1},0)") + F.lit(Decimal(shift))).cast(f"decimal({digits},0)")
-        value = (value * F.lit(Decimal(10**digits)).cast(f"decimal({digits + 1},0)")).cast("decimal(38,0)")
-        value = (value + shifted).cast("decimal(38,0)")
+    for c, (size, shift) in zip(columns[1:], ranges):
+        value = (value * F.lit(Decimal(size))).cast("decimal(38,0)")
+        value = (value + (F.col(c).cast("decimal(21,0)") + F.lit(Decimal(shift)))).cast("decimal(38,0)")
     return value
 
 
-def last_part(df: DataFrame, columns: list[str], value: Column) -> Column:
+def last_part(df: DataFrame, columns: list[str], value: Column, count: int | None = None) -> Column:
     """The last of the columns, taken back out of an ``order_value``."""
-    kind = df.schema[columns[-1]].dataType
     if len(columns) == 1:
         return value
-    if isinstance(df.select(order_value(df, columns)).schema[0].dataType, T.StructType):
+    ranges = _ranges(df, columns, count)
+    if ranges is None:
         return value[columns[-1]]
-    digits, shift = _DIGITS[type(kind)]
-    return (F.pmod(value, F.lit(Decimal(10**digits)).cast(f"decimal({digits + 1},0)")) - F.lit(Decimal(shift))).cast(kind)
+    size, shift = ranges[-1]
+    return (F.pmod(value, F.lit(Decimal(size))) - F.lit(Decimal(shift))).cast(df.schema[columns[-1]].dataType)
 
 
 @dataclass(frozen=True)
