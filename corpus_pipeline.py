@@ -15,6 +15,7 @@ from vectorloom.llm.ngram_join import Rule, ngram_jaccard_join
 from vectorloom.llm.packing import pack_documents
 from vectorloom.llm.quality_classifier import keep_good, train_classifier
 from vectorloom.llm.suffix_dedup import remove_repeats
+from vectorloom.llm.textops import small_batches
 from vectorloom.session import materialize
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -24,6 +25,7 @@ NEAR_COPIES = Rule(n=5, percent=80)
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, trained on these documents, calls good."""
+    small_batches(spark)
     docs = docs.select(COLUMNS)
     _, scorer = train_classifier(docs)
     return keep_good(docs, scorer)
@@ -34,6 +36,7 @@ def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows that share a doc_id count as one document; the first by text stays.
     """
+    small_batches(spark)
     docs = docs.select(COLUMNS)
     joined = materialize(ngram_jaccard_join(docs, rule=NEAR_COPIES), "pipeline-components")
     copies = joined.filter("component_id != doc_id").select("doc_id").distinct()
@@ -48,6 +51,7 @@ def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the strings of 100 bytes that start earlier; an emptied document stays, empty."""
+    small_batches(spark)
     rows = docs.select(COLUMNS).withColumn("absent", F.col("text").isNull())
     kept = remove_repeats(rows, carry=("lang", "source", "n_chars", "absent"), as_text=True)
     changed = F.col("n_removed") > 0
@@ -73,6 +77,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences; ids as a checksum, as the texts are in the stage before."""
+    small_batches(spark)
     return pack_documents(docs).withColumn("ids_crc32", F.crc32("ids"))
 
 

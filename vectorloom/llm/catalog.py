@@ -15,6 +15,7 @@ from vectorloom.llm.quality_classifier import classify_quality
 from vectorloom.llm.quality_rules import judge_lines, train_field
 from vectorloom.llm.sharding import assign_shards, byte_size
 from vectorloom.llm.suffix_dedup import remove_repeats
+from vectorloom.llm.textops import small_batches
 from vectorloom.llm.token_counts import attribute_tokens
 from vectorloom.llm.warc import archive_pages
 
@@ -24,7 +25,11 @@ ORACLES: dict[str, str] = {}
 
 def register(name: str, sql: str | None = None):
     def add(query):
-        QUERIES[name] = query
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            small_batches(spark)
+            return query(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return query

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vectorloom.llm.components import connected_components
-from vectorloom.llm.textops import LOWER, SLICE_BYTES, SpanHashes, as_texts, byte_slices, mix, text_passes, word_spans
+from vectorloom.llm.textops import LOWER, SLICE_BYTES, SpanHashes, as_texts, byte_slices, give_back, mix, text_passes, word_spans
 from vectorloom.operators.lookup import broadcast_limit
 from vectorloom.session import materialize
 
@@ -190,6 +190,7 @@ def document_sets(docs: DataFrame, key: str, text: str, rule: Rule) -> DataFrame
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64())],
                 names=[key, "n_shingles", "node"],
             )
+        give_back()
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(key, text).mapInArrow(sets, f"`{key}` {kind}, n_shingles long, node long")
@@ -228,6 +229,7 @@ def signature_blocks(docs: DataFrame, text: str, rule: Rule, buckets: int) -> Da
             yield pa.RecordBatch.from_arrays(
                 [pa.array(present), pa.array([p.tobytes() for p in parts], pa.binary())], names=["bucket", "entries"]
             )
+        give_back()
 
     return docs.select(text).mapInArrow(blocks, "bucket long, entries binary")
 
@@ -401,6 +403,7 @@ def verified(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
                 common = len(last_set & other_set)
                 keep.append(100 * common >= rule.percent * (len(last_set) + len(other_set) - common))
             yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
+        give_back()
 
     both = pairs.join(other, "v").join(one, "u").select("u", "v", "text_u", "text_v")
     return both.mapInArrow(check, "u long, v long")

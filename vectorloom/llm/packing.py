@@ -10,13 +10,13 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from vectorloom.llm.textops import LOWER, SpanHashes, text_passes
+from vectorloom.llm.textops import LOWER, SpanHashes, give_back, text_passes
 
 WINDOW = 4096
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
 # Words whose ids a Python worker keeps; beyond that it starts anew.
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 300_000
 # Sequence numbers: partition in the upper bits, sequence of the partition in the lower ones.
 _PARTITION_SHIFT = 40
 
@@ -231,5 +231,6 @@ def pack_documents(
                     [keys.take(pa.array(rows, pa.int64())), *[pa.array(c, t) for c, t in zip(rest, kinds)]],
                     names=[f.split()[0] for f in PIECES.split(", ")],
                 )
+        give_back()
 
     return docs.select(key, text).mapInArrow(pack, PIECES)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vectorloom.llm.statistics import Statistics, statistics
-from vectorloom.llm.textops import LOWER, SpanHashes, mix, text_passes, word_spans
+from vectorloom.llm.textops import LOWER, SpanHashes, give_back, mix, text_passes, word_spans
 from vectorloom.session import materialize
 
 GOOD, BAD, SILENT = 0, 1, 2
@@ -196,6 +196,7 @@ def heuristic_votes(docs: DataFrame, key: str, text: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, len(patterns)), patterns], names=[key, "pattern"]
                 )
+        give_back()
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(key, text).mapInArrow(vote, f"`{key}` {kind}, pattern long")
@@ -258,6 +259,7 @@ def keep_good(docs: DataFrame, scorer: Scorer, text: str = "text", threshold: fl
             for first, data, offsets in text_passes(batch.column(at)):
                 scores = scorer.scores(data, offsets)
                 yield batch.slice(first, len(scores)).filter(pa.array(scores >= threshold))
+        give_back()
 
     return docs.mapInArrow(keep, docs.schema)
 

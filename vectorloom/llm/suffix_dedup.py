@@ -30,13 +30,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vectorloom.llm.blocks import BLOCKS, bucket_of, split_by, unpack
-from vectorloom.llm.textops import SpanHashes, byte_slices, mix, text_passes
+from vectorloom.llm.textops import SpanHashes, byte_slices, give_back, lean, mix, text_passes
 from vectorloom.session import materialize
 
 LENGTH = 100
 GRAM = 32
 # Bytes of text per document bucket, and stretches per task that sorts windows.
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 4 << 20
 MIN_BUCKETS = 64
 TASK_STRETCHES = 4_096
 # Documents sampled, and different surroundings in them from which an anchor is spread.
@@ -184,6 +184,7 @@ def stretch_blocks(docs: DataFrame, length: int, buckets: int, doc_buckets: int,
             if len(again):
                 covers = _table(_COVER, key[again], crc[again], p[again], p[again] + n[again] + length - 1)
                 yield _of_kind(1, split_by(_doc_bucket(key[again], doc_buckets), covers))
+        give_back()
 
     return docs.mapInArrow(blocks, f"kind int, {BLOCKS}")
 
@@ -201,6 +202,7 @@ def _joined(tables: list[pa.Table]) -> pa.Table:
 def compare_stretches(blocks: DataFrame, length: int, doc_buckets: int) -> DataFrame:
     """(kind, bucket, data) by document: covers of repeated stretches (1), and stretches to look into (2)."""
 
+    @lean
     def compare(key: tuple, rows: pa.Table) -> pa.Table:
         c = _columns(unpack(rows.column("data").to_pylist(), _STRETCH))
         order = np.lexsort((c["p"], c["crc"], c["key"], c["f"], c["k"]))
@@ -234,6 +236,7 @@ def document_blocks(docs: DataFrame, doc_buckets: int) -> DataFrame:
             table = _doc_table(batch)
             if table.num_rows:
                 yield from split_by(_doc_bucket(_columns(table.select(["key"]))["key"], doc_buckets), table).to_batches()
+        give_back()
 
     return docs.mapInArrow(blocks, BLOCKS)
 
@@ -257,6 +260,7 @@ def _sorted_docs(rows: pa.Table) -> pa.Table:
 def contexts(texts: DataFrame, found: DataFrame, length: int, tasks: int) -> DataFrame:
     """(bucket, data): the bytes of the stretches to look into, by anchor."""
 
+    @lean
     def cut(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         out = _CONTEXT.empty_table()
         if right.num_rows and left.num_rows:
@@ -321,6 +325,7 @@ def _runs(c: dict[str, np.ndarray], stretch: np.ndarray, window: np.ndarray, len
 def repeats_in_contexts(blocks: DataFrame, length: int, doc_buckets: int, tasks: int) -> DataFrame:
     """(kind, bucket, data): covers by document (1), and windows to compare across tasks, by hash (3)."""
 
+    @lean
     def search(key: tuple, rows: pa.Table) -> pa.Table:
         table = unpack(rows.column("data").to_pylist(), _CONTEXT)
         table = table.sort_by([("block", "ascending"), ("key", "ascending"), ("crc", "ascending"), ("p", "ascending")])
@@ -391,6 +396,7 @@ def remove_covered(texts: DataFrame, covers: DataFrame, shape: T.StructType) ->
     as_text = shape["kept"].dataType == T.StringType()
     names = shape.names
 
+    @lean
     def apply(_: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         docs = _sorted_docs(left)
         c = _columns(unpack(right.column("data").to_pylist(), _COVER))
@@ -447,7 +453,7 @@ def remove_repeats(
     n_docs, n_bytes = row["n"], row["b"] or 0
     doc_buckets = max(MIN_BUCKETS, n_bytes // BUCKET_BYTES)
     # about 32 windows a stretch
-    buckets = max(MIN_BUCKETS, n_bytes // 32 // (1 << 20))
+    buckets = max(MIN_BUCKETS, n_bytes // 32 // (1 << 18))
     tasks = max(4 * MIN_BUCKETS, n_bytes // 32 // 12 // TASK_STRETCHES)
     spread = spread_anchors(docs, n_docs, length)
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 # Bytes that one pass of the vectorized helpers handles; a longer text is a pass of its own.
 PASS_BYTES = 512 << 10
@@ -53,6 +55,37 @@ def byte_slices(batch: pa.RecordBatch, column: int, limit: int = SLICE_BYTES) ->
         row = end
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker outlives its task, and the next one may be of another kind."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def lean(function: Callable) -> Callable:
+    """``function`` on a group, or on a pair of them, giving memory back once its own values are gone."""
+
+    def one(key: tuple, rows: pa.Table) -> pa.Table:
+        try:
+            return function(key, rows)
+        finally:
+            give_back()
+
+    def two(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        try:
+            return function(key, left, right)
+        finally:
+            give_back()
+
+    return one if function.__code__.co_argcount == 2 else two
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let Arrow batches hold a few megabytes of text; the setting stays with the session."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(SLICE_BYTES))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit values."""
     x = x ^ (x >> np.uint64(33))
