@@ -2,7 +2,8 @@
 
 Every stage takes rows with the columns of ``documents`` and works on all of them; all but the last give
 such rows back. Rows without a doc_id are kept apart from none but themselves: near-duplicate removal
-leaves them, the other stages treat them like any row.
+leaves them, the other stages treat them like any row. Joins of decisions to documents are merge joins at every
+size, so that what a stage moves stays in proportion to its input.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = docs.select(COLUMNS)
     joined = materialize(ngram_jaccard_join(docs, rule=NEAR_COPIES), "pipeline-components")
     copies = joined.filter("component_id != doc_id").select("doc_id").distinct()
-    kept = docs.join(copies, "doc_id", "left_anti").select(COLUMNS)
+    kept = docs.join(copies.hint("merge"), "doc_id", "left_anti").select(COLUMNS)
     again = joined.groupBy("doc_id").count().filter("doc_id IS NOT NULL AND count > 1").select("doc_id")
     if again.isEmpty():
         return kept
@@ -71,7 +72,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     sizes = docs.select(key.alias("row_key"), "source", word_count(F.col("text")).alias("size"))
     taken = pareto_mix(sizes, "row_key", "source", "size").filter("copies > 0")
     copies = materialize(taken.groupBy("row_key").agg(F.max("copies").alias("copies")), "pipeline-copies")
-    repeated = docs.withColumn("row_key", key).join(copies, "row_key")
+    repeated = docs.withColumn("row_key", key).join(copies.hint("merge"), "row_key")
     return repeated.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(COLUMNS)
 
 
