@@ -82,5 +82,14 @@ def test_awkward_rows(awkward):
     assert (-9, n + 5, 0) in got and got.count((5, n, n)) == 2 and (4, n, n) in got and (None, n, n) in got
 
 
+@pytest.mark.parametrize("parts", [1, 5])
+def test_repeated_rows_are_one_document(make_docs, parts):
+    """Identical rows, in one batch or in several, with a text that stands nowhere else or repeats in itself."""
+    once, inner, null = words(40, 1), words(40, 2) + " and " + words(40, 2), words(40, 3)
+    docs = make_docs(*[(1, once)] * 3, *[(2, inner)] * 3, *[(None, null)] * 3, (3, "so " + once)).repartition(parts)
+    got = sorted((r[0] or 9, bytes(r[4]).decode()) for r in s.remove_repeats(docs).collect())
+    assert got == [(1, once)] * 3 + [(2, words(40, 2) + " and ")] * 3 + [(3, "so ")] + [(9, null)] * 3
+
+
 def test_empty_table(make_docs):
     assert s.remove_repeats(make_docs((1, "x")).filter("doc_id < 0")).collect() == []

@@ -165,11 +165,14 @@ def stretch_blocks(docs: DataFrame, length: int, buckets: int, doc_buckets: int,
                 continue
             docs_of = _columns(table.select(["key", "crc"]))
             key, crc = docs_of["key"][found["row"]], docs_of["crc"][found["row"]]
-            _, first = np.unique(_both(found["k"], found["f"]), return_index=True)
+            k, f, p, n = found["k"], found["f"], found["p"], found["n"]
+            _, first, group = np.unique(_both(k, f), return_index=True, return_inverse=True)
             is_first = np.zeros(len(key), bool)
             is_first[first] = True
+            earliest = first[group]
+            # the place of the first itself, in a repeated row, is no repeat
+            same_place = (key == key[earliest]) & (crc == crc[earliest]) & (p == p[earliest])
 
-            k, f, p, n = found["k"], found["f"], found["p"], found["n"]
             place = mix(k)
             is_spread = np.zeros(len(k), bool)
             if len(spread_keys):
@@ -180,7 +183,7 @@ def stretch_blocks(docs: DataFrame, length: int, buckets: int, doc_buckets: int,
             low = (place[kept] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
             rows = _table(_STRETCH, low, f[kept], key[kept], crc[kept], p[kept], n[kept], is_spread[kept])
             yield _of_kind(0, split_by(bucket_of(place[kept], buckets), rows))
-            again = np.flatnonzero(~is_first)
+            again = np.flatnonzero(~same_place)
             if len(again):
                 covers = _table(_COVER, key[again], crc[again], p[again], p[again] + n[again] + length - 1)
                 yield _of_kind(1, split_by(_doc_bucket(key[again], doc_buckets), covers))
@@ -213,7 +216,9 @@ def compare_stretches(blocks: DataFrame, length: int, doc_buckets: int) -> DataF
         surroundings = np.bincount(group, weights=new_f)[group]
         look = new_f & ((surroundings > 1) | c["spread"])
         end = c["p"].astype(np.int64) + c["n"] + (length - 1)
-        again = ~new_f
+        # repeated rows give the place of the first of a group once more; that is no repeat
+        earliest = np.flatnonzero(new_f)[np.cumsum(new_f) - 1]
+        again = (c["key"] != c["key"][earliest]) | (c["crc"] != c["crc"][earliest]) | (c["p"] != c["p"][earliest])
         covers = _table(_COVER, c["key"][again], c["crc"][again], c["p"][again], end[again])
         block = np.uint64(key[0].as_py()) << np.uint64(32) | c["k"].astype(np.uint64)
         candidates = _table(_CANDIDATE, *[c[x][look] for x in ("key", "crc", "p", "n")], block[look], c["spread"][look])
