@@ -39,7 +39,7 @@ def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     small_batches(spark)
     docs = docs.select(COLUMNS)
-    joined = materialize(ngram_jaccard_join(docs, rule=NEAR_COPIES), "pipeline-components")
+    joined = materialize(ngram_jaccard_join(docs, rule=NEAR_COPIES, count_links=False), "pipeline-components")
     copies = joined.filter("component_id != doc_id").select("doc_id").distinct()
     kept = docs.join(copies.hint("merge"), "doc_id", "left_anti").select(COLUMNS)
     again = joined.groupBy("doc_id").count().filter("doc_id IS NOT NULL AND count > 1").select("doc_id")

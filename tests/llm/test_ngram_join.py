@@ -105,6 +105,26 @@ def test_sketch_never_exceeds_the_difference():
         assert j._apart(sketches, sketches[0])[1] <= len(np.setxor1d(a, b))
 
 
+def test_links_are_counted(make_docs, near_copies, monkeypatch):
+    """Every link of every document, copies by multiplicity, inside and across blocks of a component."""
+    rng, rows = random.Random(6), [(key, text) for key, text in near_copies[:90]]
+    rows += [(10_000 + i, text) for i, (_, text) in enumerate(near_copies[:20])]
+    for i in range(60):
+        copy = words(90, 999).split()
+        for _ in range(rng.randint(0, 4)):
+            copy[rng.randrange(90)] = f"n{i}"
+        rows.append((20_000 + i, " ".join(copy)))
+    monkeypatch.setattr(j, "LINK_SETS", 7)
+    sets = list(j.word_sets([t.encode() for _, t in rows], 4))
+    want = {
+        key: sum(100 * len(a & b) >= 85 * len(a | b) for k, b in enumerate(sets) if k != i)
+        for i, ((key, _), a) in enumerate(zip(rows, sets))
+    }
+    assert max(want.values()) > 20
+    got = j.ngram_jaccard_join(make_docs(*rows, (30_000, ""), (30_001, None)))
+    assert {r.doc_id: r.n_links for r in got.collect()} == want | {30_000: 0, 30_001: 0}
+
+
 def test_awkward_rows(awkward):
     got = [(r[0], r[1], r[2]) for r in j.ngram_jaccard_join(awkward).collect()]
     assert len(got) == 13

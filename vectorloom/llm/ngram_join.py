@@ -19,9 +19,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vectorloom.llm.blocks import pack, unpack
 from vectorloom.llm.components import connected_components
 from vectorloom.llm.textops import LOWER, SLICE_BYTES, SpanHashes, as_texts, byte_slices, give_back, mix, text_passes, word_spans
 from vectorloom.operators.lookup import broadcast_limit
@@ -35,6 +37,8 @@ _ORDER_CODES = np.random.default_rng(7).integers(1, 1 << 63, 64, dtype=np.uint64
 _ELEMENT = np.uint64(0xD6E8FEB86659FD93)
 # Bits of a sketch per shingle; centres tried in a group, and sets that a centre is chosen by.
 _SKETCH_BITS, _CENTRES, _COMPARED = 4, 16, 32
+# Sets and shingles of a block of linked sets; columns of a matrix that counts common shingles.
+LINK_SETS, LINK_SHINGLES, _COLUMNS = 512, 1 << 19, 4_096
 _INDEX, _INDEX_DELETION, _PROBE, _PROBE_DELETION = 1, 2, 4, 8
 
 
@@ -409,8 +413,146 @@ def verified(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
     return both.mapInArrow(check, "u long, v long")
 
 
-def ngram_jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", rule: Rule = Rule()) -> DataFrame:
-    """(key, n_shingles, component_id): set size, and the smallest key reachable over links.
+_LINKED = pa.schema(
+    [("node", pa.int64()), ("component", pa.int64()), ("copies", pa.int64()), ("shingles", pa.large_list(pa.uint64()))]
+)
+
+
+def _numbered(rows: DataFrame, by: str, sets: int, shingles: int) -> DataFrame:
+    """``rows`` with a ``block`` each: runs in order of ``by``, size and node, numbered upwards in that order.
+
+    A block has at most so many sets and shingles, or one larger set; a value of ``by`` may span many blocks and
+    a block hold many values. ``rows`` are read twice.
+    """
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, n, total = TaskContext.get().partitionId() << 32, 0, 0
+        for batch in batches:
+            numbers = []
+            for size in batch.column("size").to_pylist():
+                if n and (n == sets or total + size > shingles):
+                    block, n, total = block + 1, 0, 0
+                n, total = n + 1, total + size
+                numbers.append(block)
+            yield batch.append_column("block", pa.array(numbers, pa.int64()))
+
+    ordered = rows.repartitionByRange(by, "size", "node").sortWithinPartitions(by, "size", "node")
+    shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    return ordered.mapInArrow(number, f"{shape}, block long")
+
+
+def block_pairs(numbered: DataFrame, by: str, rule: Rule) -> DataFrame:
+    """(by, a, b): pairs of different blocks that hold sets of one value of ``by`` with sizes that may be linked."""
+    spans = numbered.groupBy(by, "block").agg(F.min("size").alias("low"), F.max("size").alias("high"))
+    several = spans.groupBy(by).count().filter("count > 1").select(by)
+    spans = materialize(spans.join(several, by, "left_semi"), "join-spans")
+    one = spans.select(by, F.col("block").alias("a"), (F.col("high") * 100).alias("most"))
+    other = spans.select(by, F.col("block").alias("b"), (F.col("low") * rule.percent).alias("least"))
+    return one.join(other, by).filter("a < b AND least <= most").select(by, "a", "b")
+
+
+def common_shingles(one: list[np.ndarray], other: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of sets of hashes, by products of matrices of bounded width."""
+    values, column = np.unique(np.concatenate([*one, *other]), return_inverse=True)
+    row = np.repeat(np.arange(len(one) + len(other)), [len(x) for x in [*one, *other]])
+    first = row < len(one)
+    both = (np.bincount(column[first], minlength=len(values)) > 0) & (np.bincount(column[~first], minlength=len(values)) > 0)
+    used = both[column]
+    column, row = (np.cumsum(both) - 1)[column[used]], row[used]
+    order = np.argsort(column, kind="stable")
+    column, row = column[order], row[order]
+    out = np.zeros((len(one), len(other)), np.int64)
+    for start in range(0, int(both.sum()), _COLUMNS):
+        a, b = np.searchsorted(column, [start, start + _COLUMNS])
+        marks = np.zeros((len(one) + len(other), min(_COLUMNS, int(both.sum()) - start)), np.float32)
+        marks[row[a:b], column[a:b] - start] = 1
+        out += (marks[: len(one)] @ marks[len(one) :].T).astype(np.int64)
+    return out
+
+
+def _linked(one: list[np.ndarray], other: list[np.ndarray], rule: Rule) -> np.ndarray:
+    common = common_shingles(one, other)
+    sizes = np.array([len(x) for x in one])[:, None] + np.array([len(x) for x in other])[None]
+    return 100 * common >= rule.percent * (sizes - common)
+
+
+def link_counts(labels: DataFrame, sets: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
+    """(node, links): documents with another set that a set is linked to, for every set of ``labels``.
+
+    Links do not leave a component, so its sets, in order of size, are cut into blocks, and every two blocks
+    whose sizes allow a link are compared in a task of their own, each pair of sets once. What a task gives
+    back are counts per set, so no row per link is made; the pairs compared grow with the square of the
+    largest components.
+    """
+    copies = sets.filter("node IS NOT NULL").groupBy("node").agg(F.count("*").alias("copies"))
+    rows = labels.select("node", "component").join(texts.select("node", "size"), "node").join(copies, "node")
+    numbered = _numbered(materialize(rows, "join-linked"), "component", LINK_SETS, LINK_SHINGLES)
+    numbered = materialize(numbered, "join-linked-blocks")
+
+    def packed(key: tuple, table: pa.Table) -> pa.Table:
+        found = [s for _, s in shingle_sets(table.column("text").combine_chunks(), rule.n)]
+        offsets = np.concatenate([[0], np.cumsum([len(s) for s in found])])
+        shingles = pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), pa.array(np.concatenate(found)))
+        block = pa.Table.from_arrays([*(table.column(c) for c in ("node", "component", "copies")), shingles], schema=_LINKED)
+        return pa.table({"block": pa.array([key[0].as_py()], pa.int64()), "data": pa.array([pack(block)], pa.binary())})
+
+    with_text = numbered.select("node", "component", "copies", "block").join(texts.select("node", "text"), "node")
+    blocks = materialize(with_text.groupBy("block").applyInArrow(packed, "block long, data binary"), "join-linked-sets")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for component, one, other in zip(*(batch.column(c) for c in ("component", "left", "right"))):
+                nodes, links = _count_links(component.as_py(), one.as_py(), other.as_py(), rule)
+                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(links, pa.int64())], names=["node", "links"])
+        give_back()
+
+    alone = blocks.select(F.lit(None).cast("long").alias("component"), F.col("data").alias("left"), F.lit(None).cast("binary").alias("right"))
+    pairs = (
+        materialize(block_pairs(numbered, "component", rule), "join-linked-pairs")
+        .join(blocks.select(F.col("block").alias("a"), F.col("data").alias("left")), "a")
+        .join(blocks.select(F.col("block").alias("b"), F.col("data").alias("right")), "b")
+        .select("component", "left", "right")
+    )
+    counted = alone.union(pairs).mapInArrow(count, "node long, links long")
+    return counted.groupBy("node").agg(F.sum("links").alias("links"))
+
+
+def _count_links(component: int | None, left: bytes, right: bytes | None, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes and links of two blocks in a component; without a second block, of one in all its components."""
+
+    def parts(data: bytes) -> dict[int, tuple]:
+        table = unpack([data], _LINKED)
+        of, node, copies = (table.column(c).to_numpy() for c in ("component", "node", "copies"))
+        lists = table.column("shingles").combine_chunks()
+        values, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
+        wanted = np.unique(of).tolist() if component is None else [component]
+        return {
+            c: (node[at], copies[at], [values[offsets[i] : offsets[i + 1]] for i in at])
+            for c, at in ((c, np.flatnonzero(of == c)) for c in wanted)
+        }
+
+    nodes, links = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    ones = parts(left)
+    others = ones if right is None else parts(right)
+    for c, (node, copies, shingles) in ones.items():
+        linked = _linked(shingles, others[c][2], rule)
+        if right is None:
+            np.fill_diagonal(linked, False)
+        else:
+            nodes.append(others[c][0])
+            links.append(linked.T @ copies)
+        nodes.append(node)
+        links.append(linked @ others[c][1])
+    return np.concatenate(nodes), np.concatenate(links)
+
+
+def ngram_jaccard_join(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", rule: Rule = Rule(), count_links: bool = True
+) -> DataFrame:
+    """(key, n_shingles, component_id, n_links): set size, the smallest key reachable over links, and their number.
+
+    Links are counted by document: every other row whose set is linked counts, rows with an equal set too.
+    ``count_links=False`` leaves the column out and the counting undone.
 
     Equal sets are one node. Sets that share a signature form a group; they are compared with central sets
     of the group, and only where that leaves a group in several components are the remaining pairs across
@@ -419,7 +561,8 @@ def ngram_jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     A null or wordless text has an empty set and is its own component, as has a null key (component null).
     Texts with fewer than n words have one shingle, all of them. Repeated keys are rows of their own; they
-    share a component only if linked. Extra columns are left out. Empty input gives no rows.
+    share a component only if linked. A document with an empty set has no links. Extra columns are left out.
+    Empty input gives no rows.
     """
     docs = docs.select(key, text)
     sets = materialize(document_sets(docs, key, text, rule), "join-sets")
@@ -437,10 +580,16 @@ def ngram_jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text",
     if not more.isEmpty():
         labels = materialize(connected_components(links.union(more)), "join-labels")
 
-    smallest = materialize(sets.filter("node IS NOT NULL").groupBy("node").agg(F.min(key).alias("first")), "join-nodes")
-    labelled = smallest.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    of_sets = sets.filter("node IS NOT NULL").groupBy("node").agg(F.min(key).alias("first"), F.count("*").alias("copies"))
+    labelled = materialize(of_sets, "join-nodes").join(labels, "node", "left")
+    labelled = labelled.withColumn("component", F.coalesce("component", "node"))
     roots = labelled.groupBy("component").agg(F.min("first").alias("component_id"))
-    of_node = materialize(labelled.join(roots, "component").select("node", "component_id"), "join-components")
-    return sets.join(of_node, "node", "left").select(
-        key, "n_shingles", F.when(F.col("node").isNull(), F.col(key)).otherwise(F.col("component_id")).alias("component_id")
-    )
+    of_node = labelled.join(roots, "component").select("node", "component_id", (F.col("copies") - 1).alias("equal"))
+    of_node = materialize(of_node, "join-components")
+    component = F.when(F.col("node").isNull(), F.col(key)).otherwise(F.col("component_id")).alias("component_id")
+    if not count_links:
+        return sets.join(of_node, "node", "left").select(key, "n_shingles", component)
+    counts = materialize(link_counts(labels, sets, texts, rule), "join-counts")
+    of_node = of_node.join(counts, "node", "left").withColumn("links", F.col("equal") + F.coalesce("links", F.lit(0)))
+    n_links = F.coalesce("links", F.lit(0)).cast("long").alias("n_links")
+    return sets.join(of_node, "node", "left").select(key, "n_shingles", component, n_links)
