@@ -27,6 +27,21 @@ def test_ids_equal_the_tokenizer(tokenizer):
             assert ids[first[i] : first[i + 1]].tolist() == want, texts[row + i]
 
 
+def test_added_tokens_have_their_ids(tokenizer):
+    """The markers of start and end in a text, whole, cut off, in capitals, and halves that meet between rows."""
+    rng = random.Random(4)
+    signs = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endof", "text|>", "<", "|>", *"aB1 '\n.é", "don't", "\u0301"]
+    texts = ["".join(rng.choices(signs, k=rng.randint(0, 12))) for _ in range(2000)] + ["a <|endof", "text|> b", "<|endoftext|>"]
+    encode, marked = p.encoder(p.tokenizer_path()).encode, 0
+    for row, data, offsets in text_passes(pa.array(texts)):
+        ids, first = encode(data, offsets)
+        for i in range(len(offsets) - 1):
+            want = tokenizer.encode(texts[row + i], add_special_tokens=False).ids
+            marked += 49406 in want or 49407 in want
+            assert ids[first[i] : first[i + 1]].tolist() == want, texts[row + i]
+    assert marked > 500
+
+
 def test_round_trip(awkward, tokenizer):
     rows = p.pack_documents(awkward).collect()
     sequences, docs = {}, {}

@@ -41,8 +41,13 @@ _CLASS[ord("0") : ord("9") + 1] = _DIGIT
 _CLASS[[c for c in b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"]] = _PUNCT
 
 
-def part_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Spans that the tokenizer never merges across, and the index of each row's first span."""
+def part_spans(
+    data: np.ndarray, offsets: np.ndarray, whole: tuple[tuple[int, int], ...] = ()
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans that the tokenizer never merges across, and the index of each row's first span.
+
+    Each place (start, end) in ``whole`` is a span of its own.
+    """
     kind = _CLASS[data]
     before, here = kind[:-1], kind[1:]
     cut = np.ones(len(data) + 1, bool)
@@ -50,6 +55,9 @@ def part_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     cut[1:-1] |= (before != here) & (np.minimum(before, here) > _OPEN)
     cut[1:-1] |= (before == _DIGIT) & (here == _DIGIT)
     cut[offsets] = True
+    for start, end in whole:
+        cut[start : end + 1] = False
+        cut[[start, end]] = True
     edges = np.flatnonzero(cut)
     starts, ends = edges[:-1], edges[1:]
     words = kind[starts] != _SPACE if len(starts) else np.zeros(0, bool)
@@ -62,7 +70,8 @@ class WordEncoder:
 
     Distinct spans of a pass are found by hash; ids of spans seen before come from a table, those of
     new ones from the tokenizer. Plain lower-case words, a token each up to its end-of-word token, are
-    encoded many in a row.
+    encoded many in a row. The tokenizer's added tokens, such as its markers of start and end, are found in
+    the text first, as the tokenizer does, and have their own ids.
     """
 
     _PLAIN = re.compile("[a-zß-öø-ÿ]+").fullmatch
@@ -73,6 +82,12 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder()
+        if any(t.normalized or t.single_word or t.lstrip or t.rstrip for t in added.values()):
+            raise ValueError(f"{path}: added tokens that are not matched as they stand")
+        self.added = {t.content.encode(): i for i, t in added.items()}
+        longest_first = sorted(map(re.escape, self.added), key=len, reverse=True)
+        self.is_added = re.compile(b"|".join(longest_first) or b"(?!)")
         vocab = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocab.values()) + 1, bool)
         self.ends_word[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
@@ -119,12 +134,24 @@ class WordEncoder:
         self.used += len(block)
         self.number.update(zip(hashes, range(at, at + len(new))))
 
+    def _added(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int]]:
+        """(start, end, id) of the added tokens in each row."""
+        raw = data.tobytes()
+        if not self.is_added.search(raw):
+            return []
+        return [
+            (*found.span(), self.added[found[0]])
+            for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())
+            for found in self.is_added.finditer(raw, a, b)
+        ]
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a pass, and where each row's ids begin (one entry more than rows)."""
         if len(self.number) > CACHED_WORDS:
             self._forget()
+        added = self._added(data, offsets)
         data = LOWER[data]
-        starts, ends, row_words = part_spans(data, offsets)
+        starts, ends, row_words = part_spans(data, offsets, tuple(a[:2] for a in added))
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         distinct, sample, which = np.unique(SpanHashes(data).of(starts, ends), return_index=True, return_inverse=True)
@@ -138,8 +165,11 @@ class WordEncoder:
             numbers = list(map(self.number.__getitem__, keys))
         word = np.array(numbers, np.int64)[which]
         count = self.count[word]
+        at = np.searchsorted(starts, [a[0] for a in added])
+        count[at] = 1
         stop = np.cumsum(count)
         ids = self.ids[np.repeat(self.first[word] - (stop - count), count) + np.arange(stop[-1])]
+        ids[stop[at] - 1] = [a[2] for a in added]
         return ids, np.concatenate([[0], stop])[row_words]
 
 
