@@ -1,8 +1,7 @@
 """The corpus pipeline: stages over ``documents``, each written as Parquet and read again for the next.
 
 Every stage takes rows with the columns of ``documents`` and works on all of them; all but the last give
-such rows back. Rows without a doc_id are kept apart from none but themselves: near-duplicate removal
-leaves them, the other stages treat them like any row. Joins of decisions to documents are merge joins at every
+such rows back. Rows without a doc_id, and rows that share one, are rows like any other. Joins of decisions to documents are merge joins at every
 size, so that what a stage moves stays in proportion to its input.
 """
 
@@ -33,21 +32,18 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of linked documents the one with the smallest doc_id.
+    """Of every group of linked rows the first by doc_id (null last) and text.
 
-    Rows that share a doc_id count as one document; the first by text stays.
+    Rows are judged by their text alone: each gets a number in that order, and the join works on the numbers.
     """
     small_batches(spark)
-    docs = docs.select(COLUMNS)
-    joined = materialize(ngram_jaccard_join(docs, rule=NEAR_COPIES, count_links=False), "pipeline-components")
-    copies = joined.filter("component_id != doc_id").select("doc_id").distinct()
-    kept = docs.join(copies.hint("merge"), "doc_id", "left_anti").select(COLUMNS)
-    again = joined.groupBy("doc_id").count().filter("doc_id IS NOT NULL AND count > 1").select("doc_id")
-    if again.isEmpty():
-        return kept
-    rows = F.struct(*[F.col(c) for c in COLUMNS[1:]])
-    first = kept.join(again, "doc_id").groupBy("doc_id").agg(F.min(rows).alias("row")).select("doc_id", "row.*")
-    return kept.join(again, "doc_id", "left_anti").unionByName(first)
+    docs = docs.select(COLUMNS).withColumn("nth", F.monotonically_increasing_id())
+    order = [F.col("doc_id").asc_nulls_last(), *[F.col(c).asc() for c in COLUMNS[1:]], F.col("nth").asc()]
+    ordered = docs.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = materialize(ordered.select(F.monotonically_increasing_id().alias("row"), *COLUMNS), "pipeline-rows")
+    joined = ngram_jaccard_join(rows, key="row", rule=NEAR_COPIES, count_links=False)
+    copies = materialize(joined.filter("component_id != row").select("row"), "pipeline-copies-of-rows")
+    return rows.join(copies.hint("merge"), "row", "left_anti").select(COLUMNS)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,7 +64,8 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources brought to their weights: every document as often as the mix takes it."""
     docs = docs.select(COLUMNS)
-    key = F.coalesce("doc_id", F.xxhash64("text", "source"))
+    # rows that share a doc_id are rows of their own
+    key = F.xxhash64(*COLUMNS)
     sizes = docs.select(key.alias("row_key"), "source", word_count(F.col("text")).alias("size"))
     taken = pareto_mix(sizes, "row_key", "source", "size").filter("copies > 0")
     copies = materialize(taken.groupBy("row_key").agg(F.max("copies").alias("copies")), "pipeline-copies")

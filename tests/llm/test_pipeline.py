@@ -26,6 +26,23 @@ def test_near_copies_leave_one(spark, make_docs):
     assert got == [*range(10), 50, 51, 52]
 
 
+def test_near_copies_are_judged_by_text(spark, make_docs):
+    """Repeated and null doc_ids: texts without a near copy stay, copies go, whatever their ids."""
+    near = words(80, 1).replace("w1x40 ", "other ")
+    rows = [(1, words(80, 1)), (2, near), (2, words(80, 2)), (2, words(80, 3)), (3, words(80, 2)), (None, words(80, 3))]
+    rows += [(None, words(80, 4)), (None, words(80, 4)), (None, words(80, 5)), (4, words(80, 5)), (4, words(80, 6)), (4, words(80, 6))]
+    got = pipeline.ngram_join(spark, make_docs(*rows), SF_DIR).collect()
+    want = [(1, words(80, 1)), (2, words(80, 2)), (2, words(80, 3)), (None, words(80, 4)), (4, words(80, 5)), (4, words(80, 6))]
+    assert sorted((str(r.doc_id), r.text) for r in got) == sorted((str(k), t) for k, t in want)
+
+
+def test_mix_tells_rows_with_one_id_apart(spark, make_docs):
+    rows = [(1, words(10, i), "a") for i in range(50)] + [(1, words(10, 100 + i), "b") for i in range(50)]
+    got = pipeline.mixing(spark, make_docs(*rows), SF_DIR).collect()
+    # 1,000 words at weights 5 and 2
+    assert abs(sum(r.source == "a" for r in got) - 71) <= 1 and abs(sum(r.source == "b" for r in got) - 29) <= 1
+
+
 def test_passages_go(spark, make_docs):
     passage = words(60, 5)
     docs = make_docs((1, words(9, 1) + " " + passage), (2, "start " + passage + " end"), (3, words(20, 3)), (4, None))
