@@ -53,6 +53,17 @@ def test_targets_and_taken(rows):
         assert abs(total - want[source]) <= largest[source]
 
 
+def test_a_huge_document_does_not_end_the_drawing(spark):
+    """Sources with one document larger than what is wanted, wherever the order has it."""
+    data = [(i, s, 100 + i % 57) for s, at in (("a", 0), ("b", 1000), ("c", 2000)) for i in range(at, at + 1000)]
+    data += [(5000 + i, s, 50_000) for i, s in enumerate("abc")]
+    docs = spark.createDataFrame(data, "doc_id long, source string, size long")
+    for seed in range(2):
+        got = m.pareto_mix(docs, "doc_id", "source", "size", weights=(1, 1.2, 4), seed=seed)
+        for r in got.groupBy("source").agg({"taken": "sum", "target": "max"}).collect():
+            assert abs(r["sum(taken)"] - r["max(target)"]) <= 156, (seed, r)
+
+
 def test_copies_are_whole_part_or_one_more(rows):
     for r in m.pareto_mix(rows, "doc_id", "source", "size").collect():
         whole = math.floor(r.target / r.source_size) if r.source_size else 0

@@ -45,6 +45,51 @@ def source_targets(sizes: DataFrame, source: str, size: str, weights: list[float
     )
 
 
+def _gaps(placed: DataFrame, size: str) -> DataFrame:
+    """What is missing in each source, and the median size of its rows as ``__typical``."""
+    drawn = F.sum(F.when(F.col("__drawn"), F.col(size)).otherwise(0))
+    gaps = placed.groupBy(F.col("__of").alias("__gap_of")).agg(
+        (F.first("__wanted") - drawn).alias("__gap"), F.percentile_approx(size, 0.5).alias("__typical")
+    )
+    return materialize(gaps, "mix-gaps")
+
+
+def _drawn(placed: DataFrame, size: str) -> tuple[DataFrame, DataFrame]:
+    """``placed`` with the rows marked that are drawn, and what is then missing in each source.
+
+    A pass goes through the rows of a source that are no larger than what is missing, in order, and draws them up
+    to the first that does not fit in any more. Every pass draws a row at least where there is one, and passes
+    end when no row fits or less than a typical size is missing.
+    """
+    gaps = _gaps(placed, size)
+    in_slice = Window.partitionBy("__of", "__slice").orderBy("__nth").rowsBetween(Window.unboundedPreceding, 0)
+    in_source = Window.partitionBy("__of").orderBy("__slice")
+    first = True
+    while True:
+        # only the first pass draws rows without words, and where no more than a typical size is wanted
+        enough = F.lit(True) if first else (F.col("__gap") > F.col("__typical")) & (F.col(size) > 0)
+        fits = ~F.col("__drawn") & (F.col("__gap") > 0) & (F.col(size) <= F.col("__gap")) & enough
+        tried = placed.join(F.broadcast(gaps), F.col("__of").eqNullSafe(F.col("__gap_of"))).withColumn("__tried", fits)
+        if tried.filter("__tried").isEmpty():
+            return placed, gaps
+        tried = tried.withColumn("__counted", F.when(F.col("__tried"), F.col(size)).otherwise(0))
+        slices = tried.groupBy("__of", "__slice").agg(F.sum("__counted").alias("__words"))
+        starts = slices.select(
+            F.col("__of").alias("__slice_of"),
+            F.col("__slice").alias("__slice_at"),
+            (F.sum("__words").over(in_source) - F.col("__words")).alias("__start"),
+        )
+        end = F.col("__start") + F.col("__end")
+        placed = (
+            tried.withColumn("__end", F.sum("__counted").over(in_slice))
+            .join(starts, F.col("__of").eqNullSafe(F.col("__slice_of")) & (F.col("__slice") == F.col("__slice_at")))
+            .withColumn("__drawn", F.col("__drawn") | (F.col("__tried") & (end <= F.col("__gap"))))
+            .select(*placed.columns)
+        )
+        placed = materialize(placed, "mix-drawn")
+        gaps, first = _gaps(placed, size), False
+
+
 def pareto_mix(
     docs: DataFrame,
     key: str,
@@ -59,8 +104,13 @@ def pareto_mix(
     A source's target over its size is the expected number of copies of each of its rows. The whole part
     is certain. For the rest every row has the fractional part p as inclusion probability; rows are
     ranked by the random odds u/(1-u) divided by the inclusion odds p/(1-p), smallest first, and taken
-    while they fit into the source's remaining words; one more row, whose size comes closest to what
-    is still missing, takes the last place. u is a hash of key and seed, so reruns agree.
+    while they fit into the source's remaining words. Rows larger than what is still missing are then set
+    aside, and the drawing goes on down the order with the others until no row fits or less than the
+    source's median size is missing; one more row, whose size comes closest to that, takes the last place.
+    Where p is above a half, the rows not taken are drawn so, from the other end of the order: a row that is
+    too large to be left out is then taken.
+    As p is the same for all rows of a source, the ranking is that of u. u is a hash of key and seed, so
+    reruns agree.
 
     A source is ranked in as many windows as its rows need: within a source the rank grows with u, so
     windows are equal slices of u and a running sum of the slices' totals links them. Only key, source
@@ -90,35 +140,28 @@ def pareto_mix(
         .join(F.broadcast(targets.withColumnRenamed(source, "__of")), F.col("__source").eqNullSafe(F.col("__of")))
         .withColumn("__expected", expected)
         .withColumn("__whole", F.when(F.col("source_size") > 0, whole).otherwise(F.lit(0)).cast("long"))
-        .withColumn("__u", u)
-        .withColumn("__rank", F.when(p > 0, (F.col("__u") / (1 - F.col("__u"))) * ((1 - p) / p)))
+        .withColumn("__flipped", p > 0.5)
+        .withColumn("__u", F.when(F.col("__flipped"), 1 - u).otherwise(u))
+        .withColumn("__odds", F.when(F.col("__flipped"), p / (1 - p)).when(p > 0, (1 - p) / p))
+        .withColumn("__rank", F.col("__u") / (1 - F.col("__u")) * F.col("__odds"))
         .withColumn("__slice", F.floor(F.col("__u") * windows).cast("long"))
     )
-    slices = ranked.groupBy("__of", "__slice").agg(F.sum(size).alias("__words"))
-    in_source = Window.partitionBy("__of").orderBy("__slice")
-    starts = slices.select(
-        F.col("__of").alias("__slice_of"),
-        F.col("__slice").alias("__slice_at"),
-        (F.sum("__words").over(in_source) - F.col("__words")).alias("__start"),
-    )
     in_slice = Window.partitionBy("__of", "__slice").orderBy("__rank", key, size)
-    words = F.sum(size).over(in_slice.rowsBetween(Window.unboundedPreceding, 0))
-    wanted = F.col("target") - F.col("__whole") * F.col("source_size")
+    # words to draw: of the rows taken once more, or of those that are not
+    over = F.col("target") - F.col("__whole") * F.col("source_size")
+    wanted = F.when(F.col("__flipped"), F.col("source_size") - over).when(p > 0, over).otherwise(0.0)
     placed = (
         ranked.withColumn("__nth", F.row_number().over(in_slice))
-        .withColumn("__words", words)
-        .join(starts, F.col("__of").eqNullSafe(F.col("__slice_of")) & (F.col("__slice") == F.col("__slice_at")))
-        .withColumn("__end", F.col("__start") + F.col("__words"))
         .withColumn("__wanted", wanted)
-        .withColumn("__drawn", (F.col("__end") <= F.col("__wanted")) & (p > 0))
-        .select(*docs.columns, "source_size", "target", "__of", "__slice", "__nth", "__end", "__whole", "__wanted", "__drawn")
+        .withColumn("__drawn", F.lit(False))
+        .select(
+            *docs.columns, "source_size", "target", "__of", "__slice", "__nth", "__whole", "__flipped", "__wanted", "__drawn"
+        )
     )
     placed = materialize(placed, "mix-ranked")
+    placed, gaps = _drawn(placed, size)
 
     # the last place of a source: the row left over whose size comes closest to what is missing
-    gaps = placed.groupBy("__of").agg(
-        (F.first("__wanted") - F.coalesce(F.max(F.when(F.col("__drawn"), F.col("__end"))), F.lit(0))).alias("__gap")
-    ).withColumnRenamed("__of", "__gap_of")
     miss = F.abs(F.col("__gap") - F.col(size))
     last = (
         placed.filter(~F.col("__drawn"))
@@ -129,7 +172,7 @@ def pareto_mix(
         .withColumnRenamed("__of", "__last_of")
     )
     is_last = (F.col("__slice") == F.col("__last.__slice")) & (F.col("__nth") == F.col("__last.__nth"))
-    extra = F.col("__drawn") | F.coalesce(is_last, F.lit(False))
+    extra = (F.col("__drawn") | F.coalesce(is_last, F.lit(False))) != F.col("__flipped")
     return (
         placed.join(F.broadcast(last), F.col("__of").eqNullSafe(F.col("__last_of")), "left")
         .withColumn("copies", F.col("__whole") + F.when(extra, 1).otherwise(0))
