@@ -125,6 +125,20 @@ def test_classifier_on_awkward_rows(awkward):
     assert c.keep_good(empty, scorer).collect() == []
 
 
+def test_repeated_keys_keep_the_bound(spark, make_docs, monkeypatch):
+    """However often a key comes, at most the limit of documents reaches the driver, each key once."""
+    docs = make_docs(*[(1, f"text {i % 7} of one key") for i in range(200)], *[(i, f"another text {i}") for i in range(2, 9)])
+    fitted, fit_scorer, fit_field = [], c.fit_scorer, q.fit_field
+    monkeypatch.setattr(c, "fit_scorer", lambda *a: fitted.append(len(a[3])) or fit_scorer(*a))
+    c.train_classifier(docs, training_docs=100)
+    c.train_classifier(docs, training_docs=3)
+    monkeypatch.setattr(q, "fit_field", lambda *a: fitted.append(len(a[1])) or fit_field(*a))
+    labels = spark.createDataFrame([(1, 1)] * 5 + [(2, 0), (3, 1)], "doc_id long, quality int")
+    q.train_field(docs, labels, "doc_id", "text", "quality")
+    # a line each
+    assert fitted == [8, 3, 3]
+
+
 def test_scorer_does_not_depend_on_neighbours():
     texts = pa.array(["one two two", "Three four.", "", "five %%% six"])
     scorer = c.Scorer(np.random.default_rng(1).normal(size=c.DIMENSIONS), 0.1)

@@ -203,14 +203,17 @@ def heuristic_votes(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def train_scorer(docs: DataFrame, votes: DataFrame, labels: LabelModel, key: str, text: str, limit: int) -> Scorer:
-    """Fit on at most ``limit`` documents, chosen by a hash of their key; their features come to the driver."""
+    """Fit on at most ``limit`` documents, chosen by a hash of their key; their features come to the driver.
+
+    Of rows that share a key the one with the smallest text counts.
+    """
     # the smallest hashes: a bounded top-k, whatever the number of documents
-    few = votes.filter(F.col(key).isNotNull()).orderBy(F.xxhash64(key, F.lit(11)), key, "pattern").limit(limit)
+    keys = votes.filter(F.col(key).isNotNull()).select(key).distinct()
+    few = keys.orderBy(F.xxhash64(key, F.lit(11)), key).limit(limit)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            patterns = batch.column(1)
-            for first, data, offsets in text_passes(batch.column(0)):
+            for _, data, offsets in text_passes(batch.column(0)):
                 numbers, row_words = hashed_features(data, offsets)
                 found, shares = [], []
                 for a, b in zip(row_words[:-1], row_words[1:]):
@@ -219,14 +222,14 @@ def train_scorer(docs: DataFrame, votes: DataFrame, labels: LabelModel, key: str
                     shares.append((count / max(b - a, 1)).astype(np.float32))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        patterns.slice(first, len(found)),
+                        pa.array(vote_patterns(statistics(data, offsets)), pa.int64()),
                         pa.array([x.tobytes() for x in found], pa.binary()),
                         pa.array([x.tobytes() for x in shares], pa.binary()),
                     ],
                     names=["pattern", "features", "shares"],
                 )
 
-    sample = docs.select(key, text).join(F.broadcast(few), key).select(text, "pattern")
+    sample = docs.select(key, text).join(F.broadcast(few), key).groupBy(key).agg(F.min(text).alias(text)).select(text)
     rows = sample.mapInArrow(features, "pattern long, features binary, shares binary").collect()
     sizes = [len(r["features"]) // 4 for r in rows]
     return fit_scorer(

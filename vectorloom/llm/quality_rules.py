@@ -150,8 +150,9 @@ def train_field(
     docs: DataFrame, labels: DataFrame, key: str, text: str, quality: str, limit: int = TRAINING_DOCS
 ) -> LineField:
     """Fit on at most ``limit`` labelled documents, chosen by a hash of their key: lines of a good text count as
-    content, lines of a bad one as boilerplate."""
-    marked = labels.filter(F.col(quality).isNotNull()).select(key, quality)
+    content, lines of a bad one as boilerplate. Of rows that share a key the smallest label and text count."""
+    marked = labels.filter(F.col(key).isNotNull() & F.col(quality).isNotNull())
+    marked = marked.groupBy(key).agg(F.min(quality).alias(quality))
     few = marked.orderBy(F.xxhash64(key, F.lit(3)), key).limit(limit)
     lines = "doc long, bad long, features array<double>"
 
@@ -170,7 +171,8 @@ def train_field(
                     names=["doc", "bad", "features"],
                 )
 
-    found = docs.select(key, text).join(F.broadcast(few), key).select(key, text, quality).mapInArrow(collect, lines)
+    one = docs.select(key, text).join(F.broadcast(few), key).groupBy(key, quality).agg(F.min(text).alias(text))
+    found = one.select(key, text, quality).mapInArrow(collect, lines)
     table = found.toPandas()
     order = np.argsort(table["doc"].to_numpy(), kind="stable")
     features = np.array(table["features"].to_list(), float).reshape(-1, len(FEATURES))[order]
