@@ -105,6 +105,23 @@ def test_sketch_never_exceeds_the_difference():
         assert j._apart(sketches, sketches[0])[1] <= len(np.setxor1d(a, b))
 
 
+def test_groups_are_spread_over_blocks(make_docs, near_copies, monkeypatch):
+    """Hot signatures and small blocks: the same components, and no list or block holds a whole group."""
+    rng, rows, lists = random.Random(9), list(near_copies[:80]), []
+    for i in range(150):
+        copy = words(100, 998).split()
+        for _ in range(rng.randint(0, 4)):
+            copy[rng.randrange(100)] = f"n{i}"
+        rows.append((10_000 + i, " ".join(copy)))
+    monkeypatch.setattr(j, "HOT_FROM", 10)
+    monkeypatch.setattr(j, "GROUP_SETS", 6)
+    group_members = j.group_members
+    monkeypatch.setattr(j, "group_members", lambda g: lists.extend(len(r.nodes) for r in g.collect()) or group_members(g))
+    got = j.ngram_jaccard_join(make_docs(*rows), count_links=False).collect()
+    assert {r[0]: (r[1], r[2]) for r in got} == brute_force(rows, j.Rule())
+    assert max(lists) < 20
+
+
 def test_links_are_counted(make_docs, near_copies, monkeypatch):
     """Every link of every document, copies by multiplicity, inside and across blocks of a component."""
     rng, rows = random.Random(6), [(key, text) for key, text in near_copies[:90]]

@@ -39,6 +39,9 @@ _ELEMENT = np.uint64(0xD6E8FEB86659FD93)
 _SKETCH_BITS, _CENTRES, _COMPARED = 4, 16, 32
 # Sets and shingles of a block of linked sets; columns of a matrix that counts common shingles.
 LINK_SETS, LINK_SHINGLES, _COLUMNS = 512, 1 << 19, 4_096
+# Members and shingles of a block of a group. Documents sampled, and different sets in them from which a signature is hot.
+GROUP_SETS, GROUP_SHINGLES = 1_024, 1 << 22
+SAMPLE_DOCS, HOT_FROM = 8_192, 32
 _INDEX, _INDEX_DELETION, _PROBE, _PROBE_DELETION = 1, 2, 4, 8
 
 
@@ -203,8 +206,30 @@ def document_sets(docs: DataFrame, key: str, text: str, rule: Rule) -> DataFrame
 _ENTRY = np.dtype([("node", "<i8"), ("signature", "<u4"), ("role", "u1")])
 
 
-def signature_blocks(docs: DataFrame, text: str, rule: Rule, buckets: int) -> DataFrame:
-    """(bucket, entries): signature entries of a batch, packed per bucket. Equal sets count once a batch."""
+def hot_signatures(docs: DataFrame, text: str, rule: Rule, n_docs: int) -> np.ndarray:
+    """Signatures that a bounded sample of texts shows in many sets, in order; it decides where they meet, never whether."""
+    share = min(1.0, SAMPLE_DOCS / max(n_docs, 1))
+
+    def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schemes = Schemes(rule)
+        for batch in (part for whole in batches for part in byte_slices(whole, 0)):
+            seen = {_node(s): s for _, s in shingle_sets(batch.column(0), rule.n) if len(s)}
+            values = [np.unique(v) for s in seen.values() for v, _ in schemes.all_signatures(s)]
+            value, count = np.unique(np.concatenate([np.zeros(0, np.uint64), *values]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(count)], names=["value", "n"])
+        give_back()
+
+    some = docs.select(text).filter(F.pmod(F.xxhash64(text, F.lit(5)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+    counts = some.distinct().mapInArrow(sampled, "value long, n long").groupBy("value").agg(F.sum("n").alias("n"))
+    # a bounded number: signatures of the sample over HOT_FROM
+    return np.sort(np.array([r["value"] for r in counts.filter(F.col("n") >= HOT_FROM).collect()], np.int64).view(np.uint64))
+
+
+def signature_blocks(docs: DataFrame, text: str, rule: Rule, buckets: int, hot: np.ndarray) -> DataFrame:
+    """(bucket, entries): signature entries of a batch, packed per bucket. Equal sets count once a batch.
+
+    Entries of hot signatures have the place in ``hot`` as signature and are dealt by node to as many buckets more.
+    """
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schemes = Schemes(rule)
@@ -227,6 +252,12 @@ def signature_blocks(docs: DataFrame, text: str, rule: Rule, buckets: int) -> Da
             entries["signature"] = (value >> np.uint64(32)).astype(np.uint32)
             entries["role"] = np.concatenate(roles)
             bucket = ((value & np.uint64(0xFFFFFFFF)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+            if len(hot):
+                at = np.minimum(np.searchsorted(hot, value), len(hot) - 1)
+                is_hot = hot[at] == value
+                entries["signature"][is_hot] = at[is_hot]
+                dealt = mix(entries["node"][is_hot].view(np.uint64)) % np.uint64(buckets)
+                bucket[is_hot] = buckets + dealt.astype(np.int64)
             entries = entries[np.argsort(bucket, kind="stable")]
             present, counts = np.unique(bucket, return_counts=True)
             parts = np.split(entries, np.cumsum(counts)[:-1])
@@ -252,18 +283,27 @@ def _matching_groups(entries: np.ndarray) -> Iterator[np.ndarray]:
             yield group
 
 
-def candidate_groups(blocks: DataFrame) -> DataFrame:
-    """(nodes): sorted distinct sets that share a signature, each list once a bucket."""
+def candidate_groups(blocks: DataFrame, buckets: int) -> DataFrame:
+    """(group, nodes): sorted distinct sets that share a signature, each list once a bucket.
+
+    Group is null, but for hot signatures it tells which one, and a list has those of its members that a bucket holds.
+    """
 
     def groups(key: tuple, rows: pa.Table) -> pa.Table:
         entries = np.frombuffer(b"".join(rows.column("entries").to_pylist()), _ENTRY)
-        found = {np.unique(group["node"]).tobytes() for group in _matching_groups(entries)}
-        lists = [np.frombuffer(nodes, np.int64) for nodes in found]
+        if key[0].as_py() >= buckets:
+            present = np.unique(entries["signature"])
+            lists = [np.unique(entries["node"][entries["signature"] == s]) for s in present]
+            hot = present.astype(np.int64)
+        else:
+            found = {np.unique(group["node"]).tobytes() for group in _matching_groups(entries)}
+            lists, hot = [np.frombuffer(nodes, np.int64) for nodes in found], None
         offsets = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
         values = np.concatenate(lists) if lists else np.zeros(0, np.int64)
-        return pa.table({"nodes": pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))})
+        of = pa.nulls(len(lists), pa.int64()) if hot is None else pa.array(hot)
+        return pa.table({"group": of, "nodes": pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))})
 
-    return blocks.groupBy("bucket").applyInArrow(groups, "nodes array<long>")
+    return blocks.groupBy("bucket").applyInArrow(groups, "group long, nodes array<long>")
 
 
 def candidate_texts(docs: DataFrame, sets: DataFrame, groups: DataFrame, key: str, text: str, rule: Rule) -> DataFrame:
@@ -320,19 +360,33 @@ def _apart(sketches: np.ndarray, one: np.ndarray) -> np.ndarray:
 
 
 def group_members(groups: DataFrame) -> DataFrame:
-    """(group, node) of the distinct groups with three sets or more."""
-    larger = groups.filter(F.size("nodes") > 2).select(F.xxhash64("nodes").alias("group"), "nodes")
-    return larger.dropDuplicates(["group"]).select("group", F.explode("nodes").alias("node"))
+    """(group, node) of the distinct groups with three sets or more, and of the hot signatures."""
+    larger = groups.filter("group IS NULL AND size(nodes) > 2").select(F.xxhash64("nodes").alias("group"), "nodes")
+    hot = groups.filter("group IS NOT NULL").select("group", "nodes")
+    return larger.dropDuplicates(["group"]).union(hot).select("group", F.explode("nodes").alias("node"))
+
 
+def member_blocks(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """(group, node, size, block): members in blocks, so that a group of any size is spread over tasks."""
+    rows = materialize(members.join(texts.select("node", "size"), "node").select("group", "node", "size"), "join-sized")
+    return materialize(_numbered(rows, "group", GROUP_SETS, GROUP_SHINGLES), "join-group-blocks")
 
-def star_pairs(groups: DataFrame, members: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs of groups of two, and in larger groups central sets with those that may be linked to them.
+
+def _by_group(table: pa.Table) -> dict[int, np.ndarray]:
+    group = table.column("group").to_numpy()
+    order = np.argsort(group, kind="stable")
+    present, starts = np.unique(group[order], return_index=True)
+    return dict(zip(present.tolist(), np.split(order, starts[1:])))
+
+
+def star_pairs(groups: DataFrame, blocks: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs of groups of two, and in blocks of larger groups central sets with those that may be linked to them.
 
     A centre is the set closest by sketch to a few others. What is too far from it gets a centre of its own, a
-    few times over; ``cross_pairs`` sees to the rest.
+    few times over; ``cross_pairs`` sees to the rest, and to sets of different blocks.
     """
 
-    def stars(_: tuple, table: pa.Table) -> pa.Table:
+    def stars(table: pa.Table) -> tuple[list[np.ndarray], list[np.ndarray]]:
         node, size = table.column("node").to_numpy(), table.column("size").to_numpy()
         sketches = _folded(table.column("sketch").to_pylist())
         left, us, vs = np.lexsort((node, size)), [], []
@@ -349,45 +403,90 @@ def star_pairs(groups: DataFrame, members: DataFrame, texts: DataFrame, rule: Ru
             left = left[~near]
             if len(left) < 2:
                 break
+        return us, vs
+
+    def in_block(_: tuple, table: pa.Table) -> pa.Table:
+        us, vs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for at in _by_group(table).values():
+            more = stars(table.take(pa.array(at)))
+            us += more[0]
+            vs += more[1]
         return pa.table({"u": np.concatenate(us), "v": np.concatenate(vs)})
 
-    rows = members.join(texts.select("node", "size", "sketch"), "node")
-    found = rows.groupBy("group").applyInArrow(stars, "u long, v long")
-    twos = groups.filter(F.size("nodes") == 2).select(F.col("nodes")[0].alias("u"), F.col("nodes")[1].alias("v"))
-    return _pairs(twos.union(found))
+    rows = blocks.join(texts.select("node", "sketch"), "node")
+    found = rows.groupBy("block").applyInArrow(in_block, "u long, v long")
+    twos = groups.filter("group IS NULL AND size(nodes) = 2")
+    return _pairs(twos.select(F.col("nodes")[0].alias("u"), F.col("nodes")[1].alias("v")).union(found))
 
 
 def _pairs(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
 
-def cross_pairs(members: DataFrame, labels: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs of a group that no chain links yet and that size and sketch leave possible."""
-    labelled = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+_MEMBER = pa.schema(
+    [("group", pa.int64()), ("node", pa.int64()), ("size", pa.int64()), ("component", pa.int64()), ("sketch", pa.binary())]
+)
+
+
+def cross_pairs(blocks: DataFrame, labels: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs of a group that no chain links yet and that size and sketch leave possible.
+
+    A task compares one block, or two blocks of a group whose sizes allow a link.
+    """
+    labelled = blocks.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     labelled = materialize(labelled, "join-members")
     unsettled = labelled.groupBy("group").agg(F.min("component").alias("a"), F.max("component").alias("b"))
     unsettled = unsettled.filter("a != b").select("group")
-    rows = labelled.join(unsettled, "group", "left_semi").join(texts.select("node", "size", "sketch"), "node")
+    rows = materialize(labelled.join(unsettled, "group", "left_semi"), "join-unsettled")
 
-    def compare(_: tuple, table: pa.Table) -> pa.Table:
-        table = table.sort_by([("size", "ascending"), ("node", "ascending")])
-        node, component, size = (table.column(c).to_numpy() for c in ("node", "component", "size"))
-        sketches = _folded(table.column("sketch").to_pylist())
-        # sizes ascend: the partners of a row are the rows after it up to its largest partner
-        stops = np.searchsorted(size, size * 100 // rule.percent, "right")
-        us, vs = [], []
-        for i in range(len(node)):
-            j = np.arange(i + 1, stops[i])
-            j = j[component[j] != component[i]]
-            if len(j):
-                most = (100 - rule.percent) * (size[i] + size[j]) // (100 + rule.percent)
-                j = j[_apart(sketches[j], sketches[i]) <= most]
-                us.append(np.full(len(j), node[i]))
-                vs.append(node[j])
-        none = np.zeros(0, np.int64)
-        return pa.table({"u": np.concatenate([none, *us]), "v": np.concatenate([none, *vs])})
-
-    return _pairs(rows.groupBy("group").applyInArrow(compare, "u long, v long"))
+    def packed(key: tuple, table: pa.Table) -> pa.Table:
+        data = pack(table.select(_MEMBER.names).cast(_MEMBER).combine_chunks())
+        return pa.table({"block": pa.array([key[0].as_py()], pa.int64()), "data": pa.array([data], pa.binary())})
+
+    held = rows.join(texts.select("node", "sketch"), "node").groupBy("block").applyInArrow(packed, "block long, data binary")
+    held = materialize(held, "join-unsettled-sets")
+    alone = held.select(F.lit(None).cast("long").alias("group"), F.col("data").alias("left"), F.lit(None).cast("binary").alias("right"))
+    pairs = (
+        materialize(block_pairs(rows, "group", rule), "join-unsettled-pairs")
+        .join(held.select(F.col("block").alias("a"), F.col("data").alias("left")), "a")
+        .join(held.select(F.col("block").alias("b"), F.col("data").alias("right")), "b")
+        .select("group", "left", "right")
+    )
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for group, left, right in zip(*(batch.column(c) for c in ("group", "left", "right"))):
+                one = unpack([left.as_py()], _MEMBER)
+                other = one if right.as_py() is None else unpack([right.as_py()], _MEMBER)
+                ones, others = _by_group(one), _by_group(other)
+                for g in [*ones] if group.as_py() is None else [group.as_py()]:
+                    us, vs = _possible(one.take(pa.array(ones[g])), other.take(pa.array(others[g])), rule)
+                    yield pa.RecordBatch.from_arrays([pa.array(us), pa.array(vs)], names=["u", "v"])
+        give_back()
+
+    return _pairs(alone.union(pairs).mapInArrow(compare, "u long, v long").filter("u != v"))
+
+
+def _possible(one: pa.Table, other: pa.Table, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of sets of different components that size and sketch leave possible."""
+    other = other.sort_by([("size", "ascending"), ("node", "ascending")])
+    (u, u_component, u_size), (v, v_component, v_size) = (
+        [t.column(c).to_numpy() for c in ("node", "component", "size")] for t in (one, other)
+    )
+    sketches = _folded([*one.column("sketch").to_pylist(), *other.column("sketch").to_pylist()])
+    mine, theirs = sketches[: len(u)], sketches[len(u) :]
+    starts = np.searchsorted(v_size, -(-u_size * rule.percent // 100))
+    stops = np.searchsorted(v_size, u_size * 100 // rule.percent, "right")
+    us, vs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for i in range(len(u)):
+        j = np.arange(starts[i], stops[i])
+        j = j[v_component[j] != u_component[i]]
+        if len(j):
+            most = (100 - rule.percent) * (u_size[i] + v_size[j]) // (100 + rule.percent)
+            j = j[_apart(theirs[j], mine[i]) <= most]
+            us.append(np.full(len(j), u[i]))
+            vs.append(v[j])
+    return np.concatenate(us), np.concatenate(vs)
 
 
 def verified(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
@@ -569,14 +668,16 @@ def ngram_jaccard_join(
     total = sets.agg(F.sum("n_shingles")).first()[0] or 0
     # a set has about a third as many signatures as shingles
     buckets = max(MIN_BUCKETS, total // (3 * BUCKET_ROWS))
-    blocks = signature_blocks(docs, text, rule, buckets)
-    groups = materialize(candidate_groups(blocks), "join-groups")
+    hot = hot_signatures(docs, text, rule, sets.count())
+    signatures = signature_blocks(docs, text, rule, buckets, hot)
+    groups = materialize(candidate_groups(signatures, buckets), "join-groups")
     texts = materialize(candidate_texts(docs, sets, groups, key, text, rule), "join-texts")
 
     members = materialize(group_members(groups), "join-groups-apart")
-    links = materialize(verified(star_pairs(groups, members, texts, rule), texts, rule), "join-links")
+    blocks = member_blocks(members, texts)
+    links = materialize(verified(star_pairs(groups, blocks, texts, rule), texts, rule), "join-links")
     labels = materialize(connected_components(links), "join-labels")
-    more = materialize(verified(cross_pairs(members, labels, texts, rule), texts, rule), "join-more-links")
+    more = materialize(verified(cross_pairs(blocks, labels, texts, rule), texts, rule), "join-more-links")
     if not more.isEmpty():
         labels = materialize(connected_components(links.union(more)), "join-labels")
 
