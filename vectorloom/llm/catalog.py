@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vectorloom.llm.fingerprints import edit_study
+from vectorloom.llm.kd_search import top_k
 from vectorloom.llm.mixing import pareto_mix, word_count
 from vectorloom.llm.ngram_join import ngram_jaccard_join
 from vectorloom.llm.packing import pack_documents
@@ -120,3 +121,24 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op1_token_counts")
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attribute_tokens(table(spark, sf_dir, "documents")).drop("name")
+
+
+@register(
+    "op13_kd_search",
+    """
+    WITH whole AS (
+        SELECT vec_id, [floor(1024 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v FROM embeddings
+        WHERE embedding IS NOT NULL
+            AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    ), scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+        FROM whole q JOIN whole c ON len(q.v) = len(c.v) AND q.vec_id <> c.vec_id
+        WHERE q.vec_id % 100 = 0
+    )
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+        vec_id, score
+    FROM scored QUALIFY rank <= 10
+    """,
+)
+def op13_kd_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(100)) == 0, k=10)
