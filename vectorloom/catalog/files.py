@@ -115,6 +115,30 @@ def read_whole_files(spark, sf_dir):
     return json_docs.read_dictionary_json(spark, path).drop("at", "block")
 
 
+@register(
+    "s3_split_container",
+    """SELECT (row_number() OVER (ORDER BY p_partkey) - 1)::INTEGER AS at, p_partkey::VARCHAR AS id,
+           '{"' || p_name || '}\\' AS name, p_type AS style, p_size::VARCHAR AS abv, p_brand AS brewer
+    FROM part""",
+)
+def read_split_container(spark, sf_dir):
+    """One file with all parts, read in splits of a fortieth of it; names hold braces, quotes and backslashes."""
+    key = F.col("p_partkey").cast("string")
+    item = F.struct(
+        key.alias("id"), F.concat(F.lit('{"'), "p_name", F.lit("}\\")).alias("name"), F.col("p_type").alias("style"),
+        F.col("p_size").cast("string").alias("abv"), F.col("p_brand").alias("brewer"),
+    )
+    parts = table(spark, sf_dir, "part")
+    first, last = parts.agg(F.min("p_partkey"), F.max("p_partkey")).first()
+    before = F.when(F.col("p_partkey") == first, F.lit('{"beers":{')).otherwise(F.lit(""))
+    after = F.when(F.col("p_partkey") == last, F.lit("}}")).otherwise(F.lit(","))
+    line = F.concat(before, F.lit('"'), key, F.lit('":'), F.to_json(item), after)
+    path = scratch_path(spark, "item-file")
+    parts.orderBy("p_partkey").select(line.alias("value")).coalesce(1).write.text(path)
+    size = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0]
+    return json_docs.read_dictionary_json(spark, path, split_bytes=max(size // 40, 1))
+
+
 @register(
     "s4_read_reviews_json",
     """SELECT text, coalesce(quality * 2.5, 0)::FLOAT AS rating_overall, 0.0::FLOAT AS rating_aroma,
