@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 from vectorloom.catalog.base import register, table
 from vectorloom.catalog.vectors import labels_sql
 from vectorloom.operators import dictionary as dc
+from vectorloom.operators import keyword_index as ki
+from vectorloom.operators import style_map as sm
 from vectorloom.operators.lookup import lookup_join
+from vectorloom.operators.numbering import number_rows
+from vectorloom.session import scratch_path
 
 # Keywords of p_name that leave some parts without a bucket.
 PART_BUCKETS = ("bolt", "gear", "anvil", "plate")
@@ -69,30 +73,73 @@ def grouped_style_dictionary(spark, sf_dir):
     return part_dictionary(table(spark, sf_dir, "part"))
 
 
+KEYWORDS_SQL = """words AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{5,}')) AS word FROM benchmark),
+    keywords AS (SELECT word, row_number() OVER (ORDER BY word) - 1 AS nth FROM words),
+    bucketed AS (SELECT doc_id, arg_min(word, nth) AS bucket
+                 FROM documents LEFT JOIN keywords ON contains(lower(trim(text)), word) GROUP BY doc_id)"""
+
+
+def benchmark_words(spark, sf_dir):
+    """Every word of the benchmark, in the order of the alphabet."""
+    found = F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{5,}"), F.lit(0))).alias("word")
+    words = table(spark, sf_dir, "benchmark").select(found).distinct()
+    return ki.keyword_table(number_rows(words, ["word"], "nth").rows, "word", "nth")
+
+
+@register("d2_keyword_index", f"WITH {KEYWORDS_SQL} SELECT doc_id, bucket FROM bucketed")
+def keyword_index(spark, sf_dir):
+    return ki.grouped_styles(table(spark, sf_dir, "documents"), ["doc_id"], "text", benchmark_words(spark, sf_dir))
+
+
+@register(
+    "d3_keyword_dictionary",
+    f"""WITH {KEYWORDS_SQL}, {labels_sql("d", "bucketed", "bucket", "doc_id")}
+    SELECT label AS style_key, label AS style, n, k AS style_index FROM d""",
+)
+def keyword_dictionary(spark, sf_dir):
+    return ki.keyword_dictionary(table(spark, sf_dir, "documents"), ["doc_id"], "text", benchmark_words(spark, sf_dir))
+
+
 @register("d4_filtered_count", f"SELECT count(*) FILTER ({PART_BUCKET_SQL} IS NULL) AS n_filtered FROM part")
 def filtered_count(spark, sf_dir):
     return dc.filtered_count(table(spark, sf_dir, "part"), "p_name", PART_BUCKETS)
 
 
-@register(
-    "d5_item_to_style",
-    f"""WITH u AS (SELECT l_suppkey, l_orderkey, l_linenumber, p_type
+D5_SQL = f"""WITH u AS (SELECT l_suppkey, l_orderkey, l_linenumber, p_type
                  FROM lineitem JOIN part ON p_partkey = l_partkey),
     {labels_sql("d", "part", "lower(trim(p_type))", "p_partkey")}
     SELECT l_suppkey AS item_id, d.k AS style_index, p_type AS style
     FROM (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey DESC, l_linenumber DESC, p_type DESC) AS rn FROM u)
-    JOIN d ON d.label = lower(trim(p_type)) WHERE rn = 1""",
-)
-def item_to_style(spark, sf_dir):
-    """Supplier to the type of its last line: many rows per id, the last one wins."""
-    parts = table(spark, sf_dir, "part")
+    JOIN d ON d.label = lower(trim(p_type)) WHERE rn = 1"""
+
+
+def supplied_types(spark, sf_dir):
+    """Supplier and part type of every line."""
     lines = table(spark, sf_dir, "lineitem").select(
         "l_suppkey", "l_orderkey", "l_linenumber", "l_partkey"
     )
-    types = parts.select(F.col("p_partkey").alias("l_partkey"), "p_type")
-    supplied = lookup_join(lines, types, "l_partkey", how="inner")
-    dictionary = dc.style_dictionary(parts, "p_type", ["p_partkey"])
-    return dc.item_to_style(supplied, "l_suppkey", "p_type", ["l_orderkey", "l_linenumber"], dictionary)
+    types = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
+    return lookup_join(lines, types, "l_partkey", how="inner")
+
+
+@register("d5_item_to_style", D5_SQL)
+def item_to_style(spark, sf_dir):
+    """Supplier to the type of its last line: many rows per id, the last one wins."""
+    dictionary = dc.style_dictionary(table(spark, sf_dir, "part"), "p_type", ["p_partkey"])
+    return dc.item_to_style(supplied_types(spark, sf_dir), "l_suppkey", "p_type", ["l_orderkey", "l_linenumber"], dictionary)
+
+
+@register("d5_upsert", D5_SQL)
+def upsert_styles(spark, sf_dir):
+    """The same map, stored and updated with the later lines first, then with the earlier ones."""
+    supplied = supplied_types(spark, sf_dir)
+    middle = table(spark, sf_dir, "lineitem").agg(F.avg("l_orderkey")).first()[0]
+    path = scratch_path(spark, "style-map")
+    target = sm.create(spark, path, supplied, "l_suppkey", ["l_orderkey", "l_linenumber"])
+    for half in (F.col("l_orderkey") >= middle, F.col("l_orderkey") < middle):
+        sm.upsert(target, supplied.filter(half), "l_suppkey", "p_type")
+    dictionary = dc.style_dictionary(table(spark, sf_dir, "part"), "p_type", ["p_partkey"])
+    return sm.item_styles(sm.open_map(spark, path), dictionary)
 
 
 @register(

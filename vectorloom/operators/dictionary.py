@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vectorloom.functions.numeric import trimmed
 from vectorloom.functions.text import nonempty_text
 from vectorloom.operators.lookup import lookup_join
-from vectorloom.operators.numbering import last_part, number_rows, order_value
+from vectorloom.operators.numbering import number_rows, order_value
 from vectorloom.session import materialize
 
 # The style buckets, tested in this order.
@@ -77,26 +77,30 @@ def item_to_style(
     """Item id to style index and raw style; the last of several equal ids wins, on a tie the last style.
 
     ``key`` is the dictionary key of a style, e.g. ``grouped_style``; rows whose key is NULL are left out, and
-    items whose last row has an unknown one. The aggregate over all rows sees a number for each style, in
-    alphabetical order, and no text; style and index come back once a row per item is left.
+    items whose last row has an unknown one.
     """
-    places = {f"__at_{i}": F.col(p) for i, p in enumerate(position)}
-    keyed = items.select(
-        F.col(item_id).alias("item_id"),
-        (style_key(F.col(style)) if key is None else key).alias("style_key"),
-        F.col(style).alias("style"),
-        *[c.alias(name) for name, c in places.items()],
-    ).filter(F.col("style_key").isNotNull())
-    numbers = number_rows(keyed.select("style_key", "style").distinct(), ["style", "style_key"], "style_id")
-    styles = numbers.rows
-    numbered = lookup_join(keyed.drop("style_key"), styles.select("style", "style_id"), "style", how="inner")
-    numbered = numbered.select("item_id", *places, "style_id")
-    order = [*places, "style_id"]
-    last = numbered.groupBy("item_id").agg(F.max(order_value(numbered, order, numbers.total)).alias("last"))
-    last = last.select("item_id", last_part(numbered, order, F.col("last"), numbers.total).alias("style_id"))
-    indexed = lookup_join(styles, dictionary.select("style_key", "style_index"), "style_key", how="inner")
-    known = materialize(indexed.select("style_id", "style_index", "style"), "styles")
-    return lookup_join(last, known, "style_id", how="inner", costly=True).select("item_id", "style_index", "style")
+    styled = items.withColumn("__key", style_key(F.col(style)) if key is None else key).filter(F.col("__key").isNotNull())
+    last = last_styles(styled, item_id, style, position, carry=("__key",)).withColumnRenamed("__key", "style_key")
+    indexed = lookup_join(last, dictionary.select("style_key", "style_index"), "style_key", how="inner", costly=True)
+    return indexed.select("item_id", "style_index", "style")
+
+
+def last_styles(items: DataFrame, item_id: str, style: str, position: list[str], carry: tuple[str, ...] = ()) -> DataFrame:
+    """(item_id, style, place, …): the style of each item's last row, on a tie the last style; ``place`` is its position.
+
+    The aggregate over all rows sees ids and positions and no text; then the winning position brings its style back.
+    Rows with a NULL in their position have no place in the order and are left out.
+    """
+    placed = items.select(
+        F.col(item_id).alias("item_id"), F.col(style).alias("style"), order_value(items, position).alias("place"), *carry
+    )
+    last = placed.groupBy("item_id").agg(F.max("place").alias("place")).filter(F.col("place").isNotNull())
+    last = last.select(F.col("item_id").alias("__id"), F.col("place").alias("__place"))
+    same = F.col("item_id").eqNullSafe(F.col("__id")) & (F.col("place") == F.col("__place"))
+    # equal positions of an item are few: the window sees one of them per task
+    latest = Window.partitionBy("item_id").orderBy(F.desc("style"))
+    won = placed.join(last, same).drop("__id", "__place").withColumn("__rank", F.row_number().over(latest))
+    return won.filter(F.col("__rank") == 1).drop("__rank")
 
 
 def lookup_style_index(styles: DataFrame, style: str, dictionary: DataFrame) -> DataFrame:
