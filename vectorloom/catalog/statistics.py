@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vectorloom.catalog.base import register, rounded, table
+from vectorloom.catalog.base import as_line, register, rounded, table
 from vectorloom.catalog.vectors import LINE_POSITION, LINE_POSITION_SQL, LINE_SPEC, labels_sql, line_profile, lineitem, only
 from vectorloom.operators import profile as pr
 from vectorloom.operators.dictionary import style_dictionary, style_statistics
 from vectorloom.operators.sequences import corpus_stats
+from vectorloom.session import scratch_path
+from vectorloom.sources.delimited import read_delimited
+from vectorloom.streaming.profile import ProfileStore, profile_stream
 
 NUMERIC_COLUMNS = [c.name for c in LINE_SPEC.numeric]
 NOMINAL_COLUMNS = [c.name for c in LINE_SPEC.nominal]
@@ -104,6 +107,36 @@ def merge_labels(spark, sf_dir):
     return pr.merge_labels(tables).rows.select(*pr.LABEL_COLUMNS)
 
 
+@register(
+    "a6_stream_profile",
+    f"""SELECT column_name, n, min, max, sum, variance, stddev,
+           CAST(NULL AS VARCHAR) AS label, CAST(NULL AS BIGINT) AS label_id, CAST(NULL AS BIGINT) AS label_n
+    FROM ({STATS_SQL})
+    UNION ALL
+    SELECT column_name, (SELECT count(*) FROM lineitem), NULL, NULL, NULL, NULL, NULL, label, label_id, n
+    FROM ({LABELS_SQL})""",
+)
+def stream_profile(spark, sf_dir):
+    """Lines arrive in three parts, in order of their keys; a stream profiles each as it comes."""
+    folder, state, checkpoint = (scratch_path(spark, name) for name in ("lines", "stream-profile", "stream-state"))
+    store = ProfileStore(spark, state, LINE_SPEC, ["order_number", "l_linenumber"], merge_every=2)
+    source = table(spark, sf_dir, "lineitem")
+    line = F.concat_ws("\t", as_line(*LINE_SPEC.names), F.col("l_linenumber").cast("string"))
+    borders = [float("-inf"), *source.approxQuantile("l_orderkey", [0.3, 0.7], 0.05), float("inf")]
+    for low, high in zip(borders, borders[1:]):
+        part = source.filter((F.col("l_orderkey") > low) & (F.col("l_orderkey") <= high))
+        part.select(line.alias("value")).write.mode("append").text(folder)
+        lines = spark.readStream.text(folder)
+        number = F.split_part("value", F.lit("\t"), F.lit(2)).cast("int").alias("l_linenumber")
+        fields = F.split_part("value", F.lit("\t"), F.lit(1)).alias("value")
+        rows = read_delimited(lines.select(fields, number), LINE_SPEC, keep=("l_linenumber",))
+        # the order key is a number for the position, and text like every other field for the profile
+        rows = rows.withColumn("order_number", F.col("l_orderkey").cast("bigint"))
+        profile_stream(rows, store, checkpoint, availableNow=True).awaitTermination()
+    report = pr.statistics_report(store.profile())
+    return presentable(report).drop("ordinal", "kind", "transform", "n_invalid", "m2", "avg")
+
+
 @register("a7_merge_derived", f"SELECT column_name, variance, stddev FROM ({STATS_SQL})")
 def merge_derived(spark, sf_dir):
     """Squared deviations of the halves, moved to the common mean."""
