@@ -120,3 +120,11 @@ def test_limit(spark, top_k):
     df = spark.range(50).select((F.col("id") * 37 % 50).alias("id")).repartition(5)
     for n, expected in ((0, 50), (1, 1), (7, 7), (80, 50)):
         assert sorted(r["id"] for r in sq.limit_examples(df, "id", n, top_k).collect()) == list(range(expected))
+
+
+@pytest.mark.parametrize("top_k_rows", [0, 100])
+def test_rows_without_a_position_are_none_of_the_first(spark, top_k_rows):
+    rows = spark.createDataFrame([(None, "a"), (None, "b"), (1, "c"), (2, "d"), (3, "e"), (4, "f")], "at int, x string")
+    assert sorted(r["x"] for r in sq.limit_examples(rows, "at", 3, top_k_rows).collect()) == ["c", "d", "e"]
+    assert sq.limit_examples(rows.filter("at IS NULL"), "at", 3, top_k_rows).count() == 0
+    assert sq.limit_examples(rows, "at", 0, top_k_rows).count() == 6

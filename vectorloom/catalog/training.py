@@ -7,12 +7,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vectorloom.catalog.base import register, rounded, table
+from vectorloom.catalog.sequences import STOP, indices_sql
 from vectorloom.catalog.vectors import labels_sql
+from vectorloom.operators import alias as al
+from vectorloom.operators import char_model as cm
+from vectorloom.operators import epochs as ep
 from vectorloom.operators import metrics as mt
 from vectorloom.operators import model as ml
 from vectorloom.operators.dictionary import style_dictionary
 from vectorloom.operators.lookup import lookup_join
-from vectorloom.session import scratch_path
+from vectorloom.session import materialize, scratch_path
 
 TEMPERATURE = 1.5
 HIDDEN = 16
@@ -52,6 +56,41 @@ def moving_average(spark, sf_dir):
     return rounded(mt.moving_average(scores(spark, sf_dir), "user_id", "event_id", "value"), 6, "moving_avg")
 
 
+CHARACTERS = STOP + 1
+
+
+@register(
+    "m1_character_model",
+    f"""WITH {indices_sql("(SELECT doc_id, text, coalesce(lang, '') AS style FROM documents)", "doc_id, style")},
+    steps AS (SELECT doc_id % 5 = 0 AS held, style, unnest(list_concat([{STOP}], ids)) AS i,
+                     unnest(list_concat(ids, [{STOP}])) AS o FROM e),
+    n AS (SELECT held, style, i, o, count(*) AS n FROM steps GROUP BY ALL),
+    t AS (SELECT * FROM n WHERE NOT held),
+    chars AS (SELECT o, (coalesce(sum(n), 0) + 1) / ((SELECT sum(n) FROM t) + {CHARACTERS}) AS p0
+              FROM range({CHARACTERS}) r(o) LEFT JOIN t USING (o) GROUP BY o),
+    ins AS (SELECT i, sum(n) AS n FROM t GROUP BY i),
+    pairs AS (SELECT i, o, sum(n) AS n FROM t GROUP BY i, o),
+    style_ins AS (SELECT style, i, sum(n) AS n FROM t GROUP BY style, i),
+    scored AS (
+      SELECT h.style, h.n, (coalesce(t.n, 0) + {cm.BACK_OFF} * (coalesce(pairs.n, 0) + {cm.BACK_OFF} * p0)
+                 / (coalesce(ins.n, 0) + {cm.BACK_OFF})) / (coalesce(style_ins.n, 0) + {cm.BACK_OFF}) AS p
+      FROM n h JOIN chars USING (o) LEFT JOIN ins ON ins.i = h.i LEFT JOIN pairs ON pairs.i = h.i AND pairs.o = h.o
+           LEFT JOIN style_ins ON style_ins.style = h.style AND style_ins.i = h.i
+           LEFT JOIN t ON t.style = h.style AND t.i = h.i AND t.o = h.o
+      WHERE h.held)
+    SELECT style, round(sum(n * -ln(p)) / sum(n), 8) AS loss FROM scored GROUP BY style""",
+)
+def character_model(spark, sf_dir):
+    """The character model of four fifths of the documents, by language, scored on the rest."""
+    docs = table(spark, sf_dir, "documents").select(
+        "text", F.coalesce("lang", F.lit("")).alias("style"), (F.col("doc_id") % 5 == 0).alias("held")
+    )
+    # counts of pairs, small beside the text
+    counts = materialize(cm.pair_counts(docs, "text", ("held", "style")), "pair-counts")
+    model = cm.fit_char_model(counts.filter(~F.col("held")).drop("held"), "style")
+    return rounded(cm.held_out_loss(counts.filter("held").drop("held"), model), 8, "loss")
+
+
 def progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mt.score_progress(scores(spark, sf_dir), "user_id", "event_id", "value")
 
@@ -186,6 +225,36 @@ def sample_from_distribution(spark, sf_dir):
     return mt.sample_from_distribution(distributions(spark, sf_dir), "user_id", "class_index", "p", draw)
 
 
+@register(
+    "m10_alias_tables",
+    f"""WITH {DISTRIBUTION_SQL} SELECT user_id, class_index, round(p, 8) AS p FROM p WHERE p > 1e-9""",
+)
+def alias_tables(spark, sf_dir):
+    """The probabilities of each user's distribution, put together again from its alias table."""
+    tables = al.alias_tables(distributions(spark, sf_dir), "user_id", "class_index", "p")
+    return rounded(al.table_masses(tables, "user_id", "class_index").filter("p > 1e-9"), 8, "p")
+
+
+@register(
+    "m10_draws",
+    f"""WITH {DISTRIBUTION_SQL},
+    one AS (SELECT user_id, count(*) AS n, min(class_index) AS class_index FROM p WHERE p > 1e-9 GROUP BY 1)
+    SELECT event_id, user_id, n > 0 AS possible, CASE WHEN n = 1 THEN class_index END AS certain
+    FROM events JOIN one USING (user_id)""",
+)
+def draws(spark, sf_dir):
+    """A draw per event from its user's distribution: always one of its classes, and that of a user with one class."""
+    given = distributions(spark, sf_dir).filter("p > 1e-9")
+    tables = al.alias_tables(given, "user_id", "class_index", "p")
+    u = (F.pmod(F.xxhash64("event_id"), F.lit(1 << 30)) / float(1 << 30)).alias("u")
+    drawn = al.draw_classes(table(spark, sf_dir, "events").select("event_id", "user_id", u), "user_id", "u", tables)
+    # a user has a row per event type at most
+    classes = given.groupBy("user_id").agg(F.collect_set("class_index").alias("classes"))
+    checked = lookup_join(drawn, classes, "user_id", how="inner")
+    certain = F.when(F.size("classes") == 1, F.col("sampled"))
+    return checked.select("event_id", "user_id", F.array_contains("classes", F.col("sampled")).alias("possible"), certain.alias("certain"))
+
+
 def trained(spark: SparkSession, sf_dir: str) -> PipelineModel:
     return ml.train_classifier(table(spark, sf_dir, "embeddings"), "embedding", "label", hidden=HIDDEN)
 
@@ -214,6 +283,26 @@ def parity_model(spark: SparkSession, sf_dir: str) -> PipelineModel:
     return ml.train_classifier(parities(spark, sf_dir), "bits", "label", hidden=PARITY_HIDDEN, seed=PARITY_SEED)
 
 
+@register(
+    "m11_epoch_scores",
+    """SELECT o_orderkey, (o_orderkey % 2 <> o_custkey % 2)::INTEGER AS label,
+           (o_orderkey % 2 <> o_custkey % 2)::INTEGER AS prediction, 6::BIGINT AS n_epochs, TRUE AS improved
+    FROM orders WHERE o_orderkey % 3 = 0""",
+)
+def epoch_scores(spark, sf_dir):
+    """Train on two thirds of the orders in two runs of three epochs; the best model on the rest, with the progress of the run."""
+    rows = parities(spark, sf_dir)
+    train, held_out = rows.filter("o_orderkey % 3 <> 0"), rows.filter("o_orderkey % 3 = 0")
+    path = scratch_path(spark, "epochs")
+    for epochs in (3, 6):
+        scores = ep.train_epochs(train, held_out, "bits", "label", path, epochs, PARITY_HIDDEN, seed=PARITY_SEED)
+    progress = mt.score_progress(scores.withColumn("run", F.lit(0)), "run", "epoch", "score")
+    progress = progress.select("n_epochs", (F.col("score_change") > 0).alias("improved"))
+    scored = ml.score_with_classifier(ep.best_model(spark, path), held_out, "bits", "label")
+    # progress is one row
+    return scored.select("o_orderkey", "label", "prediction").join(F.broadcast(progress))
+
+
 @register("m11_training_accuracy", "SELECT count(*) AS n, 1.0::DOUBLE AS accuracy FROM orders")
 def training_accuracy(spark, sf_dir):
     """The trained network tells the exclusive or of two bits for every order."""

@@ -15,8 +15,9 @@ MIN_EPOCHS = 5
 BLOCK_ROWS = 100_000
 
 
-def masked_mean_loss(costs: DataFrame, cost: Column, mask: Column) -> DataFrame:
-    return costs.agg(F.try_divide(F.sum(cost), F.sum(mask)).alias("loss"))
+def masked_mean_loss(costs: DataFrame, cost: Column, mask: Column, by: tuple[str, ...] = ()) -> DataFrame:
+    """Sum of costs over sum of masks, of the whole table or of each group ``by`` columns."""
+    return costs.groupBy(*by).agg(F.try_divide(F.sum(cost), F.sum(mask)).alias("loss"))
 
 
 def moving_average(

@@ -158,7 +158,7 @@ def training_batches(
 
 
 def limit_examples(rows: DataFrame, position: str, n: int, top_k_rows: int = TOP_K_ROWS) -> DataFrame:
-    """The first ``n`` rows by the unique ``position``; 0 means all.
+    """The first ``n`` rows by the unique ``position``; 0 means all. A row without a position is none of the first.
 
     Finds the last position wanted from the position column alone, then filters, so
     the scan can skip row groups and the wide rows are never sorted. Up to ``top_k_rows`` the last position
@@ -167,7 +167,7 @@ def limit_examples(rows: DataFrame, position: str, n: int, top_k_rows: int = TOP
     """
     if n <= 0:
         return rows
-    positions = rows.select(position)
+    positions = rows.select(position).filter(F.col(position).isNotNull())
     if n <= top_k_rows:
         last = positions.orderBy(position).limit(n).agg(F.max(position)).first()[0]
     else:
