@@ -1,4 +1,6 @@
+import hashlib
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -93,3 +95,52 @@ def test_repeated_rows_are_one_document(make_docs, parts):
 
 def test_empty_table(make_docs):
     assert s.remove_repeats(make_docs((1, "x")).filter("doc_id < 0")).collect() == []
+
+
+def in_order(rows):
+    """Rows as documents of their own: equal ones once, in order of key (null last) and md5 of the text."""
+    distinct = sorted({(k is None, k or 0, hashlib.md5(t.encode()).hexdigest(), t) for k, t in rows})
+    return {(None if r[0] else r[1], r[3]): n for n, r in enumerate(distinct)}
+
+
+def check_shared_keys(docs, rows):
+    """Against brute force, where rows share keys."""
+    place = in_order(rows)
+    want = brute_force([(n, t) for (_, t), n in place.items()])
+    got = sorted((str(r[0]), r[1], r[2], r[3], bytes(r[4])) for r in s.remove_repeats(docs).collect())
+    assert got == sorted((str(k), *want[place[k, t]]) for k, t in rows)
+
+
+def equal_checksums():
+    """Two texts of different length with one CRC-32."""
+    long, short = words(40, 7)[:290], words(40, 8)[:190]
+    texts = [[f"{base} {hashlib.md5(f'{i}{base}'.encode()).hexdigest()}" for i in range(200_000)] for base in (long, short)]
+    seen = {zlib.crc32(text.encode()): text for text in texts[0]}
+    return next((seen[c], text) for text in texts[1] if (c := zlib.crc32(text.encode())) in seen)
+
+
+def test_null_keys_with_equal_checksums(make_docs):
+    one, other = equal_checksums()
+    assert zlib.crc32(one.encode()) == zlib.crc32(other.encode()) and len(one) != len(other)
+    rows = [(1, "earlier " + one), (None, one), (None, other), (2, words(40, 9))]
+    check_shared_keys(make_docs(*rows), rows)
+
+
+@pytest.mark.parametrize("key", [None, 7])
+def test_a_third_of_all_rows_under_one_key(make_docs, passages, key):
+    rows = [(key if i % 3 == 0 else k, t) for i, (k, t) in enumerate(passages)] + [(key, words(40, 3))] * 20 + [(9_000_000, words(40, 3))]
+    check_shared_keys(make_docs(*rows), rows)
+
+
+def test_rows_of_one_key_are_spread(make_docs):
+    rows, shared = s.with_ties(make_docs(*[(None, f"text {i}") for i in range(600)], (1, "x")).select("doc_id", "text"), "doc_id", "text")
+    assert shared
+    keys = rows.select("doc_id", "__tie").toArrow()
+    bucket = s._doc_bucket(keys["doc_id"].fill_null(int(s._LAST)).to_numpy(), keys["__tie"].to_numpy(), 64)
+    assert np.bincount(bucket).max() < 40
+
+
+def test_largest_key_is_no_null(make_docs):
+    text = words(40, 1)
+    got = {r[0]: r[2] for r in s.remove_repeats(make_docs((int(s._LAST), text), (None, text))).collect()}
+    assert got == {int(s._LAST): 0, None: len(text)}

@@ -19,7 +19,6 @@ those are; it decides where they are compared, never whether.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +30,8 @@ from pyspark.sql import types as T
 
 from vectorloom.llm.blocks import BLOCKS, bucket_of, split_by, unpack
 from vectorloom.llm.textops import SpanHashes, byte_slices, give_back, lean, mix, text_passes
+from vectorloom.operators.lookup import lookup_join
+from vectorloom.operators.numbering import number_rows
 from vectorloom.session import materialize
 
 LENGTH = 100
@@ -45,17 +46,17 @@ SPREAD_FROM = 20
 
 _LAST = np.iinfo(np.int64).max
 _STRETCH = pa.schema(
-    [("k", pa.uint32()), ("f", pa.uint64()), ("key", pa.int64()), ("crc", pa.uint32()), ("p", pa.uint32()),
+    [("k", pa.uint32()), ("f", pa.uint64()), ("key", pa.int64()), ("tie", pa.int64()), ("p", pa.uint32()),
      ("n", pa.uint8()), ("spread", pa.bool_())]
 )
-_COVER = pa.schema([("key", pa.int64()), ("crc", pa.uint32()), ("start", pa.uint32()), ("end", pa.uint32())])
+_COVER = pa.schema([("key", pa.int64()), ("tie", pa.int64()), ("start", pa.uint32()), ("end", pa.uint32())])
 _CANDIDATE = pa.schema(
-    [("key", pa.int64()), ("crc", pa.uint32()), ("p", pa.uint32()), ("n", pa.uint8()), ("block", pa.uint64()),
+    [("key", pa.int64()), ("tie", pa.int64()), ("p", pa.uint32()), ("n", pa.uint8()), ("block", pa.uint64()),
      ("spread", pa.bool_())]
 )
 _CONTEXT = pa.schema([*_CANDIDATE, ("bytes", pa.binary())])
-_WINDOW = pa.schema([("hash", pa.uint64()), ("key", pa.int64()), ("crc", pa.uint32()), ("p", pa.uint32())])
-_DOC = pa.schema([("key", pa.int64()), ("crc", pa.uint32()), ("text", pa.large_binary())])
+_WINDOW = pa.schema([("hash", pa.uint64()), ("key", pa.int64()), ("tie", pa.int64()), ("p", pa.uint32())])
+_DOC = pa.schema([("key", pa.int64()), ("tie", pa.int64()), ("text", pa.large_binary())])
 
 
 def _columns(table: pa.Table) -> dict[str, np.ndarray]:
@@ -67,21 +68,49 @@ def _table(schema: pa.Schema, *columns) -> pa.Table:
 
 
 def _doc_table(batch: pa.RecordBatch) -> pa.Table:
-    """Key, checksum, bytes and further columns of a batch of (key, text, …), in order of key and checksum.
-
-    Null keys are last.
-    """
+    """Key, tie, bytes and further columns of a batch of (key, tie, text, …), in order of key and tie."""
     key = batch.column(0).cast(pa.int64()).fill_null(int(_LAST))
-    text = batch.column(1).cast(pa.large_binary()).fill_null(b"")
-    crc = pa.array([zlib.crc32(t.as_buffer()) for t in text], pa.uint32())
-    table = pa.Table.from_arrays([key, crc, text], schema=_DOC)
-    for i in range(2, batch.num_columns):
-        table = table.append_column(f"carried {i}", batch.column(i))
-    return table.take(pc.sort_indices(table, [("key", "ascending"), ("crc", "ascending")]))
+    text = batch.column(2).cast(pa.large_binary()).fill_null(b"")
+    table = pa.Table.from_arrays([key, batch.column(1), text], schema=_DOC)
+    for i, column in enumerate((batch.column(0), *batch.columns[3:])):
+        table = table.append_column(f"carried {i}", column)
+    return table.take(pc.sort_indices(table, [("key", "ascending"), ("tie", "ascending")]))
+
+
+def _doc_bucket(key: np.ndarray, tie: np.ndarray, buckets: int) -> np.ndarray:
+    return bucket_of(mix(key.view(np.uint64) ^ mix(tie.view(np.uint64))), buckets)
+
+
+def _bucket_of_rows(table: pa.Table, buckets: int) -> np.ndarray:
+    return _doc_bucket(table.column("key").to_numpy(), table.column("tie").to_numpy(), buckets)
+
 
+_ID, _COPIES, _TIE = "__row_id", "__copies", "__tie"
 
-def _doc_bucket(key: np.ndarray, buckets: int) -> np.ndarray:
-    return bucket_of(mix(key.view(np.uint64)), buckets)
+
+def with_ties(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, bool]:
+    """(key, tie, text, …) and whether rows share a key.
+
+    Key and tie together tell different rows apart: 0 where a row has its key to itself, else a number in order of
+    key and md5 of the text, larger for null keys. Where rows share a key there are two columns more, an identity and the
+    number of equal rows, and the table is written.
+    """
+    rest = [c for c in docs.columns if c not in (key, text)]
+    shared = materialize(docs.groupBy(key).count().filter("count > 1").select(key), "dedup-shared-keys")
+    alone = F.when(F.col(key).isNull(), F.lit(1)).otherwise(F.lit(0)).cast("long").alias(_TIE)
+    if shared.isEmpty():
+        return docs.select(key, alone, text, *rest), False
+    content = F.coalesce(F.col(text), F.lit(""))
+    # a null key is left out of the identity, a key of its own
+    row_id = F.concat_ws("/", F.col(key).cast("string"), F.md5(content), F.octet_length(content).cast("string"))
+    thin = docs.select(key, row_id.alias(_ID))
+    named = lookup_join(thin.filter(F.col(key).isNotNull()), shared.filter(F.col(key).isNotNull()), key, how="left_semi")
+    different = named.unionByName(thin.filter(F.col(key).isNull())).groupBy(key, _ID).agg(F.count("*").alias(_COPIES))
+    ties = number_rows(different, [F.col(key).asc_nulls_last(), F.col(_ID)], "__nth").rows.select(_ID, "__nth", _COPIES)
+    rows = lookup_join(docs.withColumn(_ID, row_id), ties, _ID)
+    tie = F.coalesce(F.col("__nth") + 1, alone).alias(_TIE)
+    rows = rows.select(key, tie, text, *rest, _ID, F.coalesce(_COPIES, F.lit(1)).alias(_COPIES))
+    return materialize(rows, "dedup-rows"), True
 
 
 def stretches(docs: pa.Table, length: int) -> dict[str, np.ndarray]:
@@ -136,15 +165,14 @@ def spread_anchors(docs: DataFrame, n_docs: int, length: int) -> dict[int, int]:
     share = min(1.0, SAMPLE_DOCS / max(n_docs, 1))
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in byte_slices(whole, 1)):
+        for batch in (part for whole in batches for part in byte_slices(whole, 2)):
             found = stretches(_doc_table(batch), length)
             _, first = np.unique(_both(found["k"], found["f"]), return_index=True)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(found["k"][first].view(np.int64)), pa.array(found["f"][first].view(np.int64))], names=["k", "f"]
             )
 
-    key = docs.columns[0]
-    some = docs.filter(F.pmod(F.xxhash64(F.col(key), F.lit(5)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+    some = docs.filter(F.pmod(F.xxhash64(docs.columns[0], _TIE, F.lit(5)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
     seen = some.mapInArrow(sampled, "k long, f long").distinct().groupBy("k").count().filter(F.col("count") >= SPREAD_FROM)
     return {
         r["k"] & (1 << 64) - 1: -(-int(r["count"] / share) // TASK_STRETCHES) * 2
@@ -158,20 +186,17 @@ def stretch_blocks(docs: DataFrame, length: int, buckets: int, doc_buckets: int,
     spread_ways = np.array([spread[int(k)] for k in spread_keys], np.uint64)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in byte_slices(whole, 1)):
+        for batch in (part for whole in batches for part in byte_slices(whole, 2)):
             table = _doc_table(batch)
             found = stretches(table, length)
             if not len(found["k"]):
                 continue
-            docs_of = _columns(table.select(["key", "crc"]))
-            key, crc = docs_of["key"][found["row"]], docs_of["crc"][found["row"]]
+            docs_of = _columns(table.select(["key", "tie"]))
+            key, tie = docs_of["key"][found["row"]], docs_of["tie"][found["row"]]
             k, f, p, n = found["k"], found["f"], found["p"], found["n"]
-            _, first, group = np.unique(_both(k, f), return_index=True, return_inverse=True)
+            _, first = np.unique(_both(k, f), return_index=True)
             is_first = np.zeros(len(key), bool)
             is_first[first] = True
-            earliest = first[group]
-            # the place of the first itself, in a repeated row, is no repeat
-            same_place = (key == key[earliest]) & (crc == crc[earliest]) & (p == p[earliest])
 
             place = mix(k)
             is_spread = np.zeros(len(k), bool)
@@ -181,12 +206,12 @@ def stretch_blocks(docs: DataFrame, length: int, buckets: int, doc_buckets: int,
                 place = np.where(is_spread, mix(place + mix(f) % spread_ways[at]), place)
             kept = np.flatnonzero(is_first)
             low = (place[kept] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-            rows = _table(_STRETCH, low, f[kept], key[kept], crc[kept], p[kept], n[kept], is_spread[kept])
+            rows = _table(_STRETCH, low, f[kept], key[kept], tie[kept], p[kept], n[kept], is_spread[kept])
             yield _of_kind(0, split_by(bucket_of(place[kept], buckets), rows))
-            again = np.flatnonzero(~same_place)
+            again = np.flatnonzero(~is_first)
             if len(again):
-                covers = _table(_COVER, key[again], crc[again], p[again], p[again] + n[again] + length - 1)
-                yield _of_kind(1, split_by(_doc_bucket(key[again], doc_buckets), covers))
+                covers = _table(_COVER, key[again], tie[again], p[again], p[again] + n[again] + length - 1)
+                yield _of_kind(1, split_by(_doc_bucket(key[again], tie[again], doc_buckets), covers))
         give_back()
 
     return docs.mapInArrow(blocks, f"kind int, {BLOCKS}")
@@ -208,7 +233,7 @@ def compare_stretches(blocks: DataFrame, length: int, doc_buckets: int) -> DataF
     @lean
     def compare(key: tuple, rows: pa.Table) -> pa.Table:
         c = _columns(unpack(rows.column("data").to_pylist(), _STRETCH))
-        order = np.lexsort((c["p"], c["crc"], c["key"], c["f"], c["k"]))
+        order = np.lexsort((c["p"], c["tie"], c["key"], c["f"], c["k"]))
         c = {name: values[order] for name, values in c.items()}
         new_k = np.concatenate([[True], c["k"][1:] != c["k"][:-1]])
         new_f = new_k | np.concatenate([[True], c["f"][1:] != c["f"][:-1]])
@@ -216,15 +241,13 @@ def compare_stretches(blocks: DataFrame, length: int, doc_buckets: int) -> DataF
         surroundings = np.bincount(group, weights=new_f)[group]
         look = new_f & ((surroundings > 1) | c["spread"])
         end = c["p"].astype(np.int64) + c["n"] + (length - 1)
-        # repeated rows give the place of the first of a group once more; that is no repeat
-        earliest = np.flatnonzero(new_f)[np.cumsum(new_f) - 1]
-        again = (c["key"] != c["key"][earliest]) | (c["crc"] != c["crc"][earliest]) | (c["p"] != c["p"][earliest])
-        covers = _table(_COVER, c["key"][again], c["crc"][again], c["p"][again], end[again])
+        again = ~new_f
+        covers = _table(_COVER, c["key"][again], c["tie"][again], c["p"][again], end[again])
         block = np.uint64(key[0].as_py()) << np.uint64(32) | c["k"].astype(np.uint64)
-        candidates = _table(_CANDIDATE, *[c[x][look] for x in ("key", "crc", "p", "n")], block[look], c["spread"][look])
+        candidates = _table(_CANDIDATE, *[c[x][look] for x in ("key", "tie", "p", "n")], block[look], c["spread"][look])
         return _joined(
             [
-                pa.Table.from_batches([_of_kind(kind, split_by(_doc_bucket(_columns(t)["key"], doc_buckets), t))])
+                pa.Table.from_batches([_of_kind(kind, split_by(_bucket_of_rows(t, doc_buckets), t))])
                 for kind, t in ((1, covers), (2, candidates))
                 if t.num_rows
             ]
@@ -237,21 +260,21 @@ def document_blocks(docs: DataFrame, doc_buckets: int) -> DataFrame:
     """(bucket, data): the texts themselves by document bucket."""
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in byte_slices(whole, 1)):
+        for batch in (part for whole in batches for part in byte_slices(whole, 2)):
             table = _doc_table(batch)
             if table.num_rows:
-                yield from split_by(_doc_bucket(_columns(table.select(["key"]))["key"], doc_buckets), table).to_batches()
+                yield from split_by(_bucket_of_rows(table, doc_buckets), table).to_batches()
         give_back()
 
     return docs.mapInArrow(blocks, BLOCKS)
 
 
-def _row_of(docs: pa.Table, key: np.ndarray, crc: np.ndarray) -> np.ndarray:
-    """Row of the document for each (key, crc); ``docs`` is in that order, repeated rows count as their first."""
-    have = np.empty(docs.num_rows, [("key", "i8"), ("crc", "u4")])
-    have["key"], have["crc"] = docs.column("key").to_numpy(), docs.column("crc").to_numpy()
+def _row_of(docs: pa.Table, key: np.ndarray, tie: np.ndarray) -> np.ndarray:
+    """Row of the document for each (key, tie); ``docs`` is in that order."""
+    have = np.empty(docs.num_rows, [("key", "i8"), ("tie", "i8")])
+    have["key"], have["tie"] = docs.column("key").to_numpy(), docs.column("tie").to_numpy()
     want = np.empty(len(key), have.dtype)
-    want["key"], want["crc"] = key, crc
+    want["key"], want["tie"] = key, tie
     return np.searchsorted(have, want)
 
 
@@ -259,7 +282,7 @@ def _sorted_docs(rows: pa.Table) -> pa.Table:
     values = rows.column("data").to_pylist()
     schema = pa.ipc.open_stream(values[0]).schema if values else _DOC
     docs = unpack(values, schema)
-    return docs.take(pc.sort_indices(docs, [("key", "ascending"), ("crc", "ascending")]))
+    return docs.take(pc.sort_indices(docs, [("key", "ascending"), ("tie", "ascending")]))
 
 
 def contexts(texts: DataFrame, found: DataFrame, length: int, tasks: int) -> DataFrame:
@@ -274,7 +297,7 @@ def contexts(texts: DataFrame, found: DataFrame, length: int, tasks: int) -> Dat
             text = docs.column("text").combine_chunks()
             values = [
                 text[row].as_buffer()[p : p + n + length - 1].to_pybytes()
-                for row, p, n in zip(_row_of(docs, c["key"], c["crc"]).tolist(), c["p"].tolist(), c["n"].tolist())
+                for row, p, n in zip(_row_of(docs, c["key"], c["tie"]).tolist(), c["p"].tolist(), c["n"].tolist())
             ]
             out = wanted.append_column("bytes", pa.array(values, pa.binary()))
         return split_by(bucket_of(mix(out.column("block").to_numpy()), tasks), out)
@@ -324,7 +347,7 @@ def _runs(c: dict[str, np.ndarray], stretch: np.ndarray, window: np.ndarray, len
     ends = np.append(begins[1:], len(window)) - 1 if len(begins) else begins
     of = stretch[begins]
     p = c["p"][of].astype(np.int64)
-    return _table(_COVER, c["key"][of], c["crc"][of], p + window[begins], p + window[ends] + length)
+    return _table(_COVER, c["key"][of], c["tie"][of], p + window[begins], p + window[ends] + length)
 
 
 def repeats_in_contexts(blocks: DataFrame, length: int, doc_buckets: int, tasks: int) -> DataFrame:
@@ -333,7 +356,7 @@ def repeats_in_contexts(blocks: DataFrame, length: int, doc_buckets: int, tasks:
     @lean
     def search(key: tuple, rows: pa.Table) -> pa.Table:
         table = unpack(rows.column("data").to_pylist(), _CONTEXT)
-        table = table.sort_by([("block", "ascending"), ("key", "ascending"), ("crc", "ascending"), ("p", "ascending")])
+        table = table.sort_by([("block", "ascending"), ("key", "ascending"), ("tie", "ascending"), ("p", "ascending")])
         c = _columns(table)
         content = table.column("bytes").combine_chunks()
         offsets = np.frombuffer(content.buffers()[1], np.int32)[content.offset : content.offset + len(content) + 1]
@@ -347,7 +370,7 @@ def repeats_in_contexts(blocks: DataFrame, length: int, doc_buckets: int, tasks:
             if stop < table.num_rows and c["block"][stop] == c["block"][stop - 1]:
                 begin = int(np.searchsorted(c["block"], c["block"][stop]))
                 stop = begin if begin > start else stop
-            order = start + np.lexsort((c["p"][start:stop], c["crc"][start:stop], c["key"][start:stop]))
+            order = start + np.lexsort((c["p"][start:stop], c["tie"][start:stop], c["key"][start:stop]))
             n = c["n"][order].astype(np.int64)
             stretch = np.repeat(order, n)
             window = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
@@ -360,13 +383,13 @@ def repeats_in_contexts(blocks: DataFrame, length: int, doc_buckets: int, tasks:
                 at = offsets[stretch[open_]] + window[open_]
                 of = stretch[open_]
                 hashes = np.concatenate([_window_hashes(views[open_][i : i + 65536]) for i in range(0, len(at), 65536)])
-                out.append((3, _table(_WINDOW, hashes, c["key"][of], c["crc"][of], c["p"][of] + window[open_])))
+                out.append((3, _table(_WINDOW, hashes, c["key"][of], c["tie"][of], c["p"][of] + window[open_])))
             start = stop
         tables = []
         for kind, t in out:
             if t.num_rows:
                 c_ = _columns(t)
-                bucket = _doc_bucket(c_["key"], doc_buckets) if kind == 1 else bucket_of(c_["hash"], tasks)
+                bucket = _bucket_of_rows(t, doc_buckets) if kind == 1 else bucket_of(c_["hash"], tasks)
                 tables.append(pa.Table.from_batches([_of_kind(kind, split_by(bucket, t))]))
         return _joined(tables)
 
@@ -384,13 +407,13 @@ def repeats_across_tasks(blocks: DataFrame, length: int, doc_buckets: int) -> Da
 
     def search(key: tuple, rows: pa.Table) -> pa.Table:
         c = _columns(unpack(rows.column("data").to_pylist(), _WINDOW))
-        order = np.lexsort((c["p"], c["crc"], c["key"], c["hash"]))
+        order = np.lexsort((c["p"], c["tie"], c["key"], c["hash"]))
         again = order[1:][c["hash"][order[1:]] == c["hash"][order[:-1]]]
         if not len(again):
             return _joined([])
         p = c["p"][again].astype(np.int64)
-        covers = _table(_COVER, c["key"][again], c["crc"][again], p, p + length)
-        bucket = _doc_bucket(c["key"][again], doc_buckets)
+        covers = _table(_COVER, c["key"][again], c["tie"][again], p, p + length)
+        bucket = _bucket_of_rows(covers, doc_buckets)
         return _joined([pa.Table.from_batches([_of_kind(1, split_by(bucket, covers))])])
 
     return blocks.filter("kind = 3").groupBy("bucket").applyInArrow(search, f"kind int, {BLOCKS}")
@@ -405,18 +428,15 @@ def remove_covered(texts: DataFrame, covers: DataFrame, shape: T.StructType) ->
     def apply(_: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         docs = _sorted_docs(left)
         c = _columns(unpack(right.column("data").to_pylist(), _COVER))
-        row = _row_of(docs, c["key"], c["crc"])
+        row = _row_of(docs, c["key"], c["tie"])
         order = np.argsort(row, kind="stable")
         row, starts, ends = row[order], c["start"][order].astype(np.int64), c["end"][order].astype(np.int64)
         edge = np.searchsorted(row, np.arange(docs.num_rows + 1))
-        keys, crcs = docs.column("key").to_numpy(), docs.column("crc").to_numpy()
         text = docs.column("text").combine_chunks()
-        counts, kept, same = [], [], 0
+        counts, kept = [], []
         for i in range(docs.num_rows):
-            if i and (keys[i], crcs[i]) != (keys[i - 1], crcs[i - 1]):
-                same = i
             data = np.frombuffer(text[i].as_buffer(), np.uint8)
-            a, b = edge[same], edge[same + 1]
+            a, b = edge[i], edge[i + 1]
             removed = spans = 0
             if a < b:
                 depth = np.zeros(len(data) + 1, np.int32)
@@ -430,10 +450,10 @@ def remove_covered(texts: DataFrame, covers: DataFrame, shape: T.StructType) ->
                 rest = data.tobytes()
             counts.append((len(data), removed, spans))
             kept.append(rest.decode("utf-8", "ignore") if as_text else rest)
-        key_column = pa.array(keys, pa.int64(), mask=keys == _LAST)
         numbers = [pa.array([n[j] for n in counts], pa.int64()) for j in range(3)]
         kept_column = pa.array(kept, pa.string() if as_text else pa.binary())
-        return pa.table([key_column, *numbers, kept_column, *docs.columns[len(_DOC) :]], names=names)
+        original_key, *carried = docs.columns[len(_DOC) :]
+        return pa.table([original_key, *numbers, kept_column, *carried], names=names)
 
     return texts.groupBy("bucket").cogroup(covers.groupBy("bucket")).applyInArrow(apply, shape)
 
@@ -450,10 +470,28 @@ def remove_repeats(
     Strings are judged on the input, and overlaps with an earlier start in the same document count. A null
     or empty text has no bytes. Texts below ``length`` bytes stay as they are. Null keys come after all
     others. Rows that agree in key and text are judged as one document; rows that share a key only are
-    ordered by checksum. Other columns are left out. Empty input gives no rows. Positions are 32 bits: a
+    ordered by the md5 of their text. Other columns are left out. Empty input gives no rows. Positions are 32 bits: a
     text has less than 4 GB.
     """
-    whole, docs = docs.select(key, text, *carry), docs.select(key, text)
+    rows, shared = with_ties(docs.select(key, text, *carry), key, text)
+    if not shared:
+        return _without_repeats(rows, key, text, length, carry, as_text)
+    # equal rows go through it once
+    several = F.col(_COPIES) > 1
+    once = rows.filter(~several).unionByName(rows.filter(several).dropDuplicates([_ID]))
+    found = materialize(_without_repeats(once, key, text, length, (*carry, _ID, _COPIES), as_text), "dedup-once")
+    out = [key, *_COUNTS, "kept", *carry]
+    of_copies = found.filter(several).select(_ID, *_COUNTS, "kept")
+    copies = lookup_join(rows.filter(several).select(key, *carry, _ID), of_copies, _ID, how="inner")
+    return found.filter(~several).select(out).unionByName(copies.select(out))
+
+
+_COUNTS = ("n_bytes", "n_removed", "n_spans")
+
+
+def _without_repeats(rows: DataFrame, key: str, text: str, length: int, carry: tuple[str, ...], as_text: bool) -> DataFrame:
+    """``remove_repeats`` of (key, tie, text, …) where key and tie are unique."""
+    whole, docs = rows.select(key, _TIE, text, *carry), rows.select(key, _TIE, text)
     row = docs.agg(F.count("*").alias("n"), F.sum(F.octet_length(text)).alias("b")).first()
     n_docs, n_bytes = row["n"], row["b"] or 0
     doc_buckets = max(MIN_BUCKETS, n_bytes // BUCKET_BYTES)
@@ -468,7 +506,7 @@ def remove_repeats(
     searched = materialize(repeats_in_contexts(looked, length, doc_buckets, tasks), "dedup-searched")
     across = repeats_across_tasks(searched, length, doc_buckets)
     covers = dealt.union(found).union(searched).filter("kind = 1").union(across).select("bucket", "data")
-    counts = [T.StructField(c, T.LongType()) for c in (key, "n_bytes", "n_removed", "n_spans")]
+    counts = [whole.schema[key], *[T.StructField(c, T.LongType()) for c in _COUNTS]]
     kept = T.StructField("kept", T.StringType() if as_text else T.BinaryType())
     shape = T.StructType([*counts, kept, *[whole.schema[c] for c in carry]])
     return remove_covered(document_blocks(whole, doc_buckets), covers, shape)
