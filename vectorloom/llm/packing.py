@@ -16,7 +16,7 @@ WINDOW = 4096
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
 # Words whose ids a Python worker keeps; beyond that it starts anew.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 600_000
 # Sequence numbers: partition in the upper bits, sequence of the partition in the lower ones.
 _PARTITION_SHIFT = 40
 
@@ -223,6 +223,33 @@ class SumOfSquares:
         return sequence, fill
 
 
+def _placed(
+    keys: pa.Array, row: int, ids: np.ndarray, firsts: np.ndarray, packer: SumOfSquares, base: int
+) -> pa.RecordBatch:
+    """The pieces of a run of documents from ``row`` on, whose ids begin at ``firsts``."""
+    sizes = np.diff(firsts) + 1
+    ends = np.cumsum(sizes)
+    whole = np.full(int(ends[-1]), END_ID, "<u4")
+    is_id = np.ones(len(whole), bool)
+    is_id[ends - 1] = False
+    whole[is_id] = ids
+    pieces = -(-sizes // packer.window)
+    of = np.repeat(np.arange(len(sizes)), pieces)
+    start = (np.arange(len(of)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * packer.window
+    length = np.minimum(sizes[of] - start, packer.window)
+    placed = np.array([packer.place(n) for n in length.tolist()], np.int64)
+    # pieces follow each other as their ids do
+    cuts = np.concatenate([[0], np.cumsum(length * 4)])
+    kind = pa.binary() if cuts[-1] < 1 << 31 else pa.large_binary()
+    cuts = cuts.astype(np.int32 if kind == pa.binary() else np.int64)
+    data = pa.Array.from_buffers(kind, len(of), [None, pa.py_buffer(cuts), pa.py_buffer(whole)]).cast(pa.binary())
+    numbers = [pa.array(c, pa.int64()) for c in (sizes[of], base + placed[:, 0], placed[:, 1])]
+    return pa.RecordBatch.from_arrays(
+        [keys.take(pa.array(row + of)), pa.array(start), pa.array(length), data, *numbers],
+        names=[f.split()[0] for f in PIECES.split(", ")],
+    )
+
+
 def pack_documents(
     docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None, window: int = WINDOW
 ) -> DataFrame:
@@ -247,20 +274,7 @@ def pack_documents(
         for batch in batches:
             keys = batch.column(0).cast(pa.int64())
             for row, data, offsets in text_passes(batch.column(1)):
-                ids, firsts = encode(data, offsets)
-                out: list[tuple] = []
-                for i in range(len(offsets) - 1):
-                    doc = np.append(ids[firsts[i] : firsts[i + 1]], np.uint32(END_ID)).astype("<u4")
-                    for start in range(0, len(doc), window):
-                        piece = doc[start : start + window]
-                        sequence, offset = packer.place(len(piece))
-                        out.append((row + i, start, len(piece), piece.tobytes(), len(doc), base + sequence, offset))
-                rows, *rest = zip(*out)
-                kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
-                yield pa.RecordBatch.from_arrays(
-                    [keys.take(pa.array(rows, pa.int64())), *[pa.array(c, t) for c, t in zip(rest, kinds)]],
-                    names=[f.split()[0] for f in PIECES.split(", ")],
-                )
+                yield _placed(keys, row, *encode(data, offsets), packer, base)
         give_back()
 
     return docs.select(key, text).mapInArrow(pack, PIECES)
