@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from vectorloom.llm.blocks import pack, unpack
 from vectorloom.llm.components import connected_components
 from vectorloom.llm.textops import LOWER, SLICE_BYTES, SpanHashes, as_texts, byte_slices, give_back, mix, text_passes, word_spans
-from vectorloom.operators.lookup import broadcast_limit
+from vectorloom.operators.lookup import lookup_join
 from vectorloom.session import materialize
 
 # Signature rows that one bucket should hold.
@@ -185,22 +185,27 @@ def _node(shingles: np.ndarray) -> int:
 
 
 def document_sets(docs: DataFrame, key: str, text: str, rule: Rule) -> DataFrame:
-    """(key, n_shingles, node): set size and the number of the set; null for an empty one."""
+    """(key, n_shingles, node, sketch): set size, number of the set and its parity sketch; null for an empty one.
+
+    The sketch has a bit per hash value, set when an odd number of shingles fall on it: two sets differ in
+    at least as many shingles as their sketches in bits.
+    """
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, nodes = [], []
+            sizes, nodes, sketches = [], [], []
             for _, shingles in shingle_sets(batch.column(1), rule.n):
                 sizes.append(len(shingles))
                 nodes.append(_node(shingles) if len(shingles) else None)
+                sketches.append(parity_sketch(shingles).tobytes() if len(shingles) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64())],
-                names=[key, "n_shingles", "node"],
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sketches, pa.binary())],
+                names=[key, "n_shingles", "node", "sketch"],
             )
         give_back()
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(sets, f"`{key}` {kind}, n_shingles long, node long")
+    return docs.select(key, text).mapInArrow(sets, f"`{key}` {kind}, n_shingles long, node long, sketch binary")
 
 
 _ENTRY = np.dtype([("node", "<i8"), ("signature", "<u4"), ("role", "u1")])
@@ -208,7 +213,8 @@ _ENTRY = np.dtype([("node", "<i8"), ("signature", "<u4"), ("role", "u1")])
 
 def hot_signatures(docs: DataFrame, text: str, rule: Rule, n_docs: int) -> np.ndarray:
     """Signatures that a bounded sample of texts shows in many sets, in order; it decides where they meet, never whether."""
-    share = min(1.0, SAMPLE_DOCS / max(n_docs, 1))
+    # so many that a signature which is not hot has about as many entries as a bucket at most
+    share = min(1.0, max(SAMPLE_DOCS / max(n_docs, 1), HOT_FROM / BUCKET_ROWS))
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schemes = Schemes(rule)
@@ -306,32 +312,39 @@ def candidate_groups(blocks: DataFrame, buckets: int) -> DataFrame:
     return blocks.groupBy("bucket").applyInArrow(groups, "group long, nodes array<long>")
 
 
-def candidate_texts(docs: DataFrame, sets: DataFrame, groups: DataFrame, key: str, text: str, rule: Rule) -> DataFrame:
-    """(node, size, sketch, text) of one document for every set in a group.
-
-    The sketch has a bit per hash value, set when an odd number of shingles fall on it: two sets differ in
-    at least as many shingles as their sketches in bits.
-    """
+def candidate_sets(sets: DataFrame, groups: DataFrame) -> DataFrame:
+    """(node, size, sketch) of every set in a group; no text moves."""
     wanted = groups.select(F.explode("nodes").alias("node")).distinct()
-    chosen = sets.join(wanted, "node").groupBy("node").agg(F.min(key).alias(key)).select(key)
-    chosen = materialize(chosen, "join-candidates")
-    if chosen.count() * 32 <= broadcast_limit(docs.sparkSession):
-        chosen = F.broadcast(chosen)
+    # equal sets are one row a task before they move
+    different = sets.filter("node IS NOT NULL").select("node", F.col("n_shingles").alias("size"), "sketch").dropDuplicates(["node"])
+    return different.join(wanted, "node", "left_semi")
+
 
-    def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def pair_texts(docs: DataFrame, sets: DataFrame, wanted: DataFrame, key: str, text: str, rule: Rule) -> DataFrame:
+    """(node, text) of one document for every node of ``wanted``; ``wanted`` is read twice.
+
+    Documents are found by the smallest key that has the set, and told apart by the set itself; where only rows without
+    a key have it, it is looked for among those.
+    """
+    holders = sets.join(wanted, "node", "left_semi").groupBy("node").agg(F.min(key).alias(key))
+    holders = materialize(holders, "join-holders")
+    keys = holders.filter(F.col(key).isNotNull()).select(key).distinct()
+    found = docs.join(keys, key, "left_semi").select(text)
+    if not holders.filter(F.col(key).isNull()).isEmpty():
+        found = found.union(docs.filter(F.col(key).isNull()).select(text))
+
+    def nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in byte_slices(whole, 0)):
-            nodes, sizes, out = [], [], []
-            for _, shingles in shingle_sets(batch.column(0), rule.n):
-                nodes.append(_node(shingles) if len(shingles) else None)
-                sizes.append(len(shingles))
-                out.append(parity_sketch(shingles).tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(out, pa.binary()), batch.column(0)],
-                names=["node", "size", "sketch", "text"],
-            )
+            seen, rows = {}, []
+            for row, shingles in shingle_sets(batch.column(0), rule.n):
+                if len(shingles) and (node := _node(shingles)) not in seen:
+                    seen[node] = row
+                    rows.append(row)
+            texts = batch.column(0).take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int64()), texts], names=["node", "text"])
+        give_back()
 
-    found = docs.join(chosen, key, "left_semi").select(text)
-    return found.mapInArrow(sketches, "node long, size long, sketch binary, text string").dropDuplicates(["node"])
+    return found.mapInArrow(nodes, "node long, text string").join(wanted, "node", "left_semi").dropDuplicates(["node"])
 
 
 def parity_sketch(shingles: np.ndarray) -> np.ndarray:
@@ -366,9 +379,9 @@ def group_members(groups: DataFrame) -> DataFrame:
     return larger.dropDuplicates(["group"]).union(hot).select("group", F.explode("nodes").alias("node"))
 
 
-def member_blocks(members: DataFrame, texts: DataFrame) -> DataFrame:
+def member_blocks(members: DataFrame, candidates: DataFrame) -> DataFrame:
     """(group, node, size, block): members in blocks, so that a group of any size is spread over tasks."""
-    rows = materialize(members.join(texts.select("node", "size"), "node").select("group", "node", "size"), "join-sized")
+    rows = materialize(members.join(candidates.select("node", "size"), "node").select("group", "node", "size"), "join-sized")
     return materialize(_numbered(rows, "group", GROUP_SETS, GROUP_SHINGLES), "join-group-blocks")
 
 
@@ -379,8 +392,8 @@ def _by_group(table: pa.Table) -> dict[int, np.ndarray]:
     return dict(zip(present.tolist(), np.split(order, starts[1:])))
 
 
-def star_pairs(groups: DataFrame, blocks: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs of groups of two, and in blocks of larger groups central sets with those that may be linked to them.
+def star_pairs(groups: DataFrame, blocks: DataFrame, candidates: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs of groups of two that size and sketch leave possible, and in blocks of larger groups central sets with such.
 
     A centre is the set closest by sketch to a few others. What is too far from it gets a centre of its own, a
     few times over; ``cross_pairs`` sees to the rest, and to sets of different blocks.
@@ -413,10 +426,28 @@ def star_pairs(groups: DataFrame, blocks: DataFrame, texts: DataFrame, rule: Rul
             vs += more[1]
         return pa.table({"u": np.concatenate(us), "v": np.concatenate(vs)})
 
-    rows = blocks.join(texts.select("node", "sketch"), "node")
+    def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size_u, size_v = (batch.column(c).to_numpy() for c in ("size_u", "size_v"))
+            both = zip(*(batch.column(c).to_pylist() for c in ("sketch_u", "sketch_v")))
+            apart = np.array([int(_apart(sketches[:1], sketches[1])[0]) for sketches in map(_folded, both)], np.int64)
+            near = apart <= (100 - rule.percent) * (size_u + size_v) // (100 + rule.percent)
+            yield batch.select(["u", "v"]).filter(pa.array(near, pa.bool_()))
+
+    rows = blocks.join(candidates.select("node", "sketch"), "node")
     found = rows.groupBy("block").applyInArrow(in_block, "u long, v long")
     twos = groups.filter("group IS NULL AND size(nodes) = 2")
-    return _pairs(twos.select(F.col("nodes")[0].alias("u"), F.col("nodes")[1].alias("v")).union(found))
+    twos = _pairs(twos.select(F.col("nodes")[0].alias("u"), F.col("nodes")[1].alias("v")))
+    for name in ("u", "v"):
+        side = candidates.select(F.col("node").alias(name), F.col("size").alias(f"size_{name}"), F.col("sketch").alias(f"sketch_{name}"))
+        twos = twos.join(side, name)
+    # sizes alone rule out most pairs that meet by chance
+    fits = F.least("size_u", "size_v") * 100 >= F.greatest("size_u", "size_v") * rule.percent
+    return _pairs(twos.filter(fits).mapInArrow(possible, "u long, v long").union(found))
+
+
+def _nodes(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
 
 
 def _pairs(pairs: DataFrame) -> DataFrame:
@@ -428,7 +459,7 @@ _MEMBER = pa.schema(
 )
 
 
-def cross_pairs(blocks: DataFrame, labels: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
+def cross_pairs(blocks: DataFrame, labels: DataFrame, candidates: DataFrame, rule: Rule) -> DataFrame:
     """Pairs of a group that no chain links yet and that size and sketch leave possible.
 
     A task compares one block, or two blocks of a group whose sizes allow a link.
@@ -443,7 +474,7 @@ def cross_pairs(blocks: DataFrame, labels: DataFrame, texts: DataFrame, rule: Ru
         data = pack(table.select(_MEMBER.names).cast(_MEMBER).combine_chunks())
         return pa.table({"block": pa.array([key[0].as_py()], pa.int64()), "data": pa.array([data], pa.binary())})
 
-    held = rows.join(texts.select("node", "sketch"), "node").groupBy("block").applyInArrow(packed, "block long, data binary")
+    held = rows.join(candidates.select("node", "sketch"), "node").groupBy("block").applyInArrow(packed, "block long, data binary")
     held = materialize(held, "join-unsettled-sets")
     alone = held.select(F.lit(None).cast("long").alias("group"), F.col("data").alias("left"), F.lit(None).cast("binary").alias("right"))
     pairs = (
@@ -575,17 +606,22 @@ def _linked(one: list[np.ndarray], other: list[np.ndarray], rule: Rule) -> np.nd
     return 100 * common >= rule.percent * (sizes - common)
 
 
-def link_counts(labels: DataFrame, sets: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
+def link_counts(labels: DataFrame, sets: DataFrame, candidates: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
     """(node, links): documents with another set that a set is linked to, for every set of ``labels``.
 
     Links do not leave a component, so its sets, in order of size, are cut into blocks, and every two blocks
     whose sizes allow a link are compared in a task of their own, each pair of sets once. What a task gives
     back are counts per set, so no row per link is made; the pairs compared grow with the square of the
-    largest components.
+    largest components. The two sets of a component of two are linked to each other.
     """
     copies = sets.filter("node IS NOT NULL").groupBy("node").agg(F.count("*").alias("copies"))
-    rows = labels.select("node", "component").join(texts.select("node", "size"), "node").join(copies, "node")
-    numbered = _numbered(materialize(rows, "join-linked"), "component", LINK_SETS, LINK_SHINGLES)
+    rows = labels.select("node", "component").join(candidates.select("node", "size"), "node").join(copies, "node")
+    members = labels.groupBy("component").agg(F.count("*").alias("members"))
+    rows = materialize(rows.join(members, "component"), "join-linked")
+    twos = rows.filter("members = 2")
+    totals = twos.groupBy("component").agg(F.sum("copies").alias("total"))
+    of_twos = twos.join(totals, "component").select("node", (F.col("total") - F.col("copies")).alias("links"))
+    numbered = _numbered(rows.filter("members > 2").drop("members"), "component", LINK_SETS, LINK_SHINGLES)
     numbered = materialize(numbered, "join-linked-blocks")
 
     def packed(key: tuple, table: pa.Table) -> pa.Table:
@@ -613,7 +649,7 @@ def link_counts(labels: DataFrame, sets: DataFrame, texts: DataFrame, rule: Rule
         .select("component", "left", "right")
     )
     counted = alone.union(pairs).mapInArrow(count, "node long, links long")
-    return counted.groupBy("node").agg(F.sum("links").alias("links"))
+    return counted.groupBy("node").agg(F.sum("links").alias("links")).union(of_twos)
 
 
 def _count_links(component: int | None, left: bytes, right: bytes | None, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
@@ -671,15 +707,21 @@ def ngram_jaccard_join(
     hot = hot_signatures(docs, text, rule, sets.count())
     signatures = signature_blocks(docs, text, rule, buckets, hot)
     groups = materialize(candidate_groups(signatures, buckets), "join-groups")
-    texts = materialize(candidate_texts(docs, sets, groups, key, text, rule), "join-texts")
+    candidates = materialize(candidate_sets(sets, groups), "join-candidates")
 
     members = materialize(group_members(groups), "join-groups-apart")
-    blocks = member_blocks(members, texts)
-    links = materialize(verified(star_pairs(groups, blocks, texts, rule), texts, rule), "join-links")
+    blocks = member_blocks(members, candidates)
+    pairs = materialize(star_pairs(groups, blocks, candidates, rule), "join-pairs")
+    texts = materialize(pair_texts(docs, sets, _nodes(pairs), key, text, rule), "join-texts")
+    links = materialize(verified(pairs, texts, rule), "join-links")
     labels = materialize(connected_components(links), "join-labels")
-    more = materialize(verified(cross_pairs(blocks, labels, texts, rule), texts, rule), "join-more-links")
-    if not more.isEmpty():
-        labels = materialize(connected_components(links.union(more)), "join-labels")
+    pairs = materialize(cross_pairs(blocks, labels, candidates, rule), "join-more-pairs")
+    if not pairs.isEmpty():
+        missing = materialize(_nodes(pairs).join(texts, "node", "left_anti"), "join-more-nodes")
+        texts = texts.union(materialize(pair_texts(docs, sets, missing, key, text, rule), "join-more-texts"))
+        more = materialize(verified(pairs, texts, rule), "join-more-links")
+        if not more.isEmpty():
+            labels = materialize(connected_components(links.union(more)), "join-labels")
 
     of_sets = sets.filter("node IS NOT NULL").groupBy("node").agg(F.min(key).alias("first"), F.count("*").alias("copies"))
     labelled = materialize(of_sets, "join-nodes").join(labels, "node", "left")
@@ -687,10 +729,12 @@ def ngram_jaccard_join(
     roots = labelled.groupBy("component").agg(F.min("first").alias("component_id"))
     of_node = labelled.join(roots, "component").select("node", "component_id", (F.col("copies") - 1).alias("equal"))
     of_node = materialize(of_node, "join-components")
+    # a set may be that of many documents, and very many have none: hot nodes are joined where they are
+    thin = sets.select(key, "n_shingles", "node")
     component = F.when(F.col("node").isNull(), F.col(key)).otherwise(F.col("component_id")).alias("component_id")
     if not count_links:
-        return sets.join(of_node, "node", "left").select(key, "n_shingles", component)
-    counts = materialize(link_counts(labels, sets, texts, rule), "join-counts")
+        return lookup_join(thin, of_node, "node").select(key, "n_shingles", component)
+    counts = materialize(link_counts(labels, sets, candidates, texts, rule), "join-counts")
     of_node = of_node.join(counts, "node", "left").withColumn("links", F.col("equal") + F.coalesce("links", F.lit(0)))
     n_links = F.coalesce("links", F.lit(0)).cast("long").alias("n_links")
-    return sets.join(of_node, "node", "left").select(key, "n_shingles", component, n_links)
+    return lookup_join(thin, materialize(of_node, "join-linked-nodes"), "node").select(key, "n_shingles", component, n_links)
