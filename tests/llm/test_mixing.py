@@ -112,3 +112,73 @@ def test_empty_table_and_no_words(make_docs):
 def test_no_python_in_the_plan(rows):
     plan = m.pareto_mix(rows, "doc_id", "source", "size")._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def chances(sizes, wanted, power=m.POWER):
+    """min(1, rate * size ^ power) for the rate that makes the expected words those wanted."""
+    low, high = 0.0, 1e6
+    for _ in range(200):
+        rate = (low + high) / 2
+        low, high = (rate, high) if sum(min(1.0, rate * s**power) * s for s in sizes) < wanted else (low, rate)
+    return {s: min(1.0, low * s**power) for s in set(sizes)}
+
+
+def test_inclusion_follows_unequal_chances(spark):
+    """A hundred sources of one make-up at half their size, and a hundred at one and a half."""
+    sizes = [20, 45, 80, 150, 400] * 12 + [700]
+    data = [(i * 1000 + k, f"{i:03}", s) for i in range(200) for k, s in enumerate(sizes)]
+    docs = spark.createDataFrame(data, "doc_id long, source string, size long")
+    want, hits = chances(sizes, sum(sizes) / 2), {}
+    assert want[20] < 0.3 * want[400] < 0.3
+    for r in m.pareto_mix(docs, "doc_id", "source", "size", weights=(1, 3)).collect():
+        assert math.isclose(r.target, sum(sizes) * (0.5 if int(r.source) % 2 == 0 else 1.5))
+        hits.setdefault((int(r.source) % 2, r["size"]), []).append(r.copies)
+    for (odd, s), copies in hits.items():
+        assert abs(sum(copies) / len(copies) - odd - want[s]) < 0.06, (odd, s, want[s])
+
+
+def test_sample_size_is_fixed_before_words_are_met(spark):
+    """Rows of one size need no correction: every source has exactly the rounded sum of its chances."""
+    data = [(i, f"{i % 40:02}", 10) for i in range(40 * 25)]
+    docs = spark.createDataFrame(data, "doc_id long, source string, size long")
+    taken = {}
+    for r in m.pareto_mix(docs, "doc_id", "source", "size", weights=(2, 6)).collect():
+        taken[r.source] = taken.get(r.source, 0) + r.copies
+    assert {taken[s] for s in taken if int(s) % 2 == 0} <= {12, 13} and {taken[s] for s in taken if int(s) % 2} <= {37, 38}
+
+
+def test_a_third_of_all_rows_under_one_key(spark):
+    """Rows without a key are drawn at random like any others, and so are equal rows."""
+    data = [(None, "a", 1 + i % 900) for i in range(1500)] + [(None, "b", 10)] * 400 + [(i, "b", 10) for i in range(400)]
+    docs = spark.createDataFrame(data, "doc_id long, source string, size long")
+    got = m.pareto_mix(docs, "doc_id", "source", "size", weights=(1, 80)).collect()
+    large = [r.copies for r in got if r.source == "a" and r["size"] > 600]
+    small = [r.copies for r in got if r.source == "a" and r["size"] <= 300]
+    assert 0 < sum(small) < len(small) and 0 < sum(large) and sum(large) / len(large) > sum(small) / len(small)
+    equal = [r.copies for r in got if r.source == "b" and r.doc_id is None]
+    others = [r.copies for r in got if r.source == "b" and r.doc_id is not None]
+    assert abs(sum(equal) / len(equal) - sum(others) / len(others)) < 0.15
+    for s in "ab":
+        own = [r for r in got if r.source == s]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 900
+
+
+def test_a_hot_source_is_spread(spark, monkeypatch):
+    """Two thirds of all rows in one source: its rows are ranked in many parts."""
+    data = [(i, "hot" if i % 3 else f"s{i % 7}", 1 + i % 50) for i in range(6000)]
+    docs = spark.createDataFrame(data, "doc_id long, source string, size long").repartition(6)
+    parts, materialize = [], m.materialize
+
+    def spy(df, label):
+        table = materialize(df, label)
+        if label == "mix-parts":
+            parts.extend(r["count"] for r in table.groupBy("__part").count().collect())
+        return table
+
+    monkeypatch.setattr(m, "materialize", spy)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert len(m.pareto_mix(docs, "doc_id", "source", "size").collect()) == 6000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert max(parts) < 6000 / 4

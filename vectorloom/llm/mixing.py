@@ -1,15 +1,20 @@
-"""Mix sources to target weights: whole copies plus a Pareto order sample. DataFrame functions only."""
+"""Mix sources to target weights: certain whole copies plus a Pareto order sample. DataFrame functions only."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vectorloom.operators.lookup import lookup_join
+from vectorloom.operators.numbering import number_rows
 from vectorloom.session import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
-# Rows that share one ranking window; a source with more rows is spread over more windows.
+# Rows that share one window where a sample's words are brought to the target.
 ROWS_PER_WINDOW = 1_000
+# Chances grow with this power of a document's size.
+POWER = 0.5
+_EPSILON = 1e-9
 
 
 def word_count(text: Column) -> Column:
@@ -21,73 +26,162 @@ def source_targets(sizes: DataFrame, source: str, size: str, weights: list[float
 
     The k-th source (code point order, null last) has the k-th weight, the list repeating. Targets share
     the total size by weight and stop at ``max_copies`` times the source's size; what is cut off is shared
-    again by weight among the rest. With sources ordered by cap over weight, the capped ones come first,
-    so one pass of running sums finds the share per unit of weight. Works on one row per source.
+    again by weight among the rest, until no source is above. Each such round is one aggregate over the sources.
     """
     totals = sizes.groupBy(source).agg(F.sum(size).alias("source_size"), F.count("*").alias("source_rows"))
-    at = F.row_number().over(Window.orderBy(F.col(source).asc_nulls_last())) - 1
+    numbered = number_rows(totals, [F.col(source).asc_nulls_last()], "nth").rows
     cycle = F.array(*[F.lit(float(w)) for w in weights])
-    cap = (F.lit(max_copies) * F.col("source_size")).cast("double")
-    by_ratio = Window.orderBy("ratio", "nth")
-    whole = Window.partitionBy()
-    return (
-        totals.withColumn("nth", at)
-        .withColumn("weight", F.get(cycle, (F.col("nth") % len(weights)).cast("int")))
-        .withColumn("cap", cap)
-        .withColumn("ratio", F.col("cap") / F.col("weight"))
-        .withColumn("capped_before", F.sum("cap").over(by_ratio) - F.col("cap"))
-        .withColumn("weight_left", F.sum("weight").over(by_ratio.rowsBetween(0, Window.unboundedFollowing)))
-        .withColumn("level", (F.sum("source_size").over(whole) - F.col("capped_before")) / F.col("weight_left"))
-        .withColumn("open", F.col("ratio") >= F.col("level"))
-        .withColumn("level", F.min_by(F.when(F.col("open"), F.col("level")), F.when(F.col("open"), F.col("ratio"))).over(whole))
-        .withColumn("target", F.least(F.col("cap"), F.coalesce(F.col("level") * F.col("weight"), F.col("cap"))))
-        .select(source, "source_size", "source_rows", "target")
+    weighed = numbered.withColumn("weight", F.get(cycle, (F.col("nth") % len(weights)).cast("int")))
+    weighed = materialize(weighed.withColumn("cap", (F.lit(max_copies) * F.col("source_size")).cast("double")), "mix-sources")
+    level, open_sources = 0.0, None
+    while True:
+        # sources that the level of the round before leaves below their cap share what the others cannot take
+        above = F.col("weight") * level >= F.col("cap") if open_sources is not None else F.lit(False)
+        now = weighed.agg(
+            F.sum("source_size").alias("size"),
+            F.sum(F.when(above, F.col("cap"))).alias("capped"),
+            F.sum(F.when(~above, F.col("weight"))).alias("weight"),
+            F.count_if(~above).alias("open"),
+        ).first()
+        if now["open"] in (0, open_sources):
+            break
+        level, open_sources = (now["size"] - (now["capped"] or 0.0)) / now["weight"], now["open"]
+    target = F.least(F.col("cap"), F.col("weight") * level)
+    return weighed.select(source, "source_size", "source_rows", target.alias("target"))
+
+
+def _of_source(source: str) -> Column:
+    """A source's name that is never null and can be joined."""
+    return F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit(""))
+
+
+def inclusion_rates(sizes: DataFrame, targets: DataFrame, size: str) -> DataFrame:
+    """(__of, source_size, target, __whole, __rate, __draws, __wanted): how the rows of each source are to be drawn.
+
+    Every row has ``__whole`` copies for certain. The words still missing are expected from one copy more with
+    probability min(1, rate * size ^ POWER); the rate follows from the number of rows of each size. ``__draws`` is
+    the size of the sample.
+    """
+    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size") + _EPSILON)).otherwise(0)
+    sources = targets.withColumn("__whole", whole.cast("long"))
+    rest = F.greatest(F.col("target") - F.col("__whole") * F.col("source_size"), F.lit(0.0))
+    sources = sources.withColumn("__wanted", rest)
+    # a row per source and size: a window holds the different sizes of a source
+    classes = materialize(sizes.filter(F.col(size) > 0).groupBy("__of", size).agg(F.count("*").alias("__n")), "mix-sizes-of")
+    classes = lookup_join(classes, sources.select("__of", "__wanted"), "__of", how="inner")
+    down = Window.partitionBy("__of").orderBy(F.desc(size))
+    words = (F.col(size) * F.col("__n")).cast("double")
+    larger = F.coalesce(F.sum(words).over(down.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    scaled = F.sum(F.pow(size, F.lit(1 + POWER)) * F.col("__n")).over(down.rowsBetween(0, Window.unboundedFollowing))
+    # all larger sizes certain: the first size for which that leaves a chance below one
+    rate = (F.col("__wanted") - larger) / scaled
+    tried = classes.withColumn("__rate", rate).withColumn("__fits", F.col("__rate") * F.pow(size, F.lit(POWER)) <= 1 + _EPSILON)
+    first = tried.filter("__fits").groupBy("__of").agg(F.greatest(F.max_by("__rate", size), F.lit(0.0)).alias("__rate"))
+    rated = lookup_join(classes, materialize(first, "mix-rates"), "__of", how="inner")
+    draws = rated.groupBy("__of").agg(
+        F.max("__rate").alias("__rate"), F.round(F.sum(_chance(size) * F.col("__n"))).cast("long").alias("__draws")
     )
+    sources = lookup_join(sources, materialize(draws, "mix-draws"), "__of")
+    return materialize(sources.na.fill(0, ["__rate", "__draws"]), "mix-targets")
+
+
+def _chance(size: str) -> Column:
+    """Probability of one copy more, 1 for certain ones."""
+    chance = F.when(F.col(size) > 0, F.col("__rate") * F.pow(size, F.lit(POWER))).otherwise(0.0)
+    return F.when(chance >= 1 - _EPSILON, 1.0).when(chance <= _EPSILON, 0.0).otherwise(chance)
+
+
+def _with_random(sized: DataFrame, columns: list[str], seed: int) -> DataFrame:
+    """``sized`` with ``__u`` between 0 and 1, drawn from a row's values, and where rows are equal from its place too."""
+    sized = sized.withColumn("__ident", F.xxhash64(*columns, F.lit(seed)))
+    sized = materialize(sized.withColumn("__row", F.monotonically_increasing_id()), "mix-sizes")
+    equal = sized.groupBy("__ident").count().filter("count > 1").select("__ident", F.lit(True).alias("__equal"))
+    equal = materialize(equal, "mix-equal-rows")
+    if equal.isEmpty():
+        sized = sized.withColumn("__equal", F.lit(False))
+    else:
+        sized = lookup_join(sized, equal, "__ident")
+    random = F.when(F.col("__equal"), F.xxhash64("__ident", "__row")).otherwise(F.xxhash64("__ident"))
+    # 53 random bits, never 0 or 1
+    u = (F.shiftrightunsigned(random, 11).cast("double") + 0.5) / float(1 << 53)
+    return sized.withColumn("__u", u).drop("__equal")
 
 
-def _gaps(placed: DataFrame, size: str) -> DataFrame:
-    """What is missing in each source, and the median size of its rows as ``__typical``."""
+def _ranked(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``__nth``, their place from 1 within their source by ``__rank``, NULL last.
+
+    One range partitioning over all sources, so a source of any size is spread; sums of rows link its parts.
+    """
+    order = ["__of", F.col("__rank").asc_nulls_last(), "__ident", "__row"]
+    parts = rows.repartitionByRange(*order).withColumn("__part", F.spark_partition_id())
+    parts = materialize(parts, "mix-parts")
+    totals = parts.groupBy("__of", "__part").agg(F.count("*").alias("__n"))
+    before = Window.partitionBy("__of").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    # a row per source and partition
+    starts = totals.select("__of", "__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    within = Window.partitionBy("__of", "__part").orderBy(*order[1:])
+    placed = parts.withColumn("__nth", F.row_number().over(within)).join(starts, ["__of", "__part"])
+    return placed.withColumn("__nth", F.col("__nth") + F.col("__start")).drop("__part", "__start")
+
+
+def _gaps(ranked: DataFrame, size: str) -> DataFrame:
+    """(__of, __gap, __typical): words a source is short of, negative if it has too many, and its median size."""
     drawn = F.sum(F.when(F.col("__drawn"), F.col(size)).otherwise(0))
-    gaps = placed.groupBy(F.col("__of").alias("__gap_of")).agg(
-        (F.first("__wanted") - drawn).alias("__gap"), F.percentile_approx(size, 0.5).alias("__typical")
+    return materialize(
+        ranked.groupBy("__of").agg((F.max("__wanted") - drawn).alias("__gap"), F.percentile_approx(size, 0.5).alias("__typical")),
+        "mix-gaps",
     )
-    return materialize(gaps, "mix-gaps")
 
 
-def _drawn(placed: DataFrame, size: str) -> tuple[DataFrame, DataFrame]:
-    """``placed`` with the rows marked that are drawn, and what is then missing in each source.
+def _changes(ranked: DataFrame, size: str) -> DataFrame:
+    """(__row): rows around the end of the sample that change sides, so that its words meet the target.
 
-    A pass goes through the rows of a source that are no larger than what is missing, in order, and draws them up
-    to the first that does not fit in any more. Every pass draws a row at least where there is one, and passes
-    end when no row fits or less than a typical size is missing.
+    Where words are missing, rows that follow the sample in order come in; where there are too many, its last ones go. Rows
+    larger than what is to be changed are passed over. A pass takes rows up to the first that does not fit
+    in any more, and goes on with what still fits; passes end when none does, or less than a median size is left.
+    One more row, whose size comes closest to that, is the last.
     """
-    gaps = _gaps(placed, size)
-    in_slice = Window.partitionBy("__of", "__slice").orderBy("__nth").rowsBetween(Window.unboundedPreceding, 0)
-    in_source = Window.partitionBy("__of").orderBy("__slice")
-    first = True
+    gaps = _gaps(ranked, size)
+    side = lookup_join(ranked.filter("0 < __chance AND __chance < 1"), gaps, "__of", how="inner")
+    wrong = (F.col("__gap") > 0) != F.col("__drawn")
+    step = F.when(F.col("__gap") > 0, F.col("__nth") - F.col("__draws")).otherwise(F.col("__draws") - F.col("__nth") + 1)
+    pending = side.filter(wrong).select("__of", "__row", size, step.alias("__step"), F.abs("__gap").alias("__gap"), "__typical")
+    side = materialize(pending, "mix-side")
+    moved, pending, block = [], side.filter(F.col(size) <= F.col("__gap")), F.expr(f"__step div {ROWS_PER_WINDOW}")
     while True:
-        # only the first pass draws rows without words, and where no more than a typical size is wanted
-        enough = F.lit(True) if first else (F.col("__gap") > F.col("__typical")) & (F.col(size) > 0)
-        fits = ~F.col("__drawn") & (F.col("__gap") > 0) & (F.col(size) <= F.col("__gap")) & enough
-        tried = placed.join(F.broadcast(gaps), F.col("__of").eqNullSafe(F.col("__gap_of"))).withColumn("__tried", fits)
-        if tried.filter("__tried").isEmpty():
-            return placed, gaps
-        tried = tried.withColumn("__counted", F.when(F.col("__tried"), F.col(size)).otherwise(0))
-        slices = tried.groupBy("__of", "__slice").agg(F.sum("__counted").alias("__words"))
-        starts = slices.select(
-            F.col("__of").alias("__slice_of"),
-            F.col("__slice").alias("__slice_at"),
-            (F.sum("__words").over(in_source) - F.col("__words")).alias("__start"),
+        pending = materialize(pending.withColumn("__block", block), "mix-pending")
+        if pending.isEmpty():
+            break
+        blocks = pending.groupBy("__of", "__block").agg(F.sum(size).alias("__words"))
+        before = Window.partitionBy("__of").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+        starts = blocks.select("__of", "__block", F.coalesce(F.sum("__words").over(before), F.lit(0)).alias("__start"))
+        within = Window.partitionBy("__of", "__block").orderBy("__step").rowsBetween(Window.unboundedPreceding, 0)
+        summed = pending.withColumn("__end", F.sum(size).over(within)).join(starts, ["__of", "__block"])
+        marked = materialize(
+            summed.withColumn("__moves", F.col("__start") + F.col("__end") <= F.col("__gap")).drop("__start", "__end"), "mix-marked"
         )
-        end = F.col("__start") + F.col("__end")
-        placed = (
-            tried.withColumn("__end", F.sum("__counted").over(in_slice))
-            .join(starts, F.col("__of").eqNullSafe(F.col("__slice_of")) & (F.col("__slice") == F.col("__slice_at")))
-            .withColumn("__drawn", F.col("__drawn") | (F.col("__tried") & (end <= F.col("__gap"))))
-            .select(*placed.columns)
-        )
-        placed = materialize(placed, "mix-drawn")
-        gaps, first = _gaps(placed, size), False
+        moved.append(marked.filter("__moves").select("__of", "__row", size))
+        used = marked.groupBy("__of").agg((F.max("__gap") - F.sum(F.when(F.col("__moves"), F.col(size)).otherwise(0))).alias("__left"))
+        rest = lookup_join(marked.filter(~F.col("__moves")).drop("__moves", "__block"), materialize(used, "mix-left"), "__of", how="inner")
+        rest = rest.withColumn("__gap", F.col("__left")).drop("__left")
+        pending = rest.filter((F.col(size) <= F.col("__gap")) & (F.col("__gap") > F.col("__typical")))
+    if not moved:
+        return _closest(side, size).select("__row")
+    rows = moved[0]
+    for more in moved[1:]:
+        rows = rows.union(more)
+    rows = materialize(rows, "mix-moved")
+    sums = materialize(rows.groupBy("__of").agg(F.sum(size).alias("__moved")), "mix-moved-words")
+    left = lookup_join(side, rows.select("__row"), "__row", how="left_anti")
+    left = lookup_join(left, sums, "__of").withColumn("__gap", F.col("__gap") - F.coalesce("__moved", F.lit(0))).drop("__moved")
+    return rows.select("__row").union(_closest(left, size).select("__row"))
+
+
+def _closest(side: DataFrame, size: str) -> DataFrame:
+    """The row of each source whose change leaves it closest to its target, if that is closer than without."""
+    miss = F.abs(F.col("__gap") - F.col(size))
+    best = side.filter(miss < F.col("__gap")).groupBy("__of").agg(F.min(F.struct(miss.alias("miss"), "__step", "__row")).alias("best"))
+    return best.select(F.col("best.__row").alias("__row"))
 
 
 def pareto_mix(
@@ -98,84 +192,42 @@ def pareto_mix(
     weights: tuple[float, ...] = (5, 2, 1),
     max_copies: int = 3,
     seed: int = 17,
+    drawn_from: tuple[str, ...] | None = None,
 ) -> DataFrame:
     """``docs`` with ``source_size``, ``target``, ``copies`` and ``taken`` (size times copies) per row.
 
-    A source's target over its size is the expected number of copies of each of its rows. The whole part
-    is certain. For the rest every row has the fractional part p as inclusion probability; rows are
-    ranked by the random odds u/(1-u) divided by the inclusion odds p/(1-p), smallest first, and taken
-    while they fit into the source's remaining words. Rows larger than what is still missing are then set
-    aside, and the drawing goes on down the order with the others until no row fits or less than the
-    source's median size is missing; one more row, whose size comes closest to that, takes the last place.
-    Where p is above a half, the rows not taken are drawn so, from the other end of the order: a row that is
-    too large to be left out is then taken.
-    As p is the same for all rows of a source, the ranking is that of u. u is a hash of key and seed, so
-    reruns agree.
-
-    A source is ranked in as many windows as its rows need: within a source the rank grows with u, so
-    windows are equal slices of u and a running sum of the slices' totals links them. Only key, source
-    and size move; no task sees a whole source.
-
-    Null sources form one source, the last; null sizes count as 0 and are never taken more than their 0
-    words. Repeated keys rank alike and are told apart by size. Empty input gives no rows. Columns of
-    ``docs`` named like an added column are an error; others pass through.
+    Every row of a source is taken as often as its size goes into the target, for certain. What is then missing
+    comes from one copy more of some rows: with inclusion probability p = min(1, rate * size ^ POWER), the
+    rate such that the expected words are those missing. Rows with p = 1 are certain; the others are ranked by the
+    random odds u/(1-u) divided by the inclusion odds p/(1-p), and the smallest ranks are taken, a fixed number: the sum of
+    all p. Rows around the end of that sample then change sides until its words meet the target too, to about the size of a
+    row. u is a hash of the row's values (of the columns ``drawn_from``, else of all) and the seed, so reruns agree; rows that
+    are equal in these draw by their place as well.
+
+    Null sources form one source, the last; null sizes count as 0, and rows without words are never taken. Repeated keys are rows
+    of their own. Empty input gives no rows. Columns of ``docs`` named like an added column are an error; others pass through.
     """
     added = {"source_size", "target", "copies", "taken"} & set(docs.columns)
     if added:
         raise ValueError(f"columns {sorted(added)} would be overwritten")
-    sized = docs.withColumn(size, F.coalesce(F.col(size), F.lit(0)).cast("long"))
-    sized = materialize(sized, "mix-sizes")
-    targets = materialize(source_targets(sized, source, size, list(weights), max_copies), "mix-targets")
-
-    # 53 random bits, never 0 or 1
-    bits = F.shiftrightunsigned(F.xxhash64(F.col(key), F.lit(seed)), 11)
-    u = (bits.cast("double") + 0.5) / float(1 << 53)
-    whole = F.floor(F.col("target") / F.col("source_size"))
-    expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    p = F.col("__expected") - F.col("__whole")
-    windows = F.ceil(F.col("source_rows") / ROWS_PER_WINDOW)
-
-    ranked = (
-        sized.withColumn("__source", F.col(source))
-        .join(F.broadcast(targets.withColumnRenamed(source, "__of")), F.col("__source").eqNullSafe(F.col("__of")))
-        .withColumn("__expected", expected)
-        .withColumn("__whole", F.when(F.col("source_size") > 0, whole).otherwise(F.lit(0)).cast("long"))
-        .withColumn("__flipped", p > 0.5)
-        .withColumn("__u", F.when(F.col("__flipped"), 1 - u).otherwise(u))
-        .withColumn("__odds", F.when(F.col("__flipped"), p / (1 - p)).when(p > 0, (1 - p) / p))
-        .withColumn("__rank", F.col("__u") / (1 - F.col("__u")) * F.col("__odds"))
-        .withColumn("__slice", F.floor(F.col("__u") * windows).cast("long"))
-    )
-    in_slice = Window.partitionBy("__of", "__slice").orderBy("__rank", key, size)
-    # words to draw: of the rows taken once more, or of those that are not
-    over = F.col("target") - F.col("__whole") * F.col("source_size")
-    wanted = F.when(F.col("__flipped"), F.col("source_size") - over).when(p > 0, over).otherwise(0.0)
-    placed = (
-        ranked.withColumn("__nth", F.row_number().over(in_slice))
-        .withColumn("__wanted", wanted)
-        .withColumn("__drawn", F.lit(False))
-        .select(
-            *docs.columns, "source_size", "target", "__of", "__slice", "__nth", "__whole", "__flipped", "__wanted", "__drawn"
-        )
-    )
-    placed = materialize(placed, "mix-ranked")
-    placed, gaps = _drawn(placed, size)
-
-    # the last place of a source: the row left over whose size comes closest to what is missing
-    miss = F.abs(F.col("__gap") - F.col(size))
-    last = (
-        placed.filter(~F.col("__drawn"))
-        .join(F.broadcast(gaps), F.col("__of").eqNullSafe(F.col("__gap_of")))
-        .filter(miss < F.col("__gap"))
-        .groupBy("__of")
-        .agg(F.min(F.struct(miss.alias("miss"), "__slice", "__nth")).alias("__last"))
-        .withColumnRenamed("__of", "__last_of")
-    )
-    is_last = (F.col("__slice") == F.col("__last.__slice")) & (F.col("__nth") == F.col("__last.__nth"))
-    extra = (F.col("__drawn") | F.coalesce(is_last, F.lit(False))) != F.col("__flipped")
-    return (
-        placed.join(F.broadcast(last), F.col("__of").eqNullSafe(F.col("__last_of")), "left")
-        .withColumn("copies", F.col("__whole") + F.when(extra, 1).otherwise(0))
-        .withColumn("taken", F.col("copies") * F.col(size))
-        .select(*docs.columns, "source_size", "target", "copies", "taken")
-    )
+    sized = docs.withColumn(size, F.coalesce(F.col(size), F.lit(0)).cast("long")).withColumn("__of", _of_source(source))
+    sized = _with_random(sized, [*(drawn_from or docs.columns)], seed)
+    targets = source_targets(sized, source, size, list(weights), max_copies).withColumn("__of", _of_source(source))
+    sources = inclusion_rates(sized, targets.drop(source), size)
+
+    rows = lookup_join(sized, sources, "__of", how="inner").withColumn("__chance", _chance(size))
+    odds = F.col("__chance") / (1 - F.col("__chance"))
+    uncertain = (F.col("__chance") > 0) & (F.col("__chance") < 1)
+    rank = F.when(F.col("__chance") == 1, -1.0).when(uncertain, F.col("__u") / (1 - F.col("__u")) / odds)
+    ranked = _ranked(rows.withColumn("__rank", rank).select(
+        *docs.columns, "source_size", "target", "__of", "__whole", "__wanted", "__draws", "__chance", "__rank", "__ident", "__row"
+    ))
+    drawn = (F.col("__chance") > 0) & ((F.col("__nth") <= F.col("__draws")) | (F.col("__chance") == 1))
+    ranked = materialize(ranked.withColumn("__drawn", drawn), "mix-ranked")
+
+    changed = materialize(_changes(ranked, size).withColumn("__changed", F.lit(True)), "mix-changes")
+    mixed = lookup_join(ranked, changed, "__row")
+    extra = F.col("__drawn") != F.coalesce("__changed", F.lit(False))
+    return mixed.withColumn("copies", F.col("__whole") + extra.cast("long")).withColumn(
+        "taken", F.col("copies") * F.col(size)
+    ).select(*docs.columns, "source_size", "target", "copies", "taken")
