@@ -67,3 +67,14 @@ def test_query_checksums(spark):
     texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
     for r in QUERIES["op5_sharding"](spark, SF_DIR).collect():
         assert r.text_crc32 == zlib.crc32(texts[r.doc_id].encode())
+
+
+def test_a_third_of_all_rows_under_one_key(spark):
+    """Rows of one key and size are split over ranges, and different partitionings give the same shards."""
+    data = [(None if i % 3 == 0 else i, 10, i) for i in range(900)]
+    docs = spark.createDataFrame(data, "doc_id long, size long, text_crc32 long")
+    runs = [{tuple(r) for r in s.assign_shards(d, ["doc_id"], "size").collect()} for d in (docs, docs.repartition(5, "text_crc32"))]
+    assert runs[0] == runs[1] and len(runs[0]) == 900
+    shards = [r[3] for r in runs[0]]
+    assert {shards.count(n) for n in range(16)} <= {56, 57}
+    assert len({r[3] for r in runs[0] if r[0] is None}) >= 5

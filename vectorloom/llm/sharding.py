@@ -23,15 +23,18 @@ def assign_shards(docs: DataFrame, order_by: list[str], size: str, n_shards: int
     the total cut at n equal targets, a row goes to the shard that holds its middle byte, so a shard
     is off its target by at most one row. ``slot`` numbers a shard's rows from 0 without gaps.
 
-    Rows equal in ``order_by`` are ordered by size and are interchangeable beyond that. Null keys come
-    first. A null size counts as 0. Empty input gives no rows; with fewer rows than shards some shards
+    Rows equal in ``order_by`` are ordered by size, then by a hash of all columns, so reruns agree; equal rows are
+    interchangeable and may lie in several partitions. Null keys come first. A null size counts as 0. Empty input gives no rows; with fewer rows than shards some shards
     stay empty. Columns of ``docs`` named shard or slot are an error; others pass through.
     """
     clash = {"shard", "slot"} & set(docs.columns)
     if clash:
         raise ValueError(f"columns {sorted(clash)} would be overwritten")
-    order = [*order_by, size]
-    docs = materialize(docs.withColumn(size, F.coalesce(F.col(size), F.lit(0)).cast("long")), "shard-sizes")
+    order = [*order_by, size, "__hash", "__id"]
+    docs = docs.withColumn(size, F.coalesce(F.col(size), F.lit(0)).cast("long"))
+    names = docs.columns
+    docs = docs.withColumn("__hash", F.xxhash64(*names)).withColumn("__id", F.monotonically_increasing_id())
+    docs = materialize(docs, "shard-sizes")
     placed = materialize(docs.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()), "shard-ranges")
 
     totals = placed.groupBy("__part").agg(F.count("*").alias("__n"), F.sum(size).alias("__bytes"))
@@ -59,7 +62,7 @@ def assign_shards(docs: DataFrame, order_by: list[str], size: str, n_shards: int
     return (
         numbered.join(F.broadcast(first), "shard")
         .withColumn("slot", F.col("__row") - F.col("__first"))
-        .select(*docs.columns, "shard", "slot")
+        .select(*names, "shard", "slot")
     )
 
 
