@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from helpers import words
 
 from vectorloom.llm import fingerprints as f
@@ -98,3 +99,11 @@ def test_single_row_and_empty_table(make_docs):
     assert study(one) == expected([(7, words(30))])
     assert f.edit_study(one.filter("doc_id < 0")).collect() == []
     assert f.fingerprints(one).first().fingerprint == expected([(7, words(30))])[0][3]
+
+
+@pytest.mark.parametrize("key", [None, 5])
+def test_a_third_of_all_rows_under_one_key(make_docs, monkeypatch, key):
+    """Rows of one key lie in many ranges, each with the text that follows."""
+    monkeypatch.setattr(f, "GROUP_BYTES", 400)
+    rows = [(key if i % 3 == 0 else i, f"{i * 7919 % 1000:03} " + words(i % 9, i)) for i in range(240)]
+    assert sorted(study(make_docs(*rows).repartition(3)), key=str) == sorted(expected(rows), key=str)

@@ -104,7 +104,8 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - n] + following[:n]
 
 
-_DOC = pa.schema([("key", pa.int64()), ("text", pa.string()), ("guest", pa.bool_())])
+_DOC = pa.schema([("key", pa.int64()), ("start", pa.binary()), ("text", pa.string()), ("guest", pa.bool_())])
+_PLACE = np.dtype([("down", "<i8"), ("start", "S16")])
 _STUDY = (
     "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, "
     "near_next double"
@@ -118,26 +119,29 @@ def edit_study(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     to their range once, and the head of a range also to the range before it, so that every text meets
     the one that follows.
 
-    A null text is empty, a null key comes last and stays null. Rows that share a key are ordered by text.
+    A null text is empty, a null key comes last and stays null. Rows that share a key are ordered by text, and
+    ranges split them where their first 16 bytes differ.
     A single row follows itself. Extra columns are left out. Empty input gives no rows.
     """
     docs = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    docs = docs.select(F.coalesce("key", F.lit(int(_FIRST_KEY))).alias("key"), F.substring(F.col("text").cast("binary"), 1, 16).alias("start"), "text")
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(MIN_GROUPS, total // GROUP_BYTES)
-    ranked = docs.select(F.coalesce("key", F.lit(int(_FIRST_KEY))).alias("key"))
-    ranged = ranked.repartitionByRange(n, F.col("key").desc()).groupBy(F.spark_partition_id()).agg(F.max("key").alias("head"))
-    # one key per range, largest first
-    heads = np.array(sorted((r["head"] for r in ranged.collect()), reverse=True), np.int64)
+    place = F.struct((-1 - F.col("key")).alias("down"), "start")
+    ranged = docs.select(place.alias("place")).repartitionByRange(n, "place").groupBy(F.spark_partition_id()).agg(F.min("place").alias("head"))
+    # one place per range, in order; the key counts down
+    heads = np.unique(np.array([(r["head"]["down"], bytes(r["head"]["start"])) for r in ranged.collect()], _PLACE))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = batch.column(0).fill_null(int(_FIRST_KEY))
-            # the last head that is not below the key
-            own = len(heads) - 1 - np.searchsorted(heads[::-1], keys.to_numpy(), "left")
-            guests = np.flatnonzero(heads[own] == keys.to_numpy())
+            places = np.empty(batch.num_rows, _PLACE)
+            places["down"], places["start"] = -1 - batch.column(0).to_numpy(), batch.column(1).to_pylist()
+            # the last head that is not behind the row
+            own = np.searchsorted(heads, places, "right") - 1
+            guests = np.flatnonzero(heads[own] == places)
             before = (own[guests] - 1) % len(heads)
-            rows = pa.Table.from_arrays([keys, batch.column(1), pa.array(np.zeros(len(keys), bool))], schema=_DOC)
-            again = rows.take(pa.array(guests)).set_column(2, "guest", pa.array(np.ones(len(guests), bool)))
+            rows = pa.Table.from_arrays([*batch.columns, pa.array(np.zeros(batch.num_rows, bool))], schema=_DOC)
+            again = rows.take(pa.array(guests)).set_column(3, "guest", pa.array(np.ones(len(guests), bool)))
             both = pa.concat_tables([rows, again]).combine_chunks()
             if both.num_rows:
                 yield from split_by(np.concatenate([own, before]), both).to_batches()
@@ -165,4 +169,6 @@ def edit_study(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
             }
         )
 
-    return docs.mapInArrow(deal, BLOCKS).groupBy("bucket").applyInArrow(study, f"`{key}` long, {_STUDY}")
+    # few groups to a task, whatever the session's number of partitions
+    dealt = docs.mapInArrow(deal, BLOCKS).repartition(max(1, n // 2), "bucket")
+    return dealt.groupBy("bucket").applyInArrow(study, f"`{key}` long, {_STUDY}")
