@@ -17,6 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vectorloom.operators.lookup import lookup_join
 from vectorloom.session import materialize, scratch_path
 
 # Payloads below this many bytes are stored in full each time.
@@ -41,7 +42,7 @@ def with_record_types(pages: DataFrame) -> DataFrame:
     """``pages`` (page_id, url, html) with payload size, digest, record type and the response referred to.
 
     Of pages with equal payloads of at least 100 bytes the smallest page_id is the response and the
-    others revisit it. Only digests that occur twice or more are joined back.
+    others revisit it. Only digests that occur twice or more are joined back, hot ones without a shuffle.
     """
     sized = pages.select(
         "page_id",
@@ -60,8 +61,9 @@ def with_record_types(pages: DataFrame) -> DataFrame:
         .select("payload_digest", "first_page")
     )
     is_revisit = F.col("page_id") > F.col("first_page")
+    # one page repeated, or all empty ones, may be most of the table: their rows stay where they are
     return (
-        sized.join(repeated, "payload_digest", "left")
+        lookup_join(sized, materialize(repeated, "warc-repeated"), "payload_digest")
         .withColumn("record_type", F.when(is_revisit, "revisit").otherwise("response"))
         .withColumn("refers_to", F.when(is_revisit, F.col("first_page")))
         .drop("first_page")
