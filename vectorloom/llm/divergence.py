@@ -34,6 +34,9 @@ MIN_DOCS, SMOOTHING, UNIT, TOP_TERMS = 30, 5, 1_000_000_000, 50
 # Groups and cells of a block, cells of a group in a slice of terms.
 GROUPS, CELLS = 256, 1 << 21
 
+# Text whose terms are counted at once: the larger, the fewer cells move.
+PASS_BYTES = 4 << 20
+
 # Terms are runs of ASCII letters and everything beyond ASCII.
 _IN_TERM = np.zeros(256, bool)
 _IN_TERM[0x80:] = True
@@ -66,7 +69,7 @@ def term_cells(docs: DataFrame, text: str, lang: str, source: str) -> DataFrame:
             present = groups.group_by(["lang", "source"], use_threads=False).aggregate([([], "count_all")])
             of_row = _codes(groups, present)
             yield _cells(present, np.arange(len(present)), pa.nulls(len(present), pa.string()), present["count_all"], present["count_all"])
-            for first, data, offsets in text_passes(batch.column(2)):
+            for first, data, offsets in text_passes(batch.column(2), PASS_BYTES):
                 terms, n_terms = _terms(LOWER[data], offsets)
                 if not len(terms):
                     continue
