@@ -153,3 +153,34 @@ def test_awkward_rows(awkward):
 def test_empty_table(make_docs, spark):
     empty = make_docs((1, "x")).filter("doc_id < 0")
     assert j.ngram_jaccard_join(empty).collect() == []
+
+
+def links_by_hand(rows, rule=j.Rule()):
+    sets = list(j.word_sets([(t or "").encode() for _, t in rows], rule.n))
+    linked = [[bool(a) and k != i and 100 * len(a & b) >= rule.percent * len(a | b) for k, b in enumerate(sets)] for i, a in enumerate(sets)]
+    component = list(range(len(rows)))
+    for _ in rows:
+        component = [min([component[i], *[component[k] for k, x in enumerate(linked[i]) if x]]) for i in range(len(rows))]
+    keys = {}
+    for i, (key, _) in enumerate(rows):
+        keys.setdefault(component[i], []).append(key)
+    first = [min((k for k in keys[c] if k is not None), default=None) for c in component]
+    return sorted((str(key), len(sets[i]), str(first[i] if sets[i] else key), sum(linked[i])) for i, (key, _) in enumerate(rows))
+
+
+def test_rows_without_a_key_have_links(make_docs):
+    """Sets that only rows without a key hold are linked, and link what stands on either side of them."""
+    base = words(60).split()
+
+    def copy(*places):
+        return " ".join(f"x{i}" if i in places else w for i, w in enumerate(base))
+
+    rows = [(1, copy(5)), (None, copy(5, 30)), (None, copy(30, 31)), (3, copy(30, 31, 55)), (None, words(30, 7)), (None, words(30, 7)), (None, "")]
+    got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id), r.n_links) for r in j.ngram_jaccard_join(make_docs(*rows)).collect())
+    assert got == links_by_hand(rows)
+
+
+def test_a_third_of_all_rows_under_one_key(make_docs, near_copies):
+    rows = [(None if i % 3 == 0 else key, text) for i, (key, text) in enumerate(near_copies[:120])] + [(None, words(40, 5_000))] * 40
+    got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id), r.n_links) for r in j.ngram_jaccard_join(make_docs(*rows)).collect())
+    assert got == links_by_hand(rows)

@@ -14,7 +14,7 @@ def test_stages():
         "quality_classifier", "ngram_join", "suffix_dedup", "mixing", "packing",
     ]
     assert set(ORACLES) <= set(QUERIES) and sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0]))[0].startswith("op1_")
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
 
 
 def test_near_copies_leave_one(spark, make_docs):

@@ -151,3 +151,80 @@ def test_scorer_does_not_depend_on_neighbours():
 def test_one_class_only(target):
     scorer = c.fit_scorer(np.array([0, 1]), np.array([3, 4]), np.array([1.0, 1.0]), np.full(2, target))
     assert np.isfinite(scorer.weights).all()
+
+
+def patterns_drawn(n, seed=4):
+    """Votes of noisy voters on texts of which a fifth are bad."""
+    rng = random.Random(seed)
+    out = []
+    for _ in range(n):
+        bad = rng.random() < 0.2
+        votes = [rng.choices((bad, not bad, 2), (6, 1, 2 + i % 3))[0] for i in range(len(c.VOTERS))]
+        out.append(sum(int(v) * 3**i for i, v in enumerate(votes)))
+    return out
+
+
+def test_label_model_equals_a_loop_over_texts():
+    """Expectation and maximisation text by text and vote by vote give the posteriors of the counts of patterns."""
+    import math
+
+    texts = patterns_drawn(300)
+    votes = [[p // 3**i % 3 for i in range(len(c.VOTERS))] for p in texts]
+    bad = [0.9 if c.BAD in v else 0.1 for v in votes]
+    for _ in range(50):
+        weight = {c.GOOD: [1 - b for b in bad], c.BAD: bad}
+        says = {}
+        for i in range(len(c.VOTERS)):
+            for kind in (c.GOOD, c.BAD):
+                sums = [0.5 + sum(w for w, v in zip(weight[kind], votes) if v[i] == vote) for vote in range(3)]
+                for vote in range(3):
+                    says[i, kind, vote] = sums[vote] / sum(sums)
+        prior = (sum(bad) + 0.5) / (len(bad) + 1)
+        odds = [
+            math.log(prior / (1 - prior)) + sum(math.log(says[i, c.BAD, x] / says[i, c.GOOD, x]) for i, x in enumerate(v)) for v in votes
+        ]
+        bad = [1 / (1 + math.exp(-o)) for o in odds]
+    counted = Counter(texts)
+    model = c.fit_label_model(np.array(list(counted)), np.array(list(counted.values())))
+    assert model.posterior_good(np.array(texts)).tolist() == pytest.approx([1 - b for b in bad], abs=1e-9)
+    assert model.prior == pytest.approx(prior)
+
+
+def test_scorer_equals_a_dense_loop(monkeypatch):
+    """The fit on sparse shares equals the same steps on whole vectors, one document and one feature at a time."""
+    import math
+
+    monkeypatch.setattr(c, "DIMENSIONS", 7)
+    rng = random.Random(2)
+    documents = [[rng.choice([0, 0, rng.random()]) for _ in range(7)] for _ in range(12)]
+    target = [rng.random() for _ in documents]
+    weights, bias, square, square_bias = [0.0] * 7, 0.0, [1e-12] * 7, 1e-12
+    for _ in range(20):
+        miss = []
+        for x, t in zip(documents, target):
+            odds = bias + sum(w * v for w, v in zip(weights, x))
+            miss.append((t / sum(target) + (1 - t) / (len(target) - sum(target))) * (t - 1 / (1 + math.exp(-odds))))
+        for f in range(7):
+            slope = sum(m * x[f] for m, x in zip(miss, documents)) - 1e-5 * weights[f]
+            square[f] += slope**2
+            weights[f] += 0.5 * slope / math.sqrt(square[f])
+        square_bias += sum(miss) ** 2
+        bias += 0.5 * sum(miss) / math.sqrt(square_bias)
+    at = [(i, f, v) for i, x in enumerate(documents) for f, v in enumerate(x) if v]
+    row, feature, value = (np.array(x) for x in zip(*at))
+    scorer = c.fit_scorer(row, feature, value, np.array(target), rounds=20)
+    assert scorer.weights.tolist() == pytest.approx(weights, abs=1e-5) and scorer.bias == pytest.approx(bias)
+
+
+def test_scores_equal_a_sum_over_words():
+    """A text's score follows from its own words, whatever stands next to it in a batch."""
+    rng = np.random.default_rng(1)
+    scorer = c.Scorer(rng.normal(size=c.DIMENSIONS).astype(np.float32), 0.1)
+    texts = ["a b a", "", "Same same words, 12!", "x" * 500, "é 日本\n\n z", "one"]
+    ((_, data, offsets),) = text_passes(pa.array(texts))
+    for text, score in zip(texts, scorer.scores(data, offsets).tolist()):
+        ((_, own, edges),) = text_passes(pa.array([text]))
+        numbers, _ = c.hashed_features(own, edges)
+        sums = sum(float(scorer.weights[n]) for n in numbers.ravel().tolist())
+        words = len(WORD.findall(text))
+        assert score == pytest.approx(1 / (1 + np.exp(-(0.1 + sums / words))) if words else 0.0, abs=1e-6)
