@@ -16,7 +16,8 @@ from vectorloom.llm.packing import pack_documents
 from vectorloom.llm.quality_classifier import keep_good, train_classifier
 from vectorloom.llm.suffix_dedup import remove_repeats
 from vectorloom.llm.textops import small_batches
-from vectorloom.session import materialize
+from vectorloom.operators.lookup import lookup_join
+from vectorloom.session import materialize, scratch, scratch_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 # Near copies: word 5-grams, Jaccard similarity of at least 0.8.
@@ -32,17 +33,21 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of linked rows the first by doc_id (null last) and text.
+    """Of every group of linked rows the first by doc_id (null last) and a hash of the row.
 
-    Rows are judged by their text alone: each gets a number in that order, and the join works on the numbers.
+    Rows are judged by their text alone: each gets a number, and the join works on the numbers. No text is sorted.
     """
     small_batches(spark)
-    docs = docs.select(COLUMNS).withColumn("nth", F.monotonically_increasing_id())
-    order = [F.col("doc_id").asc_nulls_last(), *[F.col(c).asc() for c in COLUMNS[1:]], F.col("nth").asc()]
-    ordered = docs.repartitionByRange(*order).sortWithinPartitions(*order)
-    rows = materialize(ordered.select(F.monotonically_increasing_id().alias("row"), *COLUMNS), "pipeline-rows")
+    rows = docs.select(COLUMNS).withColumn("row", F.monotonically_increasing_id())
+    rows = materialize(rows.withColumn("row_hash", F.xxhash64(*COLUMNS)), "pipeline-rows")
     joined = ngram_jaccard_join(rows, key="row", rule=NEAR_COPIES, count_links=False)
-    copies = materialize(joined.filter("component_id != row").select("row"), "pipeline-copies-of-rows")
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_hash", "row")
+    placed = joined.select("row", "component_id").join(rows.select("row", place.alias("place")), "row")
+    placed = materialize(placed, "pipeline-places")
+    groups = placed.groupBy("component_id").agg(F.min("place").alias("first"), F.count("*").alias("n")).filter("n > 1")
+    kept = groups.select(F.col("first.row").alias("row"))
+    members = lookup_join(placed.select("row", "component_id"), groups.select("component_id"), "component_id", how="left_semi")
+    copies = materialize(members.join(kept, "row", "left_anti").select("row"), "pipeline-copies-of-rows")
     return rows.join(copies.hint("merge"), "row", "left_anti").select(COLUMNS)
 
 
@@ -63,13 +68,12 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources brought to their weights: every document as often as the mix takes it."""
-    docs = docs.select(COLUMNS)
-    # rows that share a doc_id are rows of their own
-    key = F.xxhash64(*COLUMNS)
-    sizes = docs.select(key.alias("row_key"), "source", word_count(F.col("text")).alias("size"))
-    taken = pareto_mix(sizes, "row_key", "source", "size").filter("copies > 0")
-    copies = materialize(taken.groupBy("row_key").agg(F.max("copies").alias("copies")), "pipeline-copies")
-    repeated = docs.withColumn("row_key", key).join(copies.hint("merge"), "row_key")
+    # rows that share a doc_id are rows of their own, and so are equal rows
+    rows = materialize(docs.select(COLUMNS).withColumn("row", F.monotonically_increasing_id()), "pipeline-rows")
+    sizes = rows.select("row", F.xxhash64(*COLUMNS).alias("row_key"), "source", word_count(F.col("text")).alias("size"))
+    mixed = pareto_mix(sizes, "row", "source", "size", drawn_from=("row_key", "source", "size"))
+    copies = materialize(mixed.filter("copies > 0").select("row", "copies"), "pipeline-copies")
+    repeated = rows.join(copies.hint("merge"), "row")
     return repeated.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(COLUMNS)
 
 
@@ -94,5 +98,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = scratch_path(spark, f"pipeline-{name}")
+        # what a stage writes on its way goes once its result is written
+        with scratch(spark):
+            result = stage(spark, docs, sf_dir)
+            result.write.parquet(path)
+        docs = spark.read.schema(result.schema).parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)
