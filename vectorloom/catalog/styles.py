@@ -12,6 +12,7 @@ from vectorloom.operators import style_map as sm
 from vectorloom.operators.lookup import lookup_join
 from vectorloom.operators.numbering import number_rows
 from vectorloom.session import scratch_path
+from vectorloom.sources.bucketed import join_bucketed, save_for_joins
 
 # Keywords of p_name that leave some parts without a bucket.
 PART_BUCKETS = ("bolt", "gear", "anvil", "plate")
@@ -176,6 +177,23 @@ def join_style_text(spark, sf_dir):
     return dc.join_style_text(docs, "doc_id", rated_styles(spark, sf_dir))
 
 
+def rated_tables(spark, sf_dir):
+    """Documents and their styles, in buckets of the document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
+    styles = rated_styles(spark, sf_dir).withColumnRenamed("item_id", "doc_id")
+    return save_for_joins(docs, "doc_id", "rated_documents"), save_for_joins(styles, "doc_id", "document_styles")
+
+
+@register(
+    "d7_bucketed",
+    f"""WITH {RATED_SQL}, {RATED_IDS_SQL}
+    SELECT doc_id, lang, coalesce(d.k, -1) AS style_index, style
+    FROM documents LEFT JOIN rated USING (doc_id) LEFT JOIN d ON d.label = lower(trim(style))""",
+)
+def join_bucketed_styles(spark, sf_dir):
+    return join_bucketed(*rated_tables(spark, sf_dir), "doc_id").select("doc_id", "lang", "style_index", "style")
+
+
 def line_reviews(spark, sf_dir):
     """Lines as reviews of their part."""
     return table(spark, sf_dir, "lineitem").select(

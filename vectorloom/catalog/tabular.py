@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from vectorloom.catalog.base import register, table
 from vectorloom.functions import text as tx
 from vectorloom.operators import tabular as tb
+from vectorloom.session import materialize
 
 KEPT_TYPES = ["purchase", "signup"]
 
@@ -101,6 +102,29 @@ def transform_process(spark, sf_dir):
     return tb.transform_process(raw_events(spark, sf_dir), steps)
 
 
+@register(
+    "f8_observed_checks",
+    """SELECT 'event_type' AS column_name, 'in_set' AS rule, count(*) AS n_checked,
+           count(*) FILTER (event_type NOT IN ('view', 'click', 'purchase')) AS n_violations FROM events
+    UNION ALL SELECT 'value', 'not_nan', count(*), count(*) FILTER (isnan(value)) FROM events
+    UNION ALL SELECT 'value', 'not_infinite', count(*), count(*) FILTER (isinf(value)) FROM events
+    UNION ALL SELECT 'value', 'at_most', count(*), count(*) FILTER (value > 90) FROM events
+    UNION ALL SELECT 'code', 'is_number', count(*), count(*) FILTER (event_id % 7 = 0) FROM events
+    UNION ALL SELECT 'written', 'rows', count(*), 0 FROM events WHERE event_type IN ('purchase', 'signup')""",
+)
+def observed_checks(spark, sf_dir):
+    """Rules over all events, counted while the kept ones are written."""
+    code = F.when(F.col("event_id") % 7 == 0, F.lit("none")).otherwise(F.col("event_id").cast("string"))
+    events = table(spark, sf_dir, "events").withColumn("code", code)
+    rules = tb.closed_set("event_type", ["view", "click", "purchase"]) + tb.bounded_double("value", high=90.0)
+    rules += tb.numeric_text("code")
+    watched, observation = tb.observe_checks(events, rules)
+    kept = tb.transform_process(watched, [tb.drop_columns("props"), tb.filter_not_in_set("event_type", KEPT_TYPES)])
+    written = materialize(kept, "kept-events")
+    rows = written.agg(F.lit("written").alias("column_name"), F.lit("rows").alias("rule"), F.count("*").alias("n_checked"))
+    return tb.observed_violations(spark, observation, rules).unionByName(rows.withColumn("n_violations", F.lit(0).cast("bigint")))
+
+
 @register("f10_nonempty_text", "SELECT conv_id, turn, text FROM conversations WHERE length(text) >= 1")
 def nonempty_text(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")

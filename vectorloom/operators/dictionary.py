@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vectorloom.functions.numeric import trimmed
 from vectorloom.functions.text import nonempty_text
+from vectorloom.operators.bloom import keep_possible
 from vectorloom.operators.lookup import lookup_join
 from vectorloom.operators.numbering import number_rows, order_value
 from vectorloom.session import materialize
@@ -127,9 +128,13 @@ def join_style_text(reviews: DataFrame, key: str, item_styles: DataFrame) -> Dat
 
 
 def with_known_style(reviews: DataFrame, key: str, text: str, item_styles: DataFrame) -> DataFrame:
-    """Non-empty reviews whose item has a style, with its index."""
+    """Non-empty reviews whose item has a style, with its index.
+
+    Where the map is too large to be broadcast, reviews without a style are mostly dropped before they are shuffled.
+    """
     kept = reviews.filter(nonempty_text(F.col(text)))
-    return lookup_join(kept, _styles_by(item_styles, key, "style_index"), key, how="inner")
+    styles = _styles_by(item_styles, key, "style_index")
+    return lookup_join(keep_possible(kept, styles.select(key), key), styles, key, how="inner")
 
 
 def with_unknown_style(reviews: DataFrame, key: str, item_styles: DataFrame) -> DataFrame:

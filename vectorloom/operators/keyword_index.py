@@ -23,14 +23,8 @@ SAMPLE_ROWS = 500
 
 
 def _grams(text: Column, width: int) -> Column:
-    """Distinct grams of a text; none if it is shorter. Characters are taken once, not once per gram."""
-    characters = F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
-    grams = characters
-    for shift in range(1, width):
-        rest = F.slice(characters, shift + 1, F.greatest(F.size(characters) - shift, F.lit(0)))
-        # beyond the last gram there is nothing to append
-        grams = F.zip_with(grams, rest, lambda a, b: F.concat(a, b))
-    return F.array_distinct(F.array_compact(grams))
+    """Distinct grams of a text; none if it is shorter. At every character one looks ahead for a gram."""
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{width}}}))."), F.lit(1)))
 
 
 def keyword_table(keywords: DataFrame, keyword: str, order: str) -> DataFrame:

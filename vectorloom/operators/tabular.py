@@ -10,9 +10,13 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from vectorloom.functions import numeric as fn
+from vectorloom.plans.spec import FeatureSpec
+from vectorloom.sources.delimited import split_fields
+
 Step = Callable[[DataFrame], DataFrame]
 
 TIME_FIELDS = {
@@ -80,6 +84,17 @@ def bounded_double(column: str, low: float | None = None, high: float | None = N
     return rules
 
 
+def numeric_text(column: str) -> list[Rule]:
+    """Text that is a number once blanks are cut off; blank text is no value."""
+    c = F.col(column)
+    return [Rule(column, "is_number", ~fn.has_content(c).isNotNull() | fn.number_value(c).isNotNull())]
+
+
+def field_count(line: str, spec: FeatureSpec) -> list[Rule]:
+    """Lines that split into as many fields as the spec has columns."""
+    return [Rule(line, "field_count", F.size(split_fields(F.col(line), spec)) == len(spec.columns))]
+
+
 def typed_schema_check(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """Violations per rule, counted in one scan."""
     rows = [
@@ -96,3 +111,23 @@ def typed_schema_check(df: DataFrame, rules: list[Rule]) -> DataFrame:
 
 def violating_rows(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return df.filter(reduce(lambda a, b: a | b, [~r.holds for r in rules]))
+
+
+def observe_checks(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, Observation]:
+    """``df`` with the rules counted as its rows pass by, for whatever is made of it; see ``observed_violations``.
+
+    The counts come from the pass that writes or collects the result, so nothing is read twice. Rows that a later
+    filter drops are counted; a limit that stops early leaves rows uncounted.
+    """
+    observation = Observation()
+    counts = [F.count(r.column).alias(f"checked {i}") for i, r in enumerate(rules)]
+    counts += [F.count_if(~r.holds).alias(f"violated {i}") for i, r in enumerate(rules)]
+    return df.observe(observation, *counts), observation
+
+
+def observed_violations(spark: SparkSession, observation: Observation, rules: list[Rule]) -> DataFrame:
+    """What ``typed_schema_check`` gives, from the pass that has run; waits for it if it has not ended."""
+    # one row per rule
+    found = observation.get
+    rows = [(r.column, r.name, found[f"checked {i}"], found[f"violated {i}"]) for i, r in enumerate(rules)]
+    return spark.createDataFrame(rows, "column_name string, rule string, n_checked bigint, n_violations bigint")
