@@ -75,7 +75,38 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@register("op5_sharding")
+# CRC-32 by its table of 256 entries, one step per byte.
+CRC_SQL = """crc AS (
+        SELECT [list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+            lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) FOR i IN range(256)] AS t
+    )"""
+
+
+def crc_sql(bytes_: str) -> str:
+    """CRC-32 of a list of bytes, where the table ``t`` is at hand."""
+    return f"""xor(list_reduce(list_prepend(4294967295, {bytes_}), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])),
+            4294967295)"""
+
+
+@register(
+    "op5_sharding",
+    f"""
+    WITH {CRC_SQL}, sized AS (
+        SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size,
+            [('0x' || x)::BIGINT FOR x IN regexp_extract_all(hex(encode(coalesce(text, ''))), '..')] AS b
+        FROM documents
+    ), summed AS (
+        SELECT doc_id, size, {crc_sql("b")} AS text_crc32,
+            sum(size) OVER (ORDER BY doc_id ROWS UNBOUNDED PRECEDING) - size AS before, sum(size) OVER () AS total
+        FROM sized, crc
+    ), dealt AS (
+        SELECT *, least(15, (2 * before + size) * 16 // (2 * total))::INTEGER AS shard FROM summed
+    )
+    SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+        row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard
+    FROM dealt
+    """,
+)
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id",
@@ -148,11 +179,7 @@ def op13_kd_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "op11_resampling",
-    r"""
-    WITH crc AS (
-        SELECT [list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
-            lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) FOR i IN range(256)] AS t
-    ), texts AS (
+    "WITH " + CRC_SQL + r""", texts AS (
         SELECT 0 AS side, doc_id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark
     ), words AS (
         SELECT side, doc_id, unnest(regexp_extract_all(
@@ -166,8 +193,7 @@ def op13_kd_search(spark: SparkSession, sf_dir: str) -> DataFrame:
             FOR i IN range(len(h) // 2)] AS b
         FROM spelled
     ), hashed AS (
-        SELECT word, xor(list_reduce(list_prepend(4294967295, b), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])),
-            4294967295) % 10000 AS bucket
+        SELECT word, """ + crc_sql("b") + r""" % 10000 AS bucket
         FROM bytes, crc
     ), counted AS (
         SELECT bucket, count(*) FILTER (side = 0) AS s, count(*) FILTER (side = 1) AS t
