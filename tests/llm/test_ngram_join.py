@@ -69,10 +69,10 @@ def test_one_large_group_of_near_copies(make_docs):
     assert run(make_docs(*rows)) == brute_force(rows, j.Rule())
 
 
-def test_no_linked_pair_escapes_the_signatures():
+@pytest.mark.parametrize("rule", [j.Rule(), j.Rule(5, 80)])
+def test_no_linked_pair_escapes_the_signatures(rule):
     """Pairs right at the threshold share a signature in fitting roles, or are equal."""
     rng = np.random.default_rng(3)
-    rule = j.Rule()
     schemes = j.Schemes(rule)
     for _ in range(400):
         union = int(rng.integers(2, 900))
