@@ -36,7 +36,7 @@ MIN_BUCKETS = 64
 _ORDER_CODES = np.random.default_rng(7).integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ELEMENT = np.uint64(0xD6E8FEB86659FD93)
 # Bits of a sketch per shingle; centres tried in a group, and sets that a centre is chosen by.
-_SKETCH_BITS, _CENTRES, _COMPARED = 4, 16, 32
+_SKETCH_BITS, _CENTRES, _COMPARED = 2, 16, 32
 # Sets and shingles of a block of linked sets; columns of a matrix that counts common shingles.
 LINK_SETS, LINK_SHINGLES, _COLUMNS = 512, 1 << 19, 4_096
 # Members and shingles of a block of a group. Documents sampled, and different sets in them from which a signature is hot.
@@ -356,7 +356,7 @@ def parity_sketch(shingles: np.ndarray) -> np.ndarray:
 
 
 def _folded(sketches: list[bytes]) -> np.ndarray:
-    """Sketches as rows of one width, that of the shortest: neighbouring bits of longer ones fall together."""
+    """Sketches as rows of 64-bit words of one width, that of the shortest: neighbouring bits of longer ones fall together."""
     width = min(map(len, sketches))
     out = np.empty((len(sketches), width), np.uint8)
     for i, sketch in enumerate(sketches):
@@ -365,7 +365,7 @@ def _folded(sketches: list[bytes]) -> np.ndarray:
             bits = np.unpackbits(row)
             row = np.packbits(bits[::2] ^ bits[1::2])
         out[i] = row
-    return out
+    return out.view(np.uint64)
 
 
 def _apart(sketches: np.ndarray, one: np.ndarray) -> np.ndarray:
