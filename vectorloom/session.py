@@ -72,6 +72,19 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             delete_path(spark, path)
 
 
+@contextmanager
+def noted_scratch() -> Iterator[list[str]]:
+    """The paths of tables written to the shared folder within the block, for the caller to delete when they are read."""
+    outer, paths = _OPEN_SCRATCH.get(), []
+    token = _OPEN_SCRATCH.set(paths)
+    try:
+        yield paths
+    finally:
+        _OPEN_SCRATCH.reset(token)
+        if outer is not None:
+            outer.extend(paths)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a file or folder from whatever store the session reaches."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
