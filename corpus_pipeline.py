@@ -1,12 +1,15 @@
 """The corpus pipeline: stages over ``documents``, each written as Parquet and read again for the next.
 
 Every stage takes rows with the columns of ``documents`` and works on all of them; all but the last give
-such rows back. Rows without a doc_id, and rows that share one, are rows like any other. Joins of decisions to documents are merge joins at every
+such rows back. A stage's result has to be written before the next stage begins, which deletes the tables behind it. Rows without a doc_id, and rows that share one, are rows like any other. Joins of decisions to documents are merge joins at every
 size, so that what a stage moves stays in proportion to its input.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,13 +20,35 @@ from vectorloom.llm.quality_classifier import keep_good, train_classifier
 from vectorloom.llm.suffix_dedup import remove_repeats
 from vectorloom.llm.textops import small_batches
 from vectorloom.operators.lookup import lookup_join
-from vectorloom.session import materialize, scratch, scratch_path
+from vectorloom.session import delete_path, materialize, noted_scratch, scratch_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 # Near copies: word 5-grams, Jaccard similarity of at least 0.8.
 NEAR_COPIES = Rule(n=5, percent=80)
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+# Tables that the stage before wrote on its way to its result.
+_LEFT: list[str] = []
+
+
+def stage(function: Stage) -> Stage:
+    """A stage that begins by deleting what the one before wrote on its way: its result has been written and read again."""
+
+    @wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        for path in _LEFT:
+            delete_path(spark, path)
+        _LEFT.clear()
+        with noted_scratch() as paths:
+            try:
+                return function(spark, docs, sf_dir)
+            finally:
+                _LEFT.extend(paths)
+
+    return run_stage
+
 
+@stage
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, trained on these documents, calls good."""
     small_batches(spark)
@@ -32,6 +57,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return keep_good(docs, scorer)
 
 
+@stage
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every group of linked rows the first by doc_id (null last) and a hash of the row.
 
@@ -51,6 +77,7 @@ def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rows.join(copies.hint("merge"), "row", "left_anti").select(COLUMNS)
 
 
+@stage
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the strings of 100 bytes that start earlier; an emptied document stays, empty."""
     small_batches(spark)
@@ -66,6 +93,7 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     )
 
 
+@stage
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources brought to their weights: every document as often as the mix takes it."""
     # rows that share a doc_id are rows of their own, and so are equal rows
@@ -77,6 +105,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return repeated.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(COLUMNS)
 
 
+@stage
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences; ids as a checksum, as the texts are in the stage before."""
     small_batches(spark)
@@ -97,11 +126,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        path = scratch_path(spark, f"pipeline-{name}")
-        # what a stage writes on its way goes once its result is written
-        with scratch(spark):
-            result = stage(spark, docs, sf_dir)
-            result.write.parquet(path)
-        docs = spark.read.schema(result.schema).parquet(path)
+    for name, function in STAGES[:-1]:
+        docs = materialize(function(spark, docs, sf_dir), f"pipeline-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
