@@ -169,6 +169,7 @@ def edit_study(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
             }
         )
 
-    # few groups to a task, whatever the session's number of partitions
-    dealt = docs.mapInArrow(deal, BLOCKS).repartition(max(1, n // 2), "bucket")
+    # a group or two to a task where there are few
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(2 * n, 4_000))
+    dealt = docs.mapInArrow(deal, BLOCKS).repartition(tasks, "bucket")
     return dealt.groupBy("bucket").applyInArrow(study, f"`{key}` long, {_STUDY}")
