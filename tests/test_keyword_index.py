@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from vectorloom import session
 from vectorloom.operators import keyword_index as ki
 from vectorloom.operators.dictionary import grouped_style
 from pyspark.sql import functions as F
@@ -60,3 +61,51 @@ def test_no_join_without_a_key(spark):
     table = ki.keyword_table(spark.createDataFrame([(0, "abca")], "at int, word string"), "word", "at")
     plan = ki.grouped_styles(rows, ["id"], "style", table)._jdf.queryExecution().executedPlan().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_one_pass_where_texts_are_read(spark):
+    texts, keywords = some_texts(200), ["abca", "bcd", "ddab"]
+    with session.noted_scratch() as written:
+        assert run(spark, texts, keywords) == by_hand(texts, keywords)
+    labels = {path.rsplit("/", 1)[1].rsplit("-", 1)[0] for path in written}
+    # neither texts nor their grams are written or moved
+    assert labels == {"keywords", "first-keywords"}
+
+
+@pytest.mark.parametrize("lengths", [(4, 9), (1, 6)])
+def test_more_keywords_than_a_pattern_takes(spark, no_broadcast, lengths):
+    rng = random.Random(3)
+    keywords = ["".join(rng.choices("abcde", k=rng.randint(*lengths))) for _ in range(300 if lengths[0] > 1 else 60)]
+    texts = some_texts(100)
+    assert run(spark, texts, keywords) == by_hand(texts, keywords)
+
+
+@pytest.mark.parametrize(
+    "keywords",
+    [
+        ["abcd", "abc", "ab", "a", "b"],
+        ["a", "ab", "abc", "cab", "abcd"],
+        ["dddd", "ab", "abca", "abc", "aabca", "a"],
+        ["日本語", "日", "本語", "語"],
+        ["🍺🍺", "é🍺", "🍺", "🍺x"],
+        ["[a-z]", "a.b", "^a", "a\\Eb", "\\Qa", "a$", "a|b", "&&", "-", " b", "a\nb", "]"],
+    ],
+)
+def test_keywords_within_each_other(spark, keywords):
+    rng = random.Random(5)
+    texts = some_texts(40) + keywords + ["".join(rng.choices(keywords, k=3)) for _ in range(20)]
+    texts += ["".join(rng.choices("日本語🍺éx[]\\.a^&-$|\nb", k=12)) for _ in range(60)]
+    assert run(spark, texts, keywords) == by_hand(texts, keywords)
+
+
+def test_rows_without_a_key_have_no_bucket(spark, request):
+    rows = spark.createDataFrame([(1, "pale ale"), (None, "ale"), (2, None), (3, "stout"), (3, "ale")], "id int, style string")
+    table = ki.keyword_table(spark.createDataFrame([(0, "ale"), (1, "stout")], "at int, word string"), "word", "at")
+
+    def buckets():
+        return sorted(map(tuple, ki.grouped_styles(rows, ["id"], "style", table).collect()), key=str)
+
+    by_pattern = buckets()
+    assert by_pattern == sorted([(1, "ale"), (None, None), (2, None), (3, "ale"), (3, "ale")], key=str)
+    request.getfixturevalue("no_broadcast")
+    assert buckets() == by_pattern
